@@ -24,10 +24,6 @@ def _count_char(text: Column, char: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))).cast("long")
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("long"))
-
-
 def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None = None,
                     lexicon: DataFrame | None = None) -> DataFrame:
     """Compound polarity in -1..1 for each document (T23); ``key`` must be unique.
@@ -58,35 +54,34 @@ def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None
     before = {n: F.lower(F.get("_tokens", F.col("_pos") - n)) for n in (1, 2, 3)}
     sign = F.signum("_valence").cast("long")
     capitals = (F.upper("_word") == F.col("_word")) & (F.lower("_word") != F.col("_word")) & F.col("_has_small")
-    value = F.col("_valence") + F.when(capitals, sign * L.CAPITALS).otherwise(0)
+    strength = F.when(capitals, F.lit(L.CAPITALS)).otherwise(0)
     for n, weight in L.BOOST.items():
-        value = value + F.when(before[n].isin(*L.STRONGER), sign * weight).when(
-            before[n].isin(*L.WEAKER), sign * -weight).otherwise(0)
+        strength = strength + F.when(before[n].isin(*L.STRONGER), F.lit(weight)).when(
+            before[n].isin(*L.WEAKER), F.lit(-weight)).otherwise(0)
     negated = F.lit(False)
     for n in before:
         negated = negated | F.coalesce(before[n].isin(*L.NEGATIONS), F.lit(False))
-    value = F.when(negated, _div(value * L.NEGATION_PERCENT, 100)).otherwise(value)
-    but = F.col("_but")
-    value = F.when(but > 0, F.when(F.col("_pos") + 1 < but, _div(value * L.BEFORE_BUT, 10))
-                   .when(F.col("_pos") + 1 > but, _div(value * L.AFTER_BUT, 10))
-                   .otherwise(value)).otherwise(value)
-    value = F.when(F.col("_valence").isNotNull(), value)
-
-    summed = hits.groupBy(key).agg(
-        F.sum(value).alias("_sum"), F.count("_valence").alias("n_hits"),
-        F.first("_bangs").alias("_bangs"), F.first("_asks").alias("_asks"),
-        *[F.first(c).alias(c) for c in keep],
+    percent_kept = F.when(negated, F.lit(L.NEGATION_PERCENT)).otherwise(100)
+    place, but = F.col("_pos") + 1, F.col("_but")
+    tenths_kept = F.when((but > 0) & (place < but), F.lit(L.BEFORE_BUT)).when(
+        (but > 0) & (place > but), F.lit(L.AFTER_BUT)).otherwise(10)
+    value = F.when(F.col("_valence").isNotNull(), F.call_function(
+        "div", (F.col("_valence") + sign * strength) * percent_kept * tenths_kept, F.lit(1000)))
+
+    # carried columns are grouping keys: as first(string) they would force a sort
+    # of all words, each with its document's token array
+    summed = hits.groupBy(key, *keep, "_bangs", "_asks").agg(
+        F.coalesce(F.sum(value), F.lit(0)).alias("_sum"), F.count("_valence").alias("n_hits"))
+    asks = F.col("_asks")
+    emphasis = F.least("_bangs", F.lit(L.MAX_EXCLAMATIONS)) * L.EXCLAMATION + F.when(
+        asks > 3, F.lit(L.MANY_QUESTIONS)).when(asks > 1, asks * L.QUESTION).otherwise(0)
+    x = F.col("_x")
+    return (
+        summed
+        .withColumn("_x", (F.col("_sum") + F.signum("_sum").cast("long") * emphasis).cast("double") / float(L.UNIT))
+        .withColumn("_ratio", x / F.sqrt(x * x + F.lit(float(L.NORMALISER))))
+        .select(key, *keep, "n_hits", exact_round(F.col("_ratio"), 4).alias("compound"))
     )
-    return summed.select(key, *keep, "n_hits", _compound(
-        F.coalesce("_sum", F.lit(0).cast("long")), F.col("_bangs"), F.col("_asks")).alias("compound"))
-
-
-def _compound(total: Column, bangs: Column, asks: Column) -> Column:
-    emphasis = F.least(bangs, F.lit(L.MAX_EXCLAMATIONS)) * L.EXCLAMATION + F.when(
-        asks > 3, F.lit(L.MANY_QUESTIONS)).when(asks > 1, asks * L.QUESTION).otherwise(F.lit(0))
-    total = F.when(total > 0, total + emphasis).when(total < 0, total - emphasis).otherwise(total)
-    x = total.cast("double") / float(L.UNIT)
-    return exact_round(x / F.sqrt(x * x + F.lit(float(L.NORMALISER))), 4)
 
 
 def classify(compound: Column) -> Column:

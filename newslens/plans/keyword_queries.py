@@ -55,7 +55,7 @@ _KEYWORDS = (O.DOCS, O.CORPUS, f"words AS ({O.english_words('corpus', 'content',
 
 QUERIES = {
     "doc_keywords": (doc_keywords, O.with_(*_KEYWORDS, final="SELECT * FROM keywords")),
-    "hot_topics": (hot_topics, O.with_(*_KEYWORDS, O.SENTIMENT.replace("tokens AS", "score_tokens AS").replace("FROM tokens", "FROM score_tokens"),
+    "hot_topics": (hot_topics, O.with_(*_KEYWORDS, O.SENTIMENT,
         "topics AS (SELECT id, keyword AS topic_name FROM keywords WHERE rank_no = 1)",
         """pairs AS (SELECT topic_name, keyword, count(*) AS n FROM topics JOIN keywords USING (id) GROUP BY 1, 2)""",
         """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic_name ORDER BY n DESC, keyword) AS r FROM pairs) WHERE r <= 5)""",

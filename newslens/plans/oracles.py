@@ -148,26 +148,25 @@ def scored(source: str, key: str = "id", text: str = "text") -> str:
         f"CASE WHEN {prior(n)} IN ({_list(L.STRONGER)}) THEN sg * {b} "
         f"WHEN {prior(n)} IN ({_list(L.WEAKER)}) THEN -sg * {b} ELSE 0 END" for n, b in L.BOOST.items())
     negated = " OR ".join(f"coalesce({prior(n)} IN ({_list(L.NEGATIONS)}), false)" for n in L.BOOST)
-    x = f"(adjusted::DOUBLE / {L.UNIT}.0)"
     return rf"""{LEXICON},
-tokens AS (SELECT {key} AS id, {text} AS doc, regexp_extract_all({text}, '[\p{{L}}\p{{N}}_'']+') AS w FROM {source}),
-places AS (SELECT id, w, regexp_matches(doc, '[a-z]') AS has_small,
-    coalesce(list_position(list_transform(w, lambda t: lower(t)), 'but'), 0) AS but_at,
-    unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM tokens),
-raw_hits AS (SELECT p.*, l.valence, sign(l.valence)::BIGINT AS sg FROM places p JOIN lexicon l ON lower(p.word) = l.word),
+token_lists AS MATERIALIZED (SELECT {key} AS id, {text} AS doc, regexp_extract_all({text}, '[\p{{L}}\p{{N}}_'']+') AS w FROM {source}),
+places AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM token_lists),
+found AS (SELECT p.*, l.valence, sign(l.valence)::BIGINT AS sg FROM places p JOIN lexicon l ON lower(p.word) = l.word),
+raw_hits AS (SELECT f.*, w, regexp_matches(doc, '[a-z]') AS has_small,
+    coalesce(list_position(list_transform(w, lambda t: lower(t)), 'but'), 0) AS but_at FROM found f JOIN token_lists USING (id)),
 boosted AS (SELECT id, i, but_at, {negated} AS negated, valence + {boosts}
     + CASE WHEN upper(word) = word AND lower(word) <> word AND has_small THEN sg * {L.CAPITALS} ELSE 0 END AS v FROM raw_hits),
 flipped AS (SELECT id, i, but_at, CASE WHEN negated THEN v * {L.NEGATION_PERCENT} // 100 ELSE v END AS v FROM boosted),
 weighed AS (SELECT id, CASE WHEN but_at > 0 AND i < but_at THEN v * {L.BEFORE_BUT} // 10
     WHEN but_at > 0 AND i > but_at THEN v * {L.AFTER_BUT} // 10 ELSE v END AS v FROM flipped),
 sums AS (SELECT id, sum(v)::BIGINT AS s, count(*) AS n_hits FROM weighed GROUP BY 1),
-marks AS (SELECT id, length(doc) - length(replace(doc, '!', '')) AS bangs, length(doc) - length(replace(doc, '?', '')) AS asks FROM tokens),
+marks AS (SELECT id, length(doc) - length(replace(doc, '!', '')) AS bangs, length(doc) - length(replace(doc, '?', '')) AS asks FROM token_lists),
 punctuated AS (SELECT m.id, coalesce(n_hits, 0) AS n_hits, coalesce(s, 0) AS s, least(bangs, {L.MAX_EXCLAMATIONS}) * {L.EXCLAMATION}
     + CASE WHEN asks > 3 THEN {L.MANY_QUESTIONS} WHEN asks > 1 THEN asks * {L.QUESTION} ELSE 0 END AS emphasis
     FROM marks m LEFT JOIN sums USING (id)),
-totals AS (SELECT id, n_hits, CASE WHEN s > 0 THEN s + emphasis WHEN s < 0 THEN s - emphasis ELSE 0 END AS adjusted FROM punctuated),
-curved AS (SELECT id, n_hits, {x} / sqrt({x} * {x} + {float(L.NORMALISER)}::DOUBLE) AS c FROM totals),
-scored AS (SELECT id, n_hits, {exact("c", 4)} AS compound FROM curved)"""
+totals AS (SELECT id, n_hits, (CASE WHEN s > 0 THEN s + emphasis WHEN s < 0 THEN s - emphasis ELSE 0 END)::DOUBLE / {L.UNIT}.0 AS x FROM punctuated),
+curved AS MATERIALIZED (SELECT id, n_hits, x / sqrt(x * x + {float(L.NORMALISER)}::DOUBLE) AS c FROM totals),
+scored AS MATERIALIZED (SELECT id, n_hits, {exact("c", 4)} AS compound FROM curved)"""
 
 
 def label(c: str = "compound") -> str:
