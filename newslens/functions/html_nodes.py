@@ -13,12 +13,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 
+from newslens.constants import BOILERPLATE_TAGS
+
 NODES = ("array<struct<node:int,last:int,tag:string,text:string,id:string,class:string,"
-         "attrs:map<string,string>>>")
+         "shade:int,attrs:map<string,string>>>")
 
 _ARROW_NODE = pa.struct([
     ("node", pa.int32()), ("last", pa.int32()), ("tag", pa.string()), ("text", pa.string()),
-    ("id", pa.string()), ("class", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
+    ("id", pa.string()), ("class", pa.string()), ("shade", pa.int32()), ("attrs", pa.map_(pa.string(), pa.string())),
 ])
 
 _PIECE = re.compile(
@@ -43,6 +45,9 @@ def _attributes(source: str) -> dict[str, str]:
 def flatten(page: str) -> list[dict]:
     """Nodes in document order; ``last`` is the index of a node's last descendant.
 
+    ``shade`` is the index of the innermost boilerplate element around (or at)
+    the node, -1 without one.
+
     An end tag closes the nearest open element of its name and all inside it;
     an end tag without one is ignored. Missing end tags are not invented.
     """
@@ -52,8 +57,10 @@ def flatten(page: str) -> list[dict]:
 
     def add(tag: str, text: str | None = None, attrs: dict[str, str] | None = None) -> dict:
         attrs = attrs or {}
+        shade = still_open[-1]["shade"] if still_open else -1
         node = {"node": len(nodes), "last": len(nodes), "tag": tag, "text": text,
-                "id": attrs.get("id"), "class": attrs.get("class"), "attrs": list(attrs.items())}
+                "id": attrs.get("id"), "class": attrs.get("class"),
+                "shade": len(nodes) if tag in BOILERPLATE_TAGS else shade, "attrs": list(attrs.items())}
         nodes.append(node)
         return node
 

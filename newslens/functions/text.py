@@ -53,20 +53,41 @@ def header_url(text: Column) -> Column:
     return strip(_after(text, K.URL_PREFIX))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it.
+
+    Inside a lambda this matters most: an expression written there runs again
+    for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_HEADER_LINE = rf"(?:{K.TITLE_PREFIX}|{K.URL_PREFIX})[^\n]*+(?:\n|\z)"
+_SKIPPED = rf"\A(?:{_HEADER_LINE}|{K.BLANK}*\n)*+(?:{K.BLANK}+\z)?"
+
+
+def _first_of(text: Column, *marks: str) -> Column:
+    """Position of the earliest mark, counted from 1, or NULL."""
+    return F.least(*[F.nullif(F.instr(text, mark), F.lit(0)) for mark in marks])
+
+
 def body_by_lines(text: Column) -> Column:
     """Lines from the first one that is neither blank nor header up to a media list.
 
     A file with nothing but a header keeps it: the start then stays at line one.
     """
-    lines = F.split(text, "\n")
-    opens = F.transform(lines, lambda x: ~(
-        x.startswith(K.TITLE_PREFIX) | x.startswith(K.URL_PREFIX)
-    ) & x.rlike(rf"[^\s\x0B\x1c-\x1f\x{{85}}\p{{Z}}]"))
-    closes = F.transform(lines, lambda x: x.contains(K.IMAGE_LIST) | x.contains(K.VIDEO_LIST))
-    start = F.greatest(F.array_position(opens, True), F.lit(1))
-    stop = F.array_position(closes, True)
-    length = F.when(stop > 0, F.greatest(stop - start, F.lit(0))).otherwise(F.size(lines))
-    return F.array_join(F.slice(lines, start, length), "\n")
+    def cut(parts: Column) -> Column:
+        whole, skipped, mark = parts["text"], parts["skipped"], parts["mark"]
+        start = F.when(skipped == F.length(whole), 0).otherwise(skipped)
+        # the line with the mark is left out together with the line break before it
+        line_head = F.length(F.substring_index(F.substring(whole, F.lit(1), mark - 1), "\n", -1))
+        stop = mark - 2 - line_head
+        return F.when(mark.isNull(), F.substring(whole, start + 1, F.length(whole))).otherwise(
+            F.substring(whole, start + 1, F.greatest(stop - start, F.lit(0))))
+
+    return let(F.struct(
+        text.alias("text"), F.length(F.regexp_extract(text, _SKIPPED, 0)).alias("skipped"),
+        _first_of(text, K.IMAGE_LIST, K.VIDEO_LIST).alias("mark")), cut)
 
 
 def content_by_rules(text: Column) -> Column:
@@ -84,12 +105,13 @@ def media_list(text: Column) -> Column:
     """Image and video lines of an article file as an array of structs.
 
     Accepts either colon width and either list, in whichever order they stand.
+    Only the text from the first list heading on is searched.
     """
     item = r"^(\d+)\. (.+?)(?: - " + K.SIZE_LABEL[:-1] + r"[:：] (\d+)x(\d+))?\s*$"
+    heads = K.IMAGE_LIST[:-1], K.VIDEO_LIST[:-1]
 
-    def section(marker: str, other: str, kind: str) -> Column:
-        head, tail = marker[:-1], other[:-1]
-        chunk = F.regexp_extract(text, rf"(?s)(?:\A|\n){head}[:：](.*?)(?:\n{tail}[:：]|\z)", 1)
+    def section(tail: Column, head: str, other: str, kind: str) -> Column:
+        chunk = F.regexp_extract(tail, rf"(?s)(?:\A|\n){head}[:：](.*?)(?:\n{other}[:：]|\z)", 1)
         rows = F.filter(F.split(chunk, "\n"), lambda x: x.rlike(item))
         return F.transform(rows, lambda x: F.struct(
             F.regexp_extract(x, item, 1).cast("int").alias("pos"),
@@ -99,9 +121,10 @@ def media_list(text: Column) -> Column:
             F.nullif(F.regexp_extract(x, item, 4), F.lit("")).cast("int").alias("height"),
         ))
 
-    return F.concat(
-        section(K.IMAGE_LIST, K.VIDEO_LIST, "image"), section(K.VIDEO_LIST, K.IMAGE_LIST, "video")
-    )
+    first = F.coalesce(_first_of(text, *heads), F.length(text) + 1)
+    # one character more, so that the heading's own line break is seen
+    return let(F.substring(text, F.greatest(first - 1, F.lit(1)), F.length(text)), lambda tail: F.concat(
+        section(tail, *heads, "image"), section(tail, *heads[::-1], "video")))
 
 
 def article_text(title: Column, url: Column, body: Column, images: Column, videos: Column) -> Column:

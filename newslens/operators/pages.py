@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens import constants as K
 from newslens.functions.html_nodes import NODES, flatten_batches
-from newslens.functions.text import contains_any, strip
+from newslens.functions.text import contains_any, let, strip
 from newslens.functions.urls import (
     background_name, image_extension, image_name, is_video_link, resolve_url, video_extension,
     video_name,
@@ -20,7 +20,7 @@ PAGE_TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
 
 def parse_pages(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """Pages with their node array, chosen container and its live nodes.
+    """Pages with their chosen container and its live nodes.
 
     ``container_kind`` is a selector, ``longest div`` or ``page``. ``live`` has
     the container's descendants with boilerplate blanked out, at unchanged
@@ -29,12 +29,10 @@ def parse_pages(pages: DataFrame, keep: list[str], html: str = "html") -> DataFr
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}"
                         for f in pages.select(*keep).schema] + [f"nodes {NODES}"])
     nodes = pages.select(*keep, html).mapInArrow(flatten_batches(keep, html), schema)
-    return (
-        nodes.withColumn("_box", _container(F.col("nodes")))
-        .withColumn("live", _live(F.col("nodes"), F.col("_box")))
-        .select(*keep, F.col("_box.kind").alias("container_kind"),
-                F.col("_box.kind").eqNullSafe("page").alias("_loose"), "live")
-    )
+    box = F.col("_box")
+    return nodes.withColumn("_box", _container(F.col("nodes"))).select(
+        *keep, box["kind"].alias("container_kind"), (box["kind"] == "page").alias("_loose"),
+        _live(F.col("nodes"), box).alias("live"))
 
 
 def _inside(nodes: Column, element: Column) -> Column:
@@ -49,39 +47,44 @@ def _selected(node: Column, selector: str) -> Column:
     return node["tag"] == selector
 
 
+def _box(kind: str, node: Column, last: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), node.alias("node"), last.alias("last"))
+
+
 def _container(nodes: Column) -> Column:
     """First selector whose first element holds text; else the longest div; else the page."""
-    named = F.filter(nodes, lambda n: n["id"].isNotNull() | n["class"].isNotNull() | (n["tag"] == "article"))
-    def first(selector: str) -> Column:
-        hit = F.get(F.filter(named, lambda n: _selected(n, selector)), F.lit(0))
-        return F.when(hit.isNotNull(), F.struct(
-            F.lit(selector).alias("kind"), hit["node"].alias("node"), hit["last"].alias("last")))
+    def first_of_each(named: Column) -> Column:
+        def first(selector: str) -> Column:
+            hits = F.slice(F.filter(named, lambda n: _selected(n, selector)), 1, 1)
+            return F.transform(hits, lambda n: _box(selector, n["node"], n["last"]))
+
+        return F.concat(*[first(s) for s in K.CONTAINER_SELECTORS])
 
-    firsts = F.array_compact(F.array(*[first(s) for s in K.CONTAINER_SELECTORS]))
-    by_selector = F.get(F.filter(firsts, lambda c: F.exists(
+    named = F.filter(nodes, lambda n: n["id"].isNotNull() | n["class"].isNotNull() | (n["tag"] == "article"))
+    by_selector = F.get(F.filter(let(named, first_of_each), lambda c: F.exists(
         _inside(nodes, c), lambda n: (n["tag"] == "#text") & (strip(n["text"]) != ""))), F.lit(0))
-    longest = F.array_max(F.transform(
-        F.filter(nodes, lambda n: n["tag"] == "div"), lambda d: F.struct(
-            F.aggregate(_inside(nodes, d), F.lit(0), lambda total, n: total + F.when(
-                n["tag"] == "#text", F.length(strip(n["text"]))).otherwise(0)).alias("length"),
-            (-d["node"]).alias("before"), d["last"].alias("last"))))
-    by_length = F.when(longest.isNotNull(), F.struct(
-        F.lit("longest div").alias("kind"), (-longest["before"]).alias("node"),
-        longest["last"].alias("last")))
-    body = F.get(F.filter(nodes, lambda n: n["tag"] == "body"), F.lit(0))
-    whole = F.struct(F.lit("page").alias("kind"), F.coalesce(body["node"], F.lit(-1)).alias("node"),
-                     F.coalesce(body["last"], F.size(nodes) - 1).alias("last"))
-    return F.coalesce(by_selector, by_length, whole)
+
+    def text_length(element: Column) -> Column:
+        return F.aggregate(_inside(nodes, element), F.lit(0), lambda total, n: total + F.when(
+            n["tag"] == "#text", F.length(strip(n["text"]))).otherwise(0))
+
+    divs = F.transform(F.filter(nodes, lambda n: n["tag"] == "div"), lambda d: F.struct(
+        text_length(d).alias("length"), (-d["node"]).alias("before"), d["last"].alias("last")))
+    by_length = let(F.array_max(divs), lambda d: F.when(
+        d.isNotNull(), _box("longest div", -d["before"], d["last"])))
+    body = F.transform(F.slice(F.filter(nodes, lambda n: n["tag"] == "body"), 1, 1),
+                       lambda n: _box("page", n["node"], n["last"]))
+    whole = _box("page", F.lit(-1), F.size(nodes) - 1)
+    return F.coalesce(by_selector, by_length, F.get(body, F.lit(0)), whole)
 
 
 def _live(nodes: Column, box: Column) -> Column:
-    inside = _inside(nodes, box)
-    dead = F.filter(inside, lambda n: n["tag"].isin(*K.BOILERPLATE_TAGS))
-    # positions are kept relative to the container: node - box.node - 1
-    blanked = F.transform(inside, lambda n: F.when(
-        F.exists(dead, lambda d: n["node"].between(d["node"], d["last"])), n.withField("tag", F.lit("#dead"))
-    ).otherwise(n))
-    return F.when(box["kind"] == "page", inside).when(F.size(dead) == 0, inside).otherwise(blanked)
+    """Container nodes; those in boilerplate below the container are tagged ``#dead``.
+
+    On the whole-page fallback nothing is removed.
+    """
+    return let(box, lambda b: F.transform(_inside(nodes, b), lambda n: F.when(
+        (b["kind"] != "page") & (n["shade"] > b["node"]), n.withField("tag", F.lit("#dead"))).otherwise(n)))
 
 
 def _subtree(live: Column, element: Column, last: Column) -> Column:
@@ -102,15 +105,17 @@ def paragraphs(live: Column, loose: Column, nested: bool = False) -> Column:
     not swallow its successors. Nested: it keeps its whole subtree, and inner
     text then occurs once per enclosing block.
     """
-    blocks = F.filter(live, lambda n: n["tag"].isin(*K.BLOCK_TAGS))
-    if nested:
-        texts = F.transform(blocks, lambda b: F.struct(
-            b["tag"].alias("tag"), _joined_text(_subtree(live, b, b["last"])).alias("text")))
-    else:
-        texts = F.transform(blocks, lambda b, i: F.struct(b["tag"].alias("tag"), _joined_text(_subtree(
-            live, b, F.least(b["last"], F.coalesce(F.get(blocks, i + 1)["node"] - 1, b["last"])))
-        ).alias("text")))
-    kept = F.filter(texts, lambda t: F.when(
+    def texts(live: Column) -> Column:
+        blocks = F.filter(live, lambda n: n["tag"].isin(*K.BLOCK_TAGS))
+        if nested:
+            return F.transform(blocks, lambda b: F.struct(
+                b["tag"].alias("tag"), _joined_text(_subtree(live, b, b["last"])).alias("text")))
+        # each block next to its successor; the last one has none
+        return let(blocks, lambda bs: F.zip_with(bs, F.slice(bs, 2, F.greatest(F.size(bs), F.lit(1))), lambda b, after: F.struct(
+            b["tag"].alias("tag"), _joined_text(_subtree(live, b, F.least(
+                b["last"], F.coalesce(after["node"] - 1, b["last"])))).alias("text"))))
+
+    kept = F.filter(let(live, texts), lambda t: F.when(
         loose, (t["tag"] == "p") & (F.length(t["text"]) > K.LOOSE_PARAGRAPH_MIN)).otherwise(t["text"] != ""))
     return F.transform(kept, lambda t: t["text"])
 
@@ -126,29 +131,32 @@ def _attr(node: Column, name: str) -> Column:
     return F.nullif(node["attrs"][name], F.lit(""))
 
 
-def _numbered(items: Column) -> Column:
-    return F.transform(items, lambda x, i: x.withField("pos", (i + 1).cast("int")))
-
-
 def image_candidates(live: Column) -> Column:
-    """Image tags, then tags with lazy attributes; a tag may occur twice."""
-    def having(name: str) -> Column:
-        return F.filter(live, lambda n: (n["tag"] != "#dead") & n["attrs"][name].isNotNull())
-
-    groups = [F.filter(live, lambda n: n["tag"] == "img"), *map(having, K.LAZY_IMAGE_ATTRS)]
-    return _numbered(F.transform(F.concat(*groups), lambda n: F.struct(
-        F.lit(0).alias("pos"), F.coalesce(*[_attr(n, a) for a in K.IMAGE_SOURCE_ATTRS]).alias("src"),
-        _attr(n, "width").alias("width"), _attr(n, "height").alias("height"),
-        _attr(n, "style").alias("style"))))
+    """Image tags, then tags with lazy attributes, then background styles.
 
-
-def background_candidates(live: Column, first: Column) -> Column:
-    """Background URLs in style attributes (T17), numbered after the images."""
-    urls = F.transform(
-        F.filter(live, lambda n: (n["tag"] != "#dead") & n["attrs"]["style"].isNotNull()),
-        lambda n: F.regexp_extract(n["attrs"]["style"], K.BACKGROUND_PATTERN, 1))
-    kept = F.filter(urls, lambda u: (u != "") & ~contains_any(F.lower(u), K.BACKGROUND_MARKS))
-    return F.transform(kept, lambda u, i: F.struct((first + i + 1).cast("int").alias("pos"), u.alias("src")))
+    A tag may occur twice; positions count every candidate.
+    """
+    def having(nodes: Column, name: str) -> Column:
+        return F.filter(nodes, lambda n: (n["tag"] != "#dead") & n["attrs"][name].isNotNull())
+
+    def gather(nodes: Column) -> Column:
+        tags = F.concat(F.filter(nodes, lambda n: n["tag"] == "img"),
+                        *[having(nodes, a) for a in K.LAZY_IMAGE_ATTRS])
+        from_tags = F.transform(tags, lambda n: F.struct(
+            F.lit(False).alias("is_background"),
+            F.coalesce(*[_attr(n, a) for a in K.IMAGE_SOURCE_ATTRS]).alias("src"),
+            _attr(n, "width").alias("width"), _attr(n, "height").alias("height"),
+            _attr(n, "style").alias("style")))
+        urls = F.transform(having(nodes, "style"), lambda n: F.regexp_extract(
+            n["attrs"]["style"], K.BACKGROUND_PATTERN, 1))
+        nothing = F.lit(None).cast("string")
+        from_styles = F.transform(
+            F.filter(urls, lambda u: (u != "") & ~contains_any(F.lower(u), K.BACKGROUND_MARKS)),
+            lambda u: F.struct(F.lit(True).alias("is_background"), u.alias("src"), nothing.alias("width"),
+                               nothing.alias("height"), nothing.alias("style")))
+        return F.concat(from_tags, from_styles)
+
+    return let(live, gather)
 
 
 def _pixels(value: Column) -> Column:
@@ -179,17 +187,10 @@ def images(parsed: DataFrame, keep: list[str], url: str = "url", title: str = "t
     the last one marks images whose size only the file itself could tell.
     """
     content_type = F.lit(None).cast("string") if content_type is None else content_type
-    base = parsed.withColumn("_images", image_candidates(F.col("live")))
-    tags = base.select(*keep, F.explode("_images").alias("c")).where(F.col("c.src").isNotNull()).select(
-        *keep, F.col("c.pos").alias("pos"), F.lit(False).alias("is_background"),
-        F.col("c.src").alias("src"),
+    found = parsed.select(*keep, F.posexplode(image_candidates(F.col("live"))).alias("_i", "c")).where(
+        F.col("c.src").isNotNull()).select(
+        *keep, (F.col("_i") + 1).alias("pos"), "c.is_background", resolve_url(F.col(url), F.col("c.src")).alias("image_url"),
         display_size(F.col("c.width"), F.col("c.height"), F.col("c.style")).alias("size"))
-    backgrounds = base.select(*keep, F.explode(
-        background_candidates(F.col("live"), F.size("_images"))).alias("c")).select(
-        *keep, F.col("c.pos").alias("pos"), F.lit(True).alias("is_background"),
-        F.col("c.src").alias("src"),
-        F.struct(F.lit(0).alias("width"), F.lit(0).alias("height")).alias("size"))
-    found = tags.unionByName(backgrounds).withColumn("image_url", resolve_url(F.col(url), F.col("src")))
     lower, width, height = F.lower("image_url"), F.col("size.width"), F.col("size.height")
     verdict = (
         F.when(F.col("is_background"), F.lit("size_unknown"))
@@ -207,6 +208,10 @@ def images(parsed: DataFrame, keep: list[str], url: str = "url", title: str = "t
 
 def video_candidates(live: Column) -> Column:
     """Video sources in order: video tags, players in frames, data attributes, scripts."""
+    return let(live, _video_sources)
+
+
+def _video_sources(live: Column) -> Column:
     def own(n: Column) -> Column:
         inner = F.filter(_subtree(live, n, n["last"]), lambda s: s["tag"] == "source")
         return F.concat(F.transform(inner, lambda s: _attr(s, "src")), F.array(_attr(n, "src")))

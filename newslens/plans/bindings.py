@@ -9,12 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newslens.functions.text import article_text, safe_title
+from newslens.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, spread over all cores when it is small."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def headline(text: Column) -> Column:
     """The first line of a document."""
     return F.trim(F.substring_index(text, "\n", 1))
@@ -34,7 +40,7 @@ def dated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod(F.floor(F.col("o_totalprice") / 1000), F.lit(4)).cast("int").alias("n_images"),
         F.pmod(F.floor(F.col("o_totalprice") / 10000), F.lit(3)).cast("int").alias("n_videos"),
     )
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    docs = texts(spark, sf_dir, "documents", "doc_id").withColumnRenamed("doc_id", "id")
     return docs.join(orders, "id")
 
 
@@ -115,7 +121,7 @@ def score_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newslens.operators.sentiment import score_documents
 
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "toxic")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     scored = score_documents(docs.join(labels, "id"), "id", "text", keep=["toxic"])
     return scored.select(
         "id", "compound", F.explode(F.sequence(F.lit(0), F.col("toxic"))).alias("pass_no"))

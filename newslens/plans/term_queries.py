@@ -40,7 +40,7 @@ def top40_by_lang(spark, sf_dir):
 
 
 def terms_by_document_language(spark, sf_dir):
-    docs = B.table(spark, sf_dir, "documents")
+    docs = B.texts(spark, sf_dir, "documents", "doc_id")
     counts = terms.count_terms(terms.english_tokens(docs, "text", ["lang"]), ["lang"])
     return terms.first_rows_per_sheet(counts, 20).select("lang", "row_no", "word", "n")
 
@@ -49,7 +49,7 @@ def stop_word_table(spark, sf_dir):
     """Stop words given as a table: the words of the benchmark passages."""
     listed = B.table(spark, sf_dir, "benchmark").select(
         F.explode(terms.latin_words(F.col("text"))).alias("word"))
-    docs = B.table(spark, sf_dir, "documents")
+    docs = B.texts(spark, sf_dir, "documents", "doc_id")
     counts = terms.count_terms(terms.english_tokens(docs, "text", stop_words=listed))
     return counts.where(F.col("n") >= K.MIN_TERM_COUNT)
 

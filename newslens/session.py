@@ -61,3 +61,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer tasks than cores one task per core.
+
+    Texts cost far more to process than to move, so a table that arrives in a
+    single row group is hashed out by its key. A table that already fills the
+    cores, as any large one does, is left alone and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
