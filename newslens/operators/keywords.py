@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newslens.operators.ranking import top_per_group
+from newslens.operators.skew import HOT_KEYS, join_around
 from newslens.operators.terms import english_tokens
 
 
@@ -13,13 +14,15 @@ def document_keywords(docs: DataFrame, text: str = "content", key: str = "id", k
 
     ``weight = n * (ln((1 + N) / (1 + df)) + 1)``. Counting by (document, word)
     collapses inside the map task; document frequencies are a second aggregate
-    over that result, joined back on the word.
+    over that result, joined back on the word. The most widespread words take
+    the broadcast path of that join, so no word gathers its rows in one task.
     """
     counts = english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
         F.count("*").alias("frequency"))
     frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
+    widespread = frequency.orderBy(F.desc("df"), "word").limit(HOT_KEYS)
     n_docs = docs.agg(F.count("*")).scalar()
-    weighted = counts.join(frequency, "word").withColumn("weight", F.round(
+    weighted = join_around(counts, frequency, widespread, "word", [key]).withColumn("weight", F.round(
         F.col("frequency") * (F.log((n_docs + 1) / (F.col("df") + 1)) + 1), 6))
     return top_per_group(weighted, [key], [F.desc("weight"), F.col("word")], k).select(
         F.col(key), F.col("word").alias("keyword"), "frequency", "df", "weight", "rank_no")

@@ -8,11 +8,12 @@ overload a task, and ``COUNT(*)`` over the plain left join is the sum of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newslens import constants as K
 from newslens.functions.dates import in_month, month_end, month_of
 from newslens.functions.numbers import percent
+from newslens.operators.ranking import top_per_group
 
 
 def per_article(scores: DataFrame) -> DataFrame:
@@ -105,8 +106,11 @@ def monthly_statistics(corpus: DataFrame, scores: DataFrame, month: str | None =
 
 
 def replace_months(statistics: DataFrame, path: str) -> None:
-    """Overwrite exactly the month partitions that ``statistics`` holds."""
-    statistics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    """Overwrite exactly the month partitions that ``statistics`` holds.
+
+    A month is one row per source, so each goes to a single file.
+    """
+    statistics.repartition("stat_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "stat_month").parquet(path)
 
 
@@ -157,22 +161,24 @@ def _heat(counts: DataFrame, groups: list[str], n: str, out: str) -> DataFrame:
         out, percent(F.col(n), F.col("_peak"), 2)).drop("_peak")
 
 
-def hot_keywords(tokens: DataFrame) -> DataFrame:
+def hot_keywords(tokens: DataFrame, k: int | None = None) -> DataFrame:
     """Keyword counts per date and source, and over all sources.
 
     ``tokens`` has (word, source, stat_date). Counts are made per source first;
-    the ``all`` rows only add these up.
+    the ``all`` rows only add these up. With ``k``, the hottest ``k`` keywords
+    of each date and source; the peak is then the first of them.
     """
     per_source = tokens.groupBy(F.col("word").alias("keyword"), "source", "stat_date").agg(
         F.count("*").alias("n"))
-    rolled = per_source.groupingSets(
-        [["keyword", "source", "stat_date"], ["keyword", "stat_date"]],
-        "keyword", "source", "stat_date",
-    ).agg(F.sum("n").alias("n"), F.grouping("source").alias("_all"))
-    named = rolled.select(
-        "keyword", F.when(F.col("_all") == 1, "all").otherwise(F.col("source")).alias("source"),
-        "stat_date", "n")
-    return _heat(named, ["stat_date", "source"], "n", "heat_score")
+    overall = per_source.groupBy("keyword", "stat_date").agg(F.sum("n").alias("n")).withColumn(
+        "source", F.lit("all"))
+    counts = per_source.unionByName(overall)
+    groups = ["stat_date", "source"]
+    if k is None:
+        return _heat(counts, groups, "n", "heat_score")
+    top = top_per_group(counts, groups, [F.desc("n"), F.col("keyword")], k)
+    peak = F.max("n").over(Window.partitionBy(*groups))  # over k rows
+    return top.withColumn("heat_score", percent(F.col("n"), peak, 2))
 
 
 def media_activity(corpus: DataFrame) -> DataFrame:

@@ -21,11 +21,17 @@ def postings(corpus: DataFrame, key: str = "id") -> DataFrame:
     return corpus.select(key, F.explode(bigrams(text)).alias("gram"))
 
 
-def write_postings(corpus: DataFrame, path: str, buckets: int = 64, key: str = "id") -> None:
-    """Store postings so that a search reads only the folders of its grams."""
-    rows = postings(corpus, key).withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int"))
-    # documents are spread evenly, so no folder of a frequent gram lands on one task
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+def write_postings(corpus: DataFrame, path: str, buckets: int = 64, parts: int = 8,
+                   key: str = "id") -> None:
+    """Store postings so that a search reads only the folders of its grams.
+
+    Each folder is written by up to ``parts`` tasks, by document: a gram that
+    occurs everywhere is split, and the number of files stays bounded.
+    """
+    bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    rows = postings(corpus, key).withColumn("bucket", bucket)
+    rows.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None = None) -> DataFrame:

@@ -19,23 +19,39 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if seen <= max_rows else df
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS,
-           hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Left join to a table that is unique on ``key``, safe for hot left keys.
-
-    Keys with at least ``hot_rows`` left rows meet their (at most ``hot_keys``)
-    partner rows by broadcast and are not shuffled; all others take the
-    ordinary join. A key outside the ``hot_keys`` largest holds less than
-    1/``hot_keys`` of the rows, so every left row is joined and no task is hot.
+def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[str],
+           hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Left join to a table that is unique on ``key``, even for hot left keys.
+
+    The (at most ``hot_keys``) keys that own ``hot_rows`` left rows or more meet
+    their partners by broadcast. See ``join_around`` for the rest.
     """
     heavy = (
         left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), key).limit(hot_keys).select(key)
     )
-    hot = [row[0] for row in heavy.collect()]  # at most hot_keys values
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
-    common = left.where(~is_hot).join(right.where(~is_hot), key, "left")
-    busy = left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "left")
-    return common.unionByName(busy)
+    return join_around(left, right, heavy.join(right, key, "left"), key, spread_by)
+
+
+def join_around(left: DataFrame, right: DataFrame, hot: DataFrame, key: str,
+                spread_by: list[str]) -> DataFrame:
+    """Left join in which rows of ``hot`` keys are answered ahead of the shuffle.
+
+    ``hot`` holds the right rows of the hot keys (a limited frame, hence the
+    broadcast). Left rows that it answers travel on under a key of their own,
+    made from ``spread_by``, instead of gathering in the partition of the hot
+    key. Every left row comes out exactly once. ``spread_by`` must tell the
+    rows of a hot key apart; it is hashed, so a repeated task sends each row
+    to the same place again.
+    """
+    values = [c for c in right.columns if c != key]
+    early = hot.select(F.col(key).alias("_hot"), F.struct(*values).alias("_early"))
+    marked = left.join(F.broadcast(early), left[key] == F.col("_hot"), "left")
+    travel = F.when(F.col("_hot").isNull(), F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s"))).otherwise(
+        F.struct(F.lit(None).cast(left.schema[key].dataType).alias("k"), F.xxhash64(*spread_by).alias("s")))
+    late = right.select(F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")).alias("_travel"),
+                        F.struct(*values).alias("_late"))
+    joined = marked.withColumn("_travel", travel).join(late, "_travel", "left")
+    found = F.when(F.col("_hot").isNull(), F.col("_late")).otherwise(F.col("_early"))
+    return joined.withColumn("_found", found).select(
+        *[F.col(c) for c in left.columns], *[F.col("_found")[c].alias(c) for c in values])

@@ -91,13 +91,30 @@ def cjk_tokens(docs: DataFrame, text: str, keep: list[str], vocabulary: Iterable
     return words.where((F.length("word") > 1) & ~F.col("word").isin(*K.STOP_WORDS_ZH))
 
 
+def _cjk_bigrams(text: Column) -> Column:
+    runs = F.filter(F.regexp_extract_all(text, F.lit(_CJK_RUN), F.lit(0)), lambda run: F.length(run) > 1)
+    return F.flatten(F.transform(runs, lambda run: F.transform(
+        F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.substr(run, i, F.lit(2)))))
+
+
 def mixed_tokens(docs: DataFrame, text: str = "body", keep: list[str] | None = None,
                  vocabulary: Iterable[str] = ()) -> DataFrame:
-    """Chinese words and Latin words longer than two letters, case kept."""
-    keep = keep or []
-    latin = docs.select(*keep, F.explode(latin_words(F.col(text))).alias("word"))
-    latin = without_stop_words(latin.where(F.length("word") > 2), K.STOP_WORDS_EN)
-    return latin.unionByName(cjk_tokens(docs, text, keep, vocabulary))
+    """Chinese words and Latin words longer than two letters, case kept.
+
+    Without a vocabulary Chinese runs fall into bigrams, and one pass of
+    built-in functions yields both kinds of words. With one, the runs (and only
+    these) are segmented in Python.
+    """
+    keep, t = keep or [], F.col(text)
+    if vocabulary:
+        latin = docs.select(*keep, F.explode(latin_words(t)).alias("word"))
+        latin = without_stop_words(latin.where(F.length("word") > 2), K.STOP_WORDS_EN)
+        return latin.unionByName(cjk_tokens(docs, text, keep, vocabulary))
+    words = docs.select(*keep, F.explode(F.concat(latin_words(t), F.when(
+        has_cjk(t), _cjk_bigrams(t)).otherwise(F.array().cast("array<string>")))).alias("word"))
+    is_latin = F.col("word").rlike("^[a-zA-Z]")
+    return words.where(F.when(is_latin, (F.length("word") > 2) & ~F.lower("word").isin(*K.STOP_WORDS_EN))
+                       .otherwise(~F.col("word").isin(*K.STOP_WORDS_ZH)))
 
 
 def token_language(word: Column) -> Column:

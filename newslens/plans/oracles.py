@@ -174,15 +174,13 @@ def label(c: str = "compound") -> str:
             f"THEN 'negative' ELSE 'neutral' END")
 
 
-def ten_point(c: str = "compound") -> str:
-    return exact(f"(({exact(c, 3)} + 1) * 5)", 2)
-
-
 LABELLED = "labelled AS (SELECT doc_id AS id, text FROM documents SEMI JOIN labels USING (doc_id))"
 
 SENTIMENT = LABELLED + ",\n" + scored("labelled") + f""",
-sentiment AS (SELECT s.id AS corpus_id, {label()} AS sentiment, compound, {ten_point()}::DECIMAL(4,2) AS sentiment_score
-  FROM (SELECT * FROM scored UNION ALL SELECT scored.* FROM scored JOIN labels ON doc_id = id WHERE toxic = 1) s)"""
+shown AS MATERIALIZED (SELECT id, compound, {exact("compound", 3)} AS report_score FROM scored),
+ten AS MATERIALIZED (SELECT id, compound, (report_score + 1) * 5 AS raw_ten FROM shown),
+sentiment AS MATERIALIZED (SELECT s.id AS corpus_id, {label()} AS sentiment, compound, {exact("raw_ten", 2)}::DECIMAL(4,2) AS sentiment_score
+  FROM (SELECT * FROM ten UNION ALL SELECT ten.* FROM ten JOIN labels ON doc_id = id WHERE toxic = 1) s)"""
 
 JOINED = "joined AS (SELECT c.*, s.corpus_id, s.sentiment, s.sentiment_score FROM {0} c LEFT JOIN sentiment s ON s.corpus_id = c.id)"
 MEAN = "sum(sentiment_score)::DOUBLE / count(sentiment_score)"

@@ -8,7 +8,6 @@ from newslens import schema
 from newslens.functions.dates import date_from_text
 from newslens.functions.text import content_by_rules
 from newslens.operators import quality as Q, rollups as R
-from newslens.operators.ranking import top_per_group
 from newslens.operators.terms import english_tokens
 from newslens.plans import bindings as B, oracles as O
 from newslens.session import fresh_path
@@ -113,9 +112,17 @@ def daily_statistics(spark, sf_dir):
 
 def hot_keywords(spark, sf_dir):
     dated = B.corpus(spark, sf_dir).where("publish_date is not null").withColumnRenamed("publish_date", "stat_date")
+    return _text_dates(R.hot_keywords(english_tokens(dated, "content", ["source", "stat_date"]), 10), "stat_date")
+
+
+def keyword_heat(spark, sf_dir):
+    """Heat of every keyword, summed up per date and source."""
+    dated = B.corpus(spark, sf_dir).where("publish_date is not null").select(
+        "content", "source", F.trunc("publish_date", "year").alias("stat_date"))
     rows = R.hot_keywords(english_tokens(dated, "content", ["source", "stat_date"]))
-    best = top_per_group(rows, ["stat_date", "source"], [F.desc("n"), F.col("keyword")], 10)
-    return _text_dates(best, "stat_date")
+    return _text_dates(rows.groupBy("stat_date", "source").agg(
+        F.count("*").alias("n_keywords"), F.sum("n").alias("n_words"),
+        F.count_if(F.col("heat_score") >= 10).alias("n_hot")), "stat_date")
 
 
 def media_activity(spark, sf_dir):
@@ -195,6 +202,12 @@ FROM words GROUP BY GROUPING SETS ((word, source, publish_date), (word, publish_
         final=f"""SELECT publish_date::VARCHAR AS stat_date, source, keyword, n, {O.pct('n', 'peak', 2)} AS heat_score, rank_no FROM (
 SELECT *, max(n) OVER (PARTITION BY publish_date, source) AS peak,
 row_number() OVER (PARTITION BY publish_date, source ORDER BY n DESC, keyword) AS rank_no FROM per) WHERE rank_no <= 10""")),
+    "keyword_heat": (keyword_heat, O.with_(*_C, f"""words AS ({O.english_words(
+        "(SELECT *, date_trunc('year', publish_date)::DATE AS d FROM corpus WHERE publish_date IS NOT NULL)", 'content', 'source, d')})""",
+        """per AS (SELECT word AS keyword, CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, d, count(*) AS n
+FROM words GROUP BY GROUPING SETS ((word, source, d), (word, d)))""",
+        final=f"""SELECT d::VARCHAR AS stat_date, source, count(*) AS n_keywords, sum(n)::BIGINT AS n_words,
+count(*) FILTER ({O.pct('n', 'peak', 2)} >= 10) AS n_hot FROM (SELECT *, max(n) OVER (PARTITION BY d, source) AS peak FROM per) GROUP BY 1, 2""")),
     "media_activity": (media_activity, O.with_(*_C, final=f"""SELECT media_name, source, stat_month, article_count,
 {O.pct('article_count', 'peak', 2)} AS activity_score FROM (SELECT *, max(article_count) OVER (PARTITION BY stat_month) AS peak FROM (
 SELECT media_name, source, strftime(publish_date, '%Y-%m') AS stat_month, count(*) AS article_count FROM corpus

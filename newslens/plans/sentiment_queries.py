@@ -51,7 +51,7 @@ def report_round_trip(spark, sf_dir):
 
 def matched_scores(spark, sf_dir):
     corpus = B.corpus(spark, sf_dir).select("id", strip(safe_title(F.col("title"))).alias("title"))
-    return S.match_by_title(S.load_form(round_trip(spark, sf_dir)), corpus)
+    return S.match_by_title(S.load_form(round_trip(spark, sf_dir)), corpus, ["file_path", "block", "line_id"])
 
 
 def sentiment_load(spark, sf_dir):
@@ -68,7 +68,7 @@ def lookup_misses(spark, sf_dir):
     """Hits and misses when only image articles are in the corpus."""
     corpus = B.corpus(spark, sf_dir).where("content_type = 'image'").select("id", "title")
     scored = scored_files(spark, sf_dir).drop("title").join(B.corpus(spark, sf_dir).select("id", "title"), "id")
-    matched = S.match_by_title(scored.select("title", "sentiment"), corpus)
+    matched = S.match_by_title(scored.select("id", "title", "sentiment"), corpus, ["id"])
     return matched.groupBy("sentiment").agg(
         F.count_if(F.col("corpus_id").isNotNull()).alias("hits"),
         F.count_if(F.col("corpus_id").isNull()).alias("misses"))

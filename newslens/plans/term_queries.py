@@ -12,7 +12,7 @@ from newslens.plans import bindings as B, oracles as O
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = B.article_files(spark, sf_dir)
-    return files.select("id", "value", body_by_lines(F.col("value")).alias("body")).where("body != ''")
+    return files.select("id", "value", body_by_lines(F.col("value")).alias("body"))
 
 
 def english_term_frequency(spark, sf_dir):
@@ -26,7 +26,7 @@ def mixed_term_frequency(spark, sf_dir):
 def term_totals(spark, sf_dir):
     docs = bodies(spark, sf_dir)
     totals = terms.term_totals(terms.count_terms(terms.english_tokens(docs)))
-    return totals.withColumn("n_documents", docs.agg(F.count("*")).scalar())
+    return totals.withColumn("n_documents", docs.agg(F.count_if(F.col("body") != "")).scalar())
 
 
 def english_terms_alphabetical(spark, sf_dir):
