@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 
@@ -28,14 +30,17 @@ def exact_round(value: Column, digits: int) -> Column:
 
     ``round`` works on the shortest decimal form instead, which moves every
     score such as 9.955 (binary 9.9550000000000000711) or 2.675 (2.67499...).
-    Holds for absolute values below 32: these are exact in units of 2^-58.
+    For absolute values between 10^-6 and 16, which are whole in units of
+    2^-75. ``value`` should be a plain column: it is used several times.
     """
-    unit = 2 ** 58
-    scaled = _whole((F.abs(value) * F.lit(float(unit))).cast("long")) * F.lit(10 ** digits)
-    odd = _quotient(scaled, _whole(F.lit(unit))) % 2
+    coarse = F.abs(value) * F.lit(float(2 ** 30))
+    high = coarse.cast("long")
+    low = ((coarse - high.cast("double")) * F.lit(float(2 ** 45))).cast("long")
+    unit, half = F.lit(Decimal(2 ** 75)), F.lit(Decimal(2 ** 74 - 1))
+    scaled = (_whole(high) * F.lit(Decimal(2 ** 45)) + _whole(low)) * F.lit(10 ** digits)
+    odd = _quotient(scaled, unit) % 2
     # adding just under half a unit, or half if the quotient is odd, sends ties to even
-    size = _quotient(scaled + F.lit(unit // 2 - 1) + odd, _whole(F.lit(unit)))
-    return F.signum(value) * (size / F.lit(float(10 ** digits)))
+    return F.signum(value) * (_quotient(scaled + half + odd, unit) / F.lit(float(10 ** digits)))
 
 
 def ten_point(compound: Column) -> Column:

@@ -26,9 +26,11 @@ def pct(part: str, whole: str, digits: int) -> str:
 
 def exact(x: str, digits: int) -> str:
     """Rounding by exact binary value, ties to even."""
-    unit = 2 ** 58
-    n = f"(CAST(CAST(floor(abs({x}) * {unit}.0::DOUBLE) AS BIGINT) AS HUGEINT) * {10 ** digits})"
-    return (f"(sign({x}) * (({n} + {unit // 2 - 1} + ({n} // {unit}) % 2) // {unit})::DOUBLE / {10 ** digits}.0)")
+    coarse = f"(abs({x}) * {2 ** 30}.0::DOUBLE)"
+    n = (f"((floor({coarse})::HUGEINT * {2 ** 45} + floor(({coarse} - floor({coarse})) * {2 ** 45}.0::DOUBLE)::HUGEINT)"
+         f" * {10 ** digits})")
+    unit = f"{2 ** 75}::HUGEINT"
+    return f"(sign({x}) * (({n} + {2 ** 74 - 1}::HUGEINT + ({n} // {unit}) % 2) // {unit})::DOUBLE / {10 ** digits}.0)"
 
 
 BLANK = r"[\s\x0B\x1c-\x1f\x{85}\p{Z}]"
@@ -149,11 +151,13 @@ def scored(source: str, key: str = "id", text: str = "text") -> str:
         f"WHEN {prior(n)} IN ({_list(L.WEAKER)}) THEN -sg * {b} ELSE 0 END" for n, b in L.BOOST.items())
     negated = " OR ".join(f"coalesce({prior(n)} IN ({_list(L.NEGATIONS)}), false)" for n in L.BOOST)
     return rf"""{LEXICON},
-token_lists AS MATERIALIZED (SELECT {key} AS id, {text} AS doc, regexp_extract_all({text}, '[\p{{L}}\p{{N}}_'']+') AS w FROM {source}),
+token_lists AS MATERIALIZED (SELECT {key} AS id, {text} AS doc, regexp_extract_all({text}, '[\p{{L}}\p{{N}}_'']+') AS w,
+    regexp_matches({text}, '[a-z]') AS has_small FROM {source}),
 places AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM token_lists),
 found AS (SELECT p.*, l.valence, sign(l.valence)::BIGINT AS sg FROM places p JOIN lexicon l ON lower(p.word) = l.word),
-raw_hits AS (SELECT f.*, w, regexp_matches(doc, '[a-z]') AS has_small,
-    coalesce(list_position(list_transform(w, lambda t: lower(t)), 'but'), 0) AS but_at FROM found f JOIN token_lists USING (id)),
+buts AS (SELECT id, min(i) AS but_at FROM places WHERE lower(word) = 'but' GROUP BY 1),
+raw_hits AS MATERIALIZED (SELECT f.*, w, has_small, coalesce(but_at, 0) AS but_at
+  FROM found f JOIN token_lists USING (id) LEFT JOIN buts USING (id)),
 boosted AS (SELECT id, i, but_at, {negated} AS negated, valence + {boosts}
     + CASE WHEN upper(word) = word AND lower(word) <> word AND has_small THEN sg * {L.CAPITALS} ELSE 0 END AS v FROM raw_hits),
 flipped AS (SELECT id, i, but_at, CASE WHEN negated THEN v * {L.NEGATION_PERCENT} // 100 ELSE v END AS v FROM boosted),
