@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from newslens.functions.text import let
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    """A real calendar date of year 1 or later, else NULL."""
-    parsed = F.try_to_timestamp(F.concat_ws("-", year, month, day), F.lit("yyyy-M-d")).cast("date")
-    return F.when(F.year(parsed) >= 1, parsed)
+
+def _date(text: Column, pattern: str, groups: tuple[int, int, int]) -> Column:
+    """The date of the first match, NULL unless it is a calendar date of year 1 or later.
+
+    Checked by arithmetic: parsing bad dates costs an exception for each row.
+    """
+    def check(ymd: Column) -> Column:
+        year, month, day = ymd["y"], ymd["m"], ymd["d"]
+        days = F.when(month.between(1, 12) & (year >= 1),
+                      F.dayofmonth(F.last_day(F.make_date(year, month, F.lit(1)))))
+        return F.when((day >= 1) & (day <= days), F.make_date(year, month, day))
+
+    def parts(match: Column) -> Column:
+        return F.when(match != "", let(F.struct(*[
+            F.regexp_extract(match, pattern, group).cast("int").alias(name)
+            for name, group in zip("ymd", groups)]), check))
+
+    return let(F.regexp_extract(text, pattern, 0), parts)
 
 
 def date_from_text(text: Column, documented: bool = False) -> Column:
@@ -26,19 +41,14 @@ def date_from_text(text: Column, documented: bool = False) -> Column:
             (r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", (3, 1, 2)),
             (r"([0-9]{4})\.([0-9]{1,2})\.([0-9]{1,2})", (1, 2, 3)),
         ]
-    return F.coalesce(*[
-        _date(*[F.regexp_extract(text, pattern, group) for group in groups])
-        for pattern, groups in patterns
-    ])
+    return F.coalesce(*[_date(text, pattern, groups) for pattern, groups in patterns])
 
 
 def date_from_url(url: Column, extended: bool = True) -> Column:
     """Date in ``/2017-02/17/`` and, when ``extended``, in ``/a/201702/17/`` (T5)."""
     old = r"([0-9]{4})-([0-9]{2})/([0-9]{2})"
     new = r"/a/([0-9]{4})([0-9]{2})/([0-9]{2})/"
-    found = [_date(*[F.regexp_extract(url, p, g) for g in (1, 2, 3)])
-             for p in ((old, new) if extended else (old,))]
-    return F.coalesce(*found)
+    return F.coalesce(*[_date(url, p, (1, 2, 3)) for p in ((old, new) if extended else (old,))])
 
 
 def month_of(date: Column) -> Column:

@@ -19,7 +19,9 @@ def document_keywords(docs: DataFrame, text: str = "content", key: str = "id", k
     """
     counts = english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
         F.count("*").alias("frequency"))
-    frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
+    # each row counts as one; reading ``frequency`` keeps both uses of ``counts``
+    # on the same columns, so that its shuffle is run once and read twice
+    frequency = counts.groupBy("word").agg(F.sum(F.least("frequency", F.lit(1))).alias("df"))
     widespread = frequency.orderBy(F.desc("df"), "word").limit(HOT_KEYS)
     n_docs = docs.agg(F.count("*")).scalar()
     weighted = join_around(counts, frequency, widespread, "word", [key]).withColumn("weight", F.round(

@@ -39,7 +39,7 @@ def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None =
 
     The handful of query grams is a literal filter that reaches the scan.
     """
-    grams = sorted({w[i:i + 2] for w in _split(term) for i in range(len(w) - 1)})
+    grams = _grams(term)
     if buckets:
         wanted = F.array(*[F.pmod(F.xxhash64(F.lit(g)), F.lit(buckets)).cast("int") for g in grams])
         rows = rows.where(F.array_contains(wanted, F.col("bucket")))
@@ -48,14 +48,22 @@ def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None =
 
 
 def search(corpus: DataFrame, term: str, key: str = "id") -> DataFrame:
-    """Search without a stored index: every document is read, none is shuffled."""
-    grams = sorted({w[i:i + 2] for w in _split(term) for i in range(len(w) - 1)})
-    held = F.size(F.array_intersect(
-        bigrams(F.concat_ws("\n", "title", "content")), F.array(*[F.lit(g) for g in grams])))
-    return corpus.select(key, held.cast("long").alias("n_grams")).where("n_grams > 0").withColumn(
+    """Search without a stored index: every document is read, none is shuffled.
+
+    Two neighbouring letters always belong to one word, so a gram is held
+    exactly when the lower-cased text contains it.
+    """
+    grams = _grams(term)
+    rows = corpus.select(key, F.lower(F.concat_ws("\n", "title", "content")).alias("_text"))
+    held = sum((F.col("_text").contains(g).cast("long") for g in grams), F.lit(0).cast("long"))
+    return rows.select(key, held.alias("n_grams")).where("n_grams > 0").withColumn(
         "is_full", F.col("n_grams") == len(grams))
 
 
+def _grams(term: str) -> list[str]:
+    return sorted({w[i:i + 2] for w in _split(term) for i in range(len(w) - 1)})
+
+
 def _split(term: str) -> list[str]:
     word = "".join(c if c.isalnum() else " " for c in term.lower())
     return word.split()

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newslens import constants as K
 from newslens.functions.numbers import exact_round, percent, ten_point
+from newslens.functions.text import let
 from newslens.operators import lexicon as L
 from newslens.operators.ranking import number_rows, top_per_group
-from newslens.operators.skew import bounded_broadcast, lookup
+from newslens.operators.skew import lookup
 
 _TOKEN = r"[\p{L}\p{N}_']+"
 
 
-def lexicon_table(spark: SparkSession, words: dict[str, float] | None = None) -> DataFrame:
-    words = L.WORDS if words is None else words
-    rows = ", ".join(f"({word!r}, {round(value * L.UNIT)}L)" if "'" not in word
-                     else f'("{word}", {round(value * L.UNIT)}L)' for word, value in words.items())
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(word, valence)")
+MAX_LEXICON = 50_000
+
+
+def lexicon_table(spark: SparkSession, words: dict[str, float]) -> DataFrame:
+    """(word, valence in 10^-8 units), small enough to be sent to every executor."""
+    if len(words) > MAX_LEXICON:
+        raise ValueError(f"a lexicon holds at most {MAX_LEXICON} words, not {len(words)}")
+    return spark.createDataFrame(
+        pa.table({"_entry": list(words), "_valence": [round(v * L.UNIT) for v in words.values()]}))
 
 
 def _count_char(text: Column, char: str) -> Column:
@@ -25,35 +31,43 @@ def _count_char(text: Column, char: str) -> Column:
 
 
 def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None = None,
-                    lexicon: DataFrame | None = None) -> DataFrame:
+                    lexicon: dict[str, float] | None = None) -> DataFrame:
     """Compound polarity in -1..1 for each document (T23); ``key`` must be unique.
 
-    Words meet the lexicon by a broadcast hash join in the map stage; the three
-    words before a hit come from the document's own token array, so no window
-    and no sort is needed. What is shuffled is one partial sum per document.
-    All sums are integers in 10^-8 units: the order of addition cannot matter.
+    Lexicon words are picked out of a document's token array together with the
+    three words before them, so neither a window nor a sort is needed and only
+    hits become rows. They meet their valence by a broadcast join in the map
+    stage; what is shuffled is one partial sum per document. All sums are
+    integers in 10^-8 units: the order of addition cannot matter.
     """
-    spark = docs.sparkSession
-    keep = keep or []
-    words = bounded_broadcast(lexicon) if lexicon is not None else F.broadcast(lexicon_table(spark))
-    words = words.select(F.col("word").alias("_entry"), F.col("valence").alias("_valence"))
-
+    keep, words = keep or [], L.WORDS if lexicon is None else lexicon
+    valences = F.broadcast(lexicon_table(docs.sparkSession, words))
     t = F.col(text)
-    tokens = F.regexp_extract_all(t, F.lit(_TOKEN), F.lit(0))
+
+    def hits_of(tokens: Column) -> Column:
+        lowered = F.transform(tokens, F.lower)
+
+        def pick(low: Column) -> Column:
+            places = F.filter(F.transform(low, lambda w, i: F.when(w.isin(*words), i)), lambda i: i.isNotNull())
+            return F.transform(places, lambda i: F.struct(
+                i.alias("pos"), F.get(tokens, i).alias("word"), F.get(low, i).alias("low"),
+                *[F.get(low, i - n).alias(f"w{n}") for n in L.BOOST]))
+
+        return let(lowered, lambda low: F.struct(
+            F.array_position(low, "but").alias("but"), pick(low).alias("found")))
+
     parts = docs.select(
-        key, *keep, tokens.alias("_tokens"),
-        t.rlike("[a-z]").alias("_has_small"),
+        key, *keep, t.rlike("[a-z]").alias("_has_small"),
         _count_char(t, "!").alias("_bangs"), _count_char(t, "?").alias("_asks"),
-        F.when(F.lower(t).contains("but"),
-               F.array_position(F.transform(tokens, F.lower), "but")).alias("_but"),
-    )
-    # the outer form keeps documents without tokens
-    seen = parts.select("*", F.posexplode_outer("_tokens").alias("_pos", "_word"))
-    hits = seen.join(words, F.lower("_word") == F.col("_entry"), "left")
+        let(F.regexp_extract_all(t, F.lit(_TOKEN), F.lit(0)), hits_of).alias("_hits"))
+    # the outer form keeps documents without a hit
+    seen = parts.select(key, *keep, "_has_small", "_bangs", "_asks", F.col("_hits.but").alias("_but"),
+                        F.explode_outer("_hits.found").alias("_hit")).select("*", "_hit.*").drop("_hit")
+    hits = seen.join(valences, F.col("low") == F.col("_entry"), "left")
 
-    before = {n: F.lower(F.get("_tokens", F.col("_pos") - n)) for n in (1, 2, 3)}
+    before = {n: F.col(f"w{n}") for n in L.BOOST}
     sign = F.signum("_valence").cast("long")
-    capitals = (F.upper("_word") == F.col("_word")) & (F.lower("_word") != F.col("_word")) & F.col("_has_small")
+    capitals = (F.upper("word") == F.col("word")) & (F.col("low") != F.col("word")) & F.col("_has_small")
     strength = F.when(capitals, F.lit(L.CAPITALS)).otherwise(0)
     for n, weight in L.BOOST.items():
         strength = strength + F.when(before[n].isin(*L.STRONGER), F.lit(weight)).when(
@@ -62,14 +76,13 @@ def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None
     for n in before:
         negated = negated | F.coalesce(before[n].isin(*L.NEGATIONS), F.lit(False))
     percent_kept = F.when(negated, F.lit(L.NEGATION_PERCENT)).otherwise(100)
-    place, but = F.col("_pos") + 1, F.col("_but")
+    place, but = F.col("pos") + 1, F.col("_but")
     tenths_kept = F.when((but > 0) & (place < but), F.lit(L.BEFORE_BUT)).when(
         (but > 0) & (place > but), F.lit(L.AFTER_BUT)).otherwise(10)
     value = F.when(F.col("_valence").isNotNull(), F.call_function(
         "div", (F.col("_valence") + sign * strength) * percent_kept * tenths_kept, F.lit(1000)))
 
-    # carried columns are grouping keys: as first(string) they would force a sort
-    # of all words, each with its document's token array
+    # carried columns are grouping keys: first(string) would force a sort
     summed = hits.groupBy(key, *keep, "_bangs", "_asks").agg(
         F.coalesce(F.sum(value), F.lit(0)).alias("_sum"), F.count("_valence").alias("n_hits"))
     asks = F.col("_asks")

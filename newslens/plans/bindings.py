@@ -16,9 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table of long texts, spread over all cores when it is small."""
-    return spread(table(spark, sf_dir, name), key)
+def texts(spark: SparkSession, sf_dir: str, name: str, *key: str) -> DataFrame:
+    """A table with heavy work per row, spread over all cores when it is small."""
+    return spread(table(spark, sf_dir, name), *key)
 
 
 def headline(text: Column) -> Column:
@@ -60,7 +60,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images (odd line numbers) and videos of articles."""
-    line = table(spark, sf_dir, "lineitem")
+    line = texts(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
     is_image = F.col("l_linenumber") % 2 == 1
     extension = F.when(F.col("l_returnflag") == "A", "png").when(
         F.col("l_returnflag") == "R", "jpeg").otherwise("bmp")

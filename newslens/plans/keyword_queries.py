@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslens.operators import keywords as W, search as X
 from newslens.plans import bindings as B, oracles as O
-from newslens.session import fresh_path
+from newslens.session import fresh_path, written
 
 TERM = "Worthless"
 
@@ -20,7 +20,8 @@ def doc_keywords(spark, sf_dir):
 
 
 def hot_topics(spark, sf_dir):
-    return W.hot_topics(keyword_rows(spark, sf_dir), B.sentiment(spark, sf_dir))
+    stored = written(keyword_rows(spark, sf_dir), "keywords")  # the keywords table
+    return W.hot_topics(stored, B.sentiment(spark, sf_dir))
 
 
 def ngram_postings(spark, sf_dir):

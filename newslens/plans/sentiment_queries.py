@@ -8,7 +8,7 @@ from newslens import constants as K
 from newslens.functions.text import safe_title, strip
 from newslens.operators import sentiment as S
 from newslens.plans import bindings as B, oracles as O
-from newslens.session import fresh_path
+from newslens.session import fresh_path, written
 from newslens.sources.report import read_report, write_report
 
 
@@ -67,8 +67,10 @@ def sentiment_load(spark, sf_dir):
 def lookup_misses(spark, sf_dir):
     """Hits and misses when only image articles are in the corpus."""
     corpus = B.corpus(spark, sf_dir).where("content_type = 'image'").select("id", "title")
-    scored = scored_files(spark, sf_dir).drop("title").join(B.corpus(spark, sf_dir).select("id", "title"), "id")
-    matched = S.match_by_title(scored.select("id", "title", "sentiment"), corpus, ["id"])
+    files = B.article_files(spark, sf_dir)
+    scored = S.score_documents(files, "id", "value", ["title"]).select(
+        "id", "title", S.classify(F.col("compound")).alias("sentiment"))
+    matched = S.match_by_title(written(scored, "scored"), corpus, ["id"])
     return matched.groupBy("sentiment").agg(
         F.count_if(F.col("corpus_id").isNotNull()).alias("hits"),
         F.count_if(F.col("corpus_id").isNull()).alias("misses"))

@@ -63,7 +63,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan with fewer tasks than cores one task per core.
 
     Texts cost far more to process than to move, so a table that arrives in a
@@ -71,4 +71,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores, as any large one does, is left alone and nothing is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -69,7 +69,7 @@ def test_null_text_and_kept_columns(spark):
 
 
 def test_own_lexicon(spark):
-    lexicon = spark.createDataFrame([("table", 3 * L.UNIT)], "word string, valence long")
+    lexicon = {"table": 3.0}
     df = spark.createDataFrame([(1, "good table")], "id int, t string")
     assert S.score_documents(df, "id", "t", lexicon=lexicon).first().compound == round(3 / math.sqrt(24), 4)
 
