@@ -37,9 +37,12 @@ def number_rows(df: DataFrame, order: list[Column], out: str, within: list[str]
     ``order`` must be total (end it with a unique column). Rows are laid out by
     range, so neither a hot group nor a hot sort value meets in one task; the
     only thing that is summed up centrally is one row per partition and group.
+    Laying out by range reads the input twice (once to sample it), hence the
+    input is stored first and never computed twice.
     """
     within = within or []
     keys = [F.col(c) for c in within] + order
+    df = written(df, "unnumbered")
     spread = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     slots = written(
         spread.sortWithinPartitions(*keys).withColumn("_slot", F.monotonically_increasing_id()),

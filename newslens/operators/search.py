@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newslens.functions.text import let
+
 _SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
@@ -54,9 +56,9 @@ def search(corpus: DataFrame, term: str, key: str = "id") -> DataFrame:
     exactly when the lower-cased text contains it.
     """
     grams = _grams(term)
-    rows = corpus.select(key, F.lower(F.concat_ws("\n", "title", "content")).alias("_text"))
-    held = sum((F.col("_text").contains(g).cast("long") for g in grams), F.lit(0).cast("long"))
-    return rows.select(key, held.alias("n_grams")).where("n_grams > 0").withColumn(
+    held = let(F.lower(F.concat_ws("\n", "title", "content")), lambda text: sum(
+        (text.contains(g).cast("long") for g in grams), F.lit(0).cast("long")))
+    return corpus.select(key, held.alias("n_grams")).where("n_grams > 0").withColumn(
         "is_full", F.col("n_grams") == len(grams))
 
 

@@ -47,11 +47,13 @@ def join_around(left: DataFrame, right: DataFrame, hot: DataFrame, key: str,
     values = [c for c in right.columns if c != key]
     early = hot.select(F.col(key).alias("_hot"), F.struct(*values).alias("_early"))
     marked = left.join(F.broadcast(early), left[key] == F.col("_hot"), "left")
-    travel = F.when(F.col("_hot").isNull(), F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s"))).otherwise(
-        F.struct(F.lit(None).cast(left.schema[key].dataType).alias("k"), F.xxhash64(*spread_by).alias("s")))
-    late = right.select(F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("s")).alias("_travel"),
-                        F.struct(*values).alias("_late"))
-    joined = marked.withColumn("_travel", travel).join(late, "_travel", "left")
-    found = F.when(F.col("_hot").isNull(), F.col("_late")).otherwise(F.col("_early"))
-    return joined.withColumn("_found", found).select(
-        *[F.col(c) for c in left.columns], *[F.col("_found")[c].alias(c) for c in values])
+    ordinary = F.col("_hot").isNull()
+    # one string, so that Catalyst cannot drop the spreading part as a constant
+    own_key = F.concat(F.lit("="), F.col(key).cast("string"))
+    travelling = marked.withColumn("_key", F.when(ordinary, own_key).otherwise(
+        F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))))
+    # unique on the key, hence even: a hash table per partition spares sorting the left side
+    late = right.hint("shuffle_hash").select(own_key.alias("_key"), F.struct(*values).alias("_late"))
+    joined = travelling.join(late, "_key", "left").withColumn(
+        "_found", F.when(ordinary, F.col("_late")).otherwise(F.col("_early")))
+    return joined.select(*[F.col(c) for c in left.columns], *[F.col("_found")[c].alias(c) for c in values])

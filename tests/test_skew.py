@@ -18,8 +18,8 @@ def test_lookup_with_hot_keys_equals_left_join(spark):
 
 
 def test_hot_rows_spread_over_partitions(spark):
-    left = spark.range(8000).select("id", F.lit("hot").alias("key"))
-    right = spark.createDataFrame([("hot", 1)], "key string, v int")
+    left = spark.range(8000).select("id", F.when(F.col("id") >= 0, "hot").alias("key"))
+    right = spark.createDataFrame([("hot", 1), ("cold", 2)], "key string, v int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
