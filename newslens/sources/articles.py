@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newslens import constants as K
 from newslens.functions import text as T
 from newslens.functions.dates import date_from_text, date_from_url
 from newslens.functions.urls import url_host, url_param
 
-_BOM = "\ufeff"
+def _plain(encoded: Column) -> Column:
+    """A file name as it is on disk: file metadata holds it percent-encoded."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``.txt`` file of a folder as (path, file_name, value)."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     return files.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value")
+        _plain(F.col("_metadata.file_path")).alias("path"),
+        _plain(F.col("_metadata.file_name")).alias("file_name"), "value")
 
 
 def parse_articles(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -80,7 +83,7 @@ def parse_video_links(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_video_links(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
-    return parse_video_links(files.select(F.col("_metadata.file_name").alias("file_name"), "value"))
+    return parse_video_links(files.select(_plain(F.col("_metadata.file_name")).alias("file_name"), "value"))
 
 
 def read_sheet_rows(spark: SparkSession, path: str, lang: str, k: int = K.SHEET_ROWS) -> DataFrame:
