@@ -100,14 +100,23 @@ def flatten(page: str) -> list[dict]:
     return nodes
 
 
+_PAGES_AT_ONCE = 64
+
+
 def flatten_batches(keep: list[str], column: str):
-    """Arrow mapper: columns ``keep`` plus ``nodes``; the page itself is dropped."""
+    """Arrow mapper: columns ``keep`` plus ``nodes``; the page itself is dropped.
+
+    Nodes are handed back every few pages, so that a batch of large pages never
+    stands in memory as Python objects at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [None if p is None else flatten(p) for p in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [pa.array(rows, pa.list_(_ARROW_NODE))],
-                names=keep + ["nodes"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, _PAGES_AT_ONCE):
+                batch = whole.slice(start, _PAGES_AT_ONCE)
+                rows = [None if p is None else flatten(p) for p in batch.column(column).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c) for c in keep] + [pa.array(rows, pa.list_(_ARROW_NODE))],
+                    names=keep + ["nodes"])
 
     return run

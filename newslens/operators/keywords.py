@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from newslens.functions.numbers import percent
 from newslens.operators.ranking import top_per_group
 from newslens.operators.skew import HOT_KEYS, join_around
 from newslens.operators.terms import english_tokens
@@ -34,8 +35,9 @@ def hot_topics(keywords: DataFrame, scores: DataFrame, key: str = "id", n_words:
     """Topics named by the best keyword of each article.
 
     A topic lists the words that its articles rank highest, most frequent
-    first. Every article contributes its own few keywords, never pairs of
-    articles, so the work grows with the number of articles.
+    first; its heat is its size in percent of the largest topic. Every article
+    contributes its own few keywords, never pairs of articles, so the work
+    grows with the number of articles.
     """
     topic = keywords.where("rank_no = 1").select(key, F.col("keyword").alias("topic_name"))
     mean = scores.groupBy(F.col("corpus_id").alias(key)).agg(
@@ -49,4 +51,6 @@ def hot_topics(keywords: DataFrame, scores: DataFrame, key: str = "id", n_words:
     listed = best.groupBy("topic_name").agg(F.to_json(F.transform(
         F.array_sort(F.collect_list(F.struct("rank_no", "keyword"))), lambda x: x["keyword"]
     )).alias("topic_keywords"))
-    return sizes.join(listed, "topic_name")
+    largest = sizes.agg(F.max("article_count")).scalar()
+    return sizes.join(listed, "topic_name").withColumn("_largest", largest).withColumn(
+        "heat_score", percent(F.col("article_count"), F.col("_largest"), 2)).drop("_largest")

@@ -24,7 +24,8 @@ def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[str],
     """Left join to a table that is unique on ``key``, even for hot left keys.
 
     The (at most ``hot_keys``) keys that own ``hot_rows`` left rows or more meet
-    their partners by broadcast. See ``join_around`` for the rest.
+    their partners by broadcast. See ``join_around`` for the rest. ``left`` is
+    read twice, so it should be a stored table or cheap to compute.
     """
     heavy = (
         left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))

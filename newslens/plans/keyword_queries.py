@@ -61,8 +61,9 @@ QUERIES = {
         """pairs AS (SELECT topic_name, keyword, count(*) AS n FROM topics JOIN keywords USING (id) GROUP BY 1, 2)""",
         """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic_name ORDER BY n DESC, keyword) AS r FROM pairs) WHERE r <= 5)""",
         """listed AS (SELECT topic_name, '[' || string_agg('"' || keyword || '"', ',' ORDER BY r) || ']' AS topic_keywords FROM best GROUP BY 1)""",
-        final=f"""SELECT topic_name, count(DISTINCT t.id) AS article_count, {O.MEAN} AS avg_sentiment_score, any_value(topic_keywords) AS topic_keywords
-FROM topics t JOIN listed USING (topic_name) LEFT JOIN sentiment s ON s.corpus_id = t.id GROUP BY 1""")),
+        final=f"""SELECT *, {O.pct('article_count', '(max(article_count) OVER ())', 2)} AS heat_score FROM (
+SELECT topic_name, count(DISTINCT t.id) AS article_count, {O.MEAN} AS avg_sentiment_score, any_value(topic_keywords) AS topic_keywords
+FROM topics t JOIN listed USING (topic_name) LEFT JOIN sentiment s ON s.corpus_id = t.id GROUP BY 1)""")),
     "ngram_postings": (ngram_postings, O.with_(O.DOCS, O.CORPUS, _GRAMS,
         final="SELECT gram, count(*) AS n_documents, sum(id)::BIGINT AS sum_id FROM grams GROUP BY 1")),
     "ngram_search": (ngram_search, _SEARCH),

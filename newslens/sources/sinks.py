@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.operators.lifecycle import merge_processed
 from newslens.operators.ranking import number_rows
-from newslens.schema import CORPUS, SENTIMENT, conform
+from newslens.schema import CORPUS, PROCESSING_LOG, SENTIMENT, conform
 
 
 def _last_id(df: DataFrame | None) -> int:
@@ -64,3 +66,9 @@ def write_article_files(files: DataFrame, folder: str, as_text: bool = False) ->
 def save_processed(path: str, old: DataFrame, new: DataFrame) -> None:
     """Write the union of processed URLs to a new path."""
     merge_processed(old, new).write.mode("errorifexists").parquet(path)
+
+
+def append_log(log: DataFrame, path: str, start: datetime, end: datetime) -> None:
+    """Append the row of a finished job with its two clock columns."""
+    timed = log.withColumns({"start_time": F.lit(start), "end_time": F.lit(end)})
+    conform(timed, PROCESSING_LOG).coalesce(1).write.mode("append").parquet(path)

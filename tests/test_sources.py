@@ -164,3 +164,63 @@ def test_only_touched_months_are_recomputed(spark, tmp_path):
     put(spark, source, "2", second, fields)
     # January is absent from the table now, but is not touched by the new batch
     assert run(first[1:] + second) == [("2024-01", 1), ("2024-02", 2)]
+
+
+def article(folder, name, title, url, body, images=0):
+    listed = "".join(f"{i}. {title}_{i}.jpeg - 尺寸: 465x296\n" for i in range(1, images + 1))
+    (folder / name).write_text(f"标题: {title}\n网址: {url}\n\n{body}" + (f"\n\n图片列表:\n{listed}" if images else ""),
+                               encoding="utf-8")
+
+
+@pytest.fixture
+def folder(tmp_path):
+    path = tmp_path / "texts"
+    path.mkdir()
+    article(path, "Great day.txt", "Great day?", "http://x/2014-05/06/c.htm", "A great, great success.", images=2)
+    article(path, "Sad war.txt", "Sad war", "http://x/2016-05/06/c.htm", "Horrible war. Worst war.\n\n2016-05-06")
+    article(path, "Plain.txt", "Plain", "http://x/a/202001/02/c.html", "A table. A table. A table.")
+    return path
+
+
+def test_whole_load(spark, tmp_path, folder):
+    from newslens.plans import corpus_jobs as J
+
+    report, out = str(tmp_path / "report"), str(tmp_path / "out")
+    ranked = J.write_score_report(spark, str(folder), report)
+    assert rows(ranked, "title", "sentiment", "rank_no") == [
+        ("Great day", "positive", 1), ("Plain", "neutral", 1), ("Sad war", "negative", 1)]
+    J.load_all(spark, str(folder), report, out)
+    corpus, scores = spark.read.parquet(f"{out}/corpus"), spark.read.parquet(f"{out}/sentiment")
+    assert sorted(r.id for r in corpus.collect()) == [1, 2, 3]
+    joined = corpus.join(scores.drop("id"), corpus.id == scores.corpus_id)
+    assert rows(joined, "title", "sentiment") == [
+        ("Great day?", "positive"), ("Plain", "neutral"), ("Sad war", "negative")]
+    assert rows(corpus, "title", F.col("publish_date").cast("string"), "image_url") == [
+        ("Great day?", None, "images/Great day?_1.jpg"), ("Plain", None, None), ("Sad war", "2016-05-06", None)]
+    assert rows(spark.read.parquet(f"{out}/logs"), "process_type", "status", "processed_count") == [
+        ("crawl", "success", 3), ("sentiment_analysis", "success", 3)]
+    # a second load adds new files only
+    article(folder, "New.txt", "New", "u", "more")
+    J.load_articles(spark, str(folder), f"{out}/corpus", corpus)
+    again = spark.read.parquet(f"{out}/corpus")
+    assert rows(again.where("id > 3"), "id", "title") == [(4, "New")]
+    # a strict comparison misses the title with a refused character
+    strict = J.load_scores(spark, report, corpus, str(tmp_path / "strict"), strict_title=True)
+    assert rows(strict.where("status = 'failed'"), "title") == [("Great day",)]
+
+
+def test_term_reports_of_a_folder(spark, tmp_path, folder):
+    from newslens.plans import corpus_jobs as J
+
+    J.write_term_reports(spark, str(folder), str(tmp_path / "terms"))
+    assert rows(spark.read.parquet(str(tmp_path / "terms" / "english_by_word")), "word", "n") == [("table", 3)]
+    assert rows(spark.read.parquet(str(tmp_path / "terms" / "en")), "word", "n") == [("table", 3)]
+    assert spark.read.parquet(str(tmp_path / "terms" / "zh")).count() == 0
+
+
+def test_retention_of_a_folder(spark, folder):
+    from newslens.plans import corpus_jobs as J
+
+    keep, purge, media = J.split_by_age(spark, str(folder))
+    assert rows(purge, "title") == [("Great day?",)] and keep.count() == 2
+    assert rows(media, "kind", "file_name") == [("image", "Great day?_1.jpeg"), ("image", "Great day?_2.jpeg")]

@@ -149,9 +149,10 @@ def test_keywords_and_topics(spark, corpus, scores):
     assert rows(words, "id", "rank_no", "keyword", "frequency", "df") == [
         (1, 1, "apple", 2, 3), (1, 2, "pear", 1, 2), (2, 1, "plum", 2, 1), (2, 2, "apple", 1, 3),
         (3, 1, "pear", 2, 2), (3, 2, "apple", 1, 3)]
-    topics = rows(W.hot_topics(words, scores), "topic_name", "article_count", "avg_sentiment_score", "topic_keywords")
-    assert topics == [("apple", 1, 7.0, '["apple","pear"]'), ("pear", 1, None, '["apple","pear"]'),
-                      ("plum", 1, 1.0, '["apple","plum"]')]
+    topics = rows(W.hot_topics(words, scores), "topic_name", "article_count", "avg_sentiment_score", "topic_keywords",
+                  "heat_score")
+    assert topics == [("apple", 1, 7.0, '["apple","pear"]', 100.0), ("pear", 1, None, '["apple","pear"]', 100.0),
+                      ("plum", 1, 1.0, '["apple","plum"]', 100.0)]
 
 
 def brute_bigrams(text):
