@@ -21,7 +21,7 @@ def unprocessed(sheet: DataFrame, processed: DataFrame, position: str = "positio
     A URL repeated in the sheet counts as processed after its first row.
     """
     fresh = first_per_group(valid_urls(sheet), ["url"], [F.col(position)])
-    return fresh.join(processed.select("url"), "url", "left_anti")
+    return fresh.join(processed.select("url").distinct(), "url", "left_anti")
 
 
 def merge_processed(old: DataFrame, new: DataFrame) -> DataFrame:

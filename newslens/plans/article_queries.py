@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from newslens.functions.dates import date_from_text, date_from_url
 from newslens.functions.text import body_by_lines, content_by_rules, safe_title, title_from_file_name
 from newslens.functions.urls import file_format, url_host
+from newslens.operators import media as M
 from newslens.plans import bindings as B, oracles as O
 from newslens.sources.articles import parse_articles, parse_video_links, with_defaults
 
@@ -69,6 +70,25 @@ def video_links(spark, sf_dir):
     return parse_video_links(lines).select("file_name", "url", "host", "src", "c")
 
 
+def _parsed(spark, sf_dir):
+    return parse_articles(article_files(spark, sf_dir), ["id"])
+
+
+def image_rows(spark, sf_dir):
+    rows = M.image_rows(_parsed(spark, sf_dir))
+    return rows.withColumns({c: F.col(c).cast("long") for c in ("pos", "width", "height")})
+
+
+def video_rows(spark, sf_dir):
+    """Listed videos with the player of the order's second line as their link."""
+    parsed = _parsed(spark, sf_dir)
+    players = B.children(spark, sf_dir).where("kind = 'video' and pos = 2").select(
+        F.col("corpus_id").alias("id"), "video_url")
+    links = M.video_rows(parsed).join(players, F.col("corpus_id") == F.col("id")).select(
+        "file_name", players["video_url"].alias("url"))
+    return M.video_rows(parsed, links).withColumn("pos", F.col("pos").cast("long"))
+
+
 _SQL_DATE = "try_strptime({0}, '%Y-%m-%d')::DATE::VARCHAR"
 
 
@@ -108,6 +128,15 @@ FROM (SELECT *, unnest(range(1, n_videos + 1)) AS i FROM files)""")),
 CASE WHEN kind = 'image' THEN regexp_extract(file_name, '[^.]+$') END AS format,
 CASE WHEN kind = 'video' THEN regexp_extract(video_url, '//([^/]+)/', 1) END AS platform, count(*) AS n,
 sum(width)::BIGINT AS sum_width, sum(height)::BIGINT AS sum_height FROM children GROUP BY 1, 2, 3""")),
+    "image_rows": (image_rows, O.with_(O.DOCS, O.FILES, final="""SELECT id AS corpus_id, i AS pos, stem || '_' || i || '.jpeg' AS file_name,
+'images/' || stem || '_' || i || '.jpeg' AS file_path, i * 160 AS width, i * 120 AS height, 'jpeg' AS format
+FROM (SELECT *, unnest(range(1, n_images + 1)) AS i FROM files)""")),
+    "video_rows": (video_rows, O.with_(O.DOCS, O.FILES, O.CHILDREN, """listed AS (SELECT id AS corpus_id, i AS pos, stem || '_' || i || '_link.txt' AS file_name
+  FROM (SELECT *, unnest(range(1, n_videos + 1)) AS i FROM files))""",
+        """links AS (SELECT l.file_name, min(video_url) AS url FROM listed l JOIN children c ON c.corpus_id = l.corpus_id
+  WHERE kind = 'video' AND c.pos = 2 GROUP BY 1)""",
+        final="""SELECT corpus_id, pos, file_name, coalesce(url, 'videos/' || file_name) AS video_url,
+regexp_extract(url, '//([^/]+)/', 1) AS platform FROM listed LEFT JOIN links USING (file_name)""")),
     "video_links": (video_links, O.with_(O.CHILDREN, final="""SELECT file_name, video_url || '&c=1' AS url,
 regexp_extract(video_url, '//([^/]+)/', 1) AS host, regexp_extract(video_url, 'src=(.*)$', 1) AS src, '1' AS c
 FROM children WHERE kind = 'video'""")),

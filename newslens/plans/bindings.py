@@ -58,9 +58,10 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images (odd line numbers) and videos of articles."""
-    line = texts(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+def children(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Images (odd line numbers) and videos of articles; ``heavy`` spreads a small table."""
+    read = texts if heavy else table
+    line = read(spark, sf_dir, "lineitem", *(("l_orderkey", "l_linenumber") if heavy else ()))
     is_image = F.col("l_linenumber") % 2 == 1
     extension = F.when(F.col("l_returnflag") == "A", "png").when(
         F.col("l_returnflag") == "R", "jpeg").otherwise("bmp")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType, BooleanType, DateType, DecimalType, IntegerType, LongType, StringType,
@@ -150,6 +148,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
     return first_per_group(df, keys, order)
 
-
-def any_of(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

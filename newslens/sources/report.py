@@ -90,11 +90,14 @@ def parse_report(lines: DataFrame) -> DataFrame:
     marked = lines.withColumn("_head", section_of(F.col("value")))
     along = Window.partitionBy(*block).orderBy("line_id")
     filled = marked.withColumn("_section", F.last("_head", ignorenulls=True).over(along))
-    # last heading of each block, carried over the blocks that follow
-    ends = marked.groupBy(*block).agg(F.max_by(
-        F.col("_head"), F.when(F.col("_head").isNotNull(), F.col("line_id"))).alias("_last"))
+    # the last heading of each block, carried over the blocks that follow; place and
+    # class travel as one number, since a string would turn this into a sort
+    names = [name for name, _ in K.REPORT_SECTIONS]
+    code = F.array_position(F.array(*map(F.lit, names)), F.col("_head"))
+    ends = marked.groupBy(*block).agg(F.max(F.col("line_id") * 4 + code).alias("_last"))
     over = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*block, F.last("_last", ignorenulls=True).over(over).alias("_carry"))
+    carried = ends.select(*block, F.get(F.array(*map(F.lit, names)), (F.last(
+        "_last", ignorenulls=True).over(over) % 4).cast("int") - 1).alias("_carry"))
     joined = filled.join(carried, block).withColumn("sentiment", F.coalesce("_section", "_carry"))
     listed = joined.where(F.col("_head").isNull() & F.col("sentiment").isNotNull()
                           & F.col("value").rlike(_LINE))
