@@ -68,7 +68,7 @@ _SKIPPED = rf"\A(?:{_HEADER_LINE}|{K.BLANK}*\n)*+(?:{K.BLANK}+\z)?"
 
 def _first_of(text: Column, *marks: str) -> Column:
     """Position of the earliest mark, counted from 1, or NULL."""
-    return F.least(*[F.nullif(F.instr(text, mark), F.lit(0)) for mark in marks])
+    return F.array_min(F.filter(F.array(*[F.instr(text, mark) for mark in marks]), lambda at: at > 0))
 
 
 def body_by_lines(text: Column) -> Column:

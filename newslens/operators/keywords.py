@@ -6,26 +6,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from newslens.functions.numbers import percent
 from newslens.operators.ranking import top_per_group
-from newslens.operators.skew import HOT_KEYS, join_around
+from newslens.operators.skew import join_around
 from newslens.operators.terms import english_tokens
+from newslens.session import written
+
+WIDESPREAD = 20_000  # words whose frequencies are sent to every executor
 
 
 def document_keywords(docs: DataFrame, text: str = "content", key: str = "id", k: int = 5) -> DataFrame:
     """The ``k`` best tf-idf words of every document.
 
     ``weight = n * (ln((1 + N) / (1 + df)) + 1)``. Counting by (document, word)
-    collapses inside the map task; document frequencies are a second aggregate
-    over that result, joined back on the word. The most widespread words take
-    the broadcast path of that join, so no word gathers its rows in one task.
+    collapses inside the map task; the counts are stored, since document
+    frequencies are a second aggregate over them that is joined back on the
+    word. The most widespread words are answered by broadcast: most rows then
+    skip the shuffle of that join, and no word gathers its rows in one task.
     """
-    counts = english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
-        F.count("*").alias("frequency"))
-    # each row counts as one; reading ``frequency`` keeps both uses of ``counts``
-    # on the same columns, so that its shuffle is run once and read twice
-    frequency = counts.groupBy("word").agg(F.sum(F.least("frequency", F.lit(1))).alias("df"))
-    widespread = frequency.orderBy(F.desc("df"), "word").limit(HOT_KEYS)
+    counts = written(english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
+        F.count("*").alias("frequency")), "word-counts")
+    frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
+    widespread = frequency.orderBy(F.desc("df"), "word").limit(WIDESPREAD)
     n_docs = docs.agg(F.count("*")).scalar()
-    weighted = join_around(counts, frequency, widespread, "word", [key]).withColumn("weight", F.round(
+    weighted = join_around(counts, frequency, widespread, "word").withColumn("weight", F.round(
         F.col("frequency") * (F.log((n_docs + 1) / (F.col("df") + 1)) + 1), 6))
     return top_per_group(weighted, [key], [F.desc("weight"), F.col("word")], k).select(
         F.col(key), F.col("word").alias("keyword"), "frequency", "df", "weight", "rank_no")

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from newslens import constants as K
 from newslens.functions.urls import file_format, url_host
+from newslens.operators.skew import lookup
+from newslens.session import written
 
 
 def _listed(articles: DataFrame, key: str, kind: str) -> DataFrame:
-    return articles.select(F.col(key).alias("corpus_id"), F.explode("media").alias("m")).where(
+    # the outer form, since the plain one would evaluate the lists again as a filter
+    return articles.select(F.col(key).alias("corpus_id"), F.explode_outer("media").alias("m")).where(
         F.col("m.kind") == kind).select("corpus_id", "m.*")
 
 
@@ -25,13 +28,13 @@ def video_rows(articles: DataFrame, links: DataFrame | None = None, key: str = "
                folder: str = "videos") -> DataFrame:
     """One row per listed video; ``links`` (file_name, url) names the players.
 
-    A link file belongs to one article, so both join sides are even.
+    Articles with equal titles share file names, so one name may be frequent.
     """
     rows = _listed(articles, key, "video").select("corpus_id", "pos", "file_name")
     local = F.concat(F.lit(f"{folder}/"), "file_name")
     if links is None:
         return rows.withColumns({"video_url": local, "platform": F.lit(None).cast("string")})
     target = links.groupBy("file_name").agg(F.min("url").alias("url"))
-    found = rows.join(target, "file_name", "left")
+    found = lookup(written(rows, "listed-videos"), target, "file_name")
     return found.select("corpus_id", "pos", "file_name", F.coalesce("url", local).alias("video_url"),
                         url_host(F.col("url")).alias("platform"))

@@ -150,12 +150,10 @@ def load_form(scored: DataFrame) -> DataFrame:
     )
 
 
-def match_by_title(scores: DataFrame, corpus: DataFrame, spread_by: list[str],
-                   key: str = "title") -> DataFrame:
+def match_by_title(scores: DataFrame, corpus: DataFrame, key: str = "title") -> DataFrame:
     """Attach the first corpus id with the same title; NULL marks a miss.
 
-    One title may own a large share of the scores; ``spread_by`` names columns
-    that tell its rows apart.
+    One title may own a large share of the scores. ``scores`` should be stored.
     """
     first = corpus.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("id").alias("corpus_id"))
-    return lookup(scores, first, key, spread_by)
+    return lookup(scores, first, key)

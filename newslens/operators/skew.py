@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from newslens.session import written
+
 BROADCAST_ROWS = 100_000
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
@@ -19,42 +21,34 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if seen <= max_rows else df
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[str],
-           hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS,
+           hot_keys: int = HOT_KEYS) -> DataFrame:
     """Left join to a table that is unique on ``key``, even for hot left keys.
 
-    The (at most ``hot_keys``) keys that own ``hot_rows`` left rows or more meet
-    their partners by broadcast. See ``join_around`` for the rest. ``left`` is
-    read twice, so it should be a stored table or cheap to compute.
+    The (at most ``hot_keys``) keys that own ``hot_rows`` left rows or more are
+    hot; a key beyond these holds less than 1/``hot_keys`` of the rows. See
+    ``join_around`` for the join. ``left`` should be a stored table.
     """
     heavy = (
         left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
         .where(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), key).limit(hot_keys).select(key)
     )
-    return join_around(left, right, heavy.join(right, key, "left"), key, spread_by)
+    return join_around(left, right, heavy.join(right, key, "left"), key)
 
 
-def join_around(left: DataFrame, right: DataFrame, hot: DataFrame, key: str,
-                spread_by: list[str]) -> DataFrame:
-    """Left join in which rows of ``hot`` keys are answered ahead of the shuffle.
+def join_around(left: DataFrame, right: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Left join in which rows of hot keys are answered without a shuffle.
 
-    ``hot`` holds the right rows of the hot keys (a limited frame, hence the
-    broadcast). Left rows that it answers travel on under a key of their own,
-    made from ``spread_by``, instead of gathering in the partition of the hot
-    key. Every left row comes out exactly once. ``spread_by`` must tell the
-    rows of a hot key apart; it is hashed, so a repeated task sends each row
-    to the same place again.
+    ``hot`` holds the right rows of the hot keys; it comes from a limit, hence
+    the broadcast. All other rows take a shuffled join, rows without a key take
+    none. Every left row comes out exactly once. ``left`` is read three times,
+    so it should be a stored table.
     """
-    values = [c for c in right.columns if c != key]
-    early = hot.select(F.col(key).alias("_hot"), F.struct(*values).alias("_early"))
-    marked = left.join(F.broadcast(early), left[key] == F.col("_hot"), "left")
-    ordinary = F.col("_hot").isNull()
-    # one string, so that Catalyst cannot drop the spreading part as a constant
-    own_key = F.concat(F.lit("="), F.col(key).cast("string"))
-    travelling = marked.withColumn("_key", F.when(ordinary, own_key).otherwise(
-        F.concat(F.lit("#"), F.xxhash64(*spread_by).cast("string"))))
-    # unique on the key, hence even: a hash table per partition spares sorting the left side
-    late = right.hint("shuffle_hash").select(own_key.alias("_key"), F.struct(*values).alias("_late"))
-    joined = travelling.join(late, "_key", "left").withColumn(
-        "_found", F.when(ordinary, F.col("_late")).otherwise(F.col("_early")))
-    return joined.select(*[F.col(c) for c in left.columns], *[F.col("_found")[c].alias(c) for c in values])
+    hot = written(hot, "hot-keys")
+    values = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    busy = left.join(F.broadcast(hot), key)
+    # the right side is unique on the key, hence even: hashing it spares sorting the left side
+    others = left.where(F.col(key).isNotNull()).join(
+        F.broadcast(hot.select(key)), key, "left_anti").join(right.hint("shuffle_hash"), key, "left")
+    without = left.where(F.col(key).isNull()).select("*", *values)
+    return busy.unionByName(others).unionByName(without)

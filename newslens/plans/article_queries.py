@@ -41,7 +41,7 @@ def date_from_url_query(spark, sf_dir):
 
 def media_list(spark, sf_dir):
     parsed = parse_articles(article_files(spark, sf_dir), ["id"])
-    return parsed.select("id", F.explode("media").alias("m")).select(
+    return parsed.select("id", F.explode_outer("media").alias("m")).where("m is not null").select(
         "id", "m.kind", F.col("m.pos").cast("long").alias("pos"), "m.file_name",
         F.col("m.width").cast("long").alias("width"), F.col("m.height").cast("long").alias("height"))
 

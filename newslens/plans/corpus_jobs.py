@@ -59,9 +59,7 @@ def load_scores(spark: SparkSession, report: str, corpus: DataFrame, scores_path
     """
     title = F.col("title") if strict_title else strip(safe_title(F.col("title")))
     scores = written(S.load_form(read_report(spark, report)), "scores")
-    matched = S.match_by_title(scores, corpus.select("id", title.alias("title")),
-                               ["file_path", "block", "line_id"])
-    matched = written(matched, "matched")
+    matched = written(S.match_by_title(scores, corpus.select("id", title.alias("title"))), "matched")
     sinks.append_sentiment(matched, scores_path, [F.col("file_path"), F.col("block"), F.col("line_id")], existing)
     return matched.withColumn("status", F.when(F.col("corpus_id").isNull(), "failed").otherwise("success"))
 

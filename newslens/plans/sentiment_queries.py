@@ -51,7 +51,7 @@ def report_round_trip(spark, sf_dir):
 
 def matched_scores(spark, sf_dir):
     corpus = B.corpus(spark, sf_dir).select("id", strip(safe_title(F.col("title"))).alias("title"))
-    return S.match_by_title(S.load_form(round_trip(spark, sf_dir)), corpus, ["file_path", "block", "line_id"])
+    return S.match_by_title(written(S.load_form(round_trip(spark, sf_dir)), "scores"), corpus)
 
 
 def sentiment_load(spark, sf_dir):
@@ -70,7 +70,7 @@ def lookup_misses(spark, sf_dir):
     files = B.article_files(spark, sf_dir)
     scored = S.score_documents(files, "id", "value", ["title"]).select(
         "id", "title", S.classify(F.col("compound")).alias("sentiment"))
-    matched = S.match_by_title(written(scored, "scored"), corpus, ["id"])
+    matched = S.match_by_title(written(scored, "scored"), corpus)
     return matched.groupBy("sentiment").agg(
         F.count_if(F.col("corpus_id").isNotNull()).alias("hits"),
         F.count_if(F.col("corpus_id").isNull()).alias("misses"))

@@ -175,5 +175,5 @@ def test_load_form(spark):
 def test_match_by_title_takes_the_first_id(spark):
     corpus = spark.createDataFrame([(7, "a"), (3, "a"), (5, "b"), (6, None)], "id long, title string")
     scores = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "a")], "n int, title string")
-    got = rows(S.match_by_title(scores, corpus, ["n"]), "n", "corpus_id")
+    got = rows(S.match_by_title(scores, corpus), "n", "corpus_id")
     assert got == [(1, 3), (2, None), (3, None), (4, 3)]
