@@ -107,19 +107,28 @@ def media_list(text: Column) -> Column:
     Accepts either colon width and either list, in whichever order they stand.
     Only the text from the first list heading on is searched.
     """
-    item = r"^(\d+)\. (.+?)(?: - " + K.SIZE_LABEL[:-1] + r"[:：] (\d+)x(\d+))?\s*$"
     heads = K.IMAGE_LIST[:-1], K.VIDEO_LIST[:-1]
+    # titles, and so file names, can be very long: the size is looked for from its
+    # own label, not by trying every place where the name might end
+    size = rf" - {K.SIZE_LABEL[:-1]}[:：] (\d+x\d+)\s*\z"
+
+    def number(col: Column) -> Column:
+        return F.nullif(col, F.lit("")).cast("int")
 
     def section(tail: Column, head: str, other: str, kind: str) -> Column:
         chunk = F.regexp_extract(tail, rf"(?s)(?:\A|\n){head}[:：](.*?)(?:\n{other}[:：]|\z)", 1)
-        rows = F.filter(F.split(chunk, "\n"), lambda x: x.rlike(item))
-        return F.transform(rows, lambda x: F.struct(
-            F.regexp_extract(x, item, 1).cast("int").alias("pos"),
+        lines = F.transform(F.split(chunk, "\n"), lambda x: F.struct(
+            x.alias("line"), F.regexp_extract(x, r"^(\d+)\. ", 1).alias("pos"),
+            F.regexp_extract(x, size, 1).alias("size")))
+        items = F.transform(F.filter(lines, lambda x: x["pos"] != ""), lambda x: F.struct(
+            number(x["pos"]).alias("pos"),
             F.lit(kind).alias("kind"),
-            F.regexp_extract(x, item, 2).alias("file_name"),
-            F.nullif(F.regexp_extract(x, item, 3), F.lit("")).cast("int").alias("width"),
-            F.nullif(F.regexp_extract(x, item, 4), F.lit("")).cast("int").alias("height"),
+            F.regexp_replace(F.substring(x["line"], F.length(x["pos"]) + 3, F.length(x["line"])),
+                             rf"(?:{size})|\s+\z", "").alias("file_name"),
+            number(F.substring_index(x["size"], "x", 1)).alias("width"),
+            number(F.substring_index(x["size"], "x", -1)).alias("height"),
         ))
+        return F.filter(items, lambda x: x["file_name"] != "")
 
     first = F.coalesce(_first_of(text, *heads), F.length(text) + 1)
     # one character more, so that the heading's own line break is seen

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,11 @@ def build_session(app: str = "newslens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="newslens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
@@ -43,9 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="newslens-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return _local_folder()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
