@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from newslens.plans import bindings as B, rollup_queries as R, lifecycle_queries as Y
+from newslens.plans import bindings as B, rollup_queries as R
 from newslens.session import fresh_path
 from newslens.streaming import jobs
 

@@ -2,7 +2,6 @@
 
 import os
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry

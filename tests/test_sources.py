@@ -5,7 +5,6 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from newslens.functions.text import article_text
 from newslens.operators import terms
 from newslens.session import SETTINGS, fresh_path, shared_folder, spread
 from newslens.sources import articles as A, sinks

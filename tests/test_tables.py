@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from newslens import schema
 from newslens.operators import keywords as W, lifecycle as Y, quality as Q, rollups as R, search as X
-from newslens.operators.terms import english_tokens
 
 from .conftest import rows
 
