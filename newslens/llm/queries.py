@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newslens.llm import bpe_speculate, exact_dedup, mix_flow, quality_risk, simhash_cover
+from newslens.llm import bloom_cascade, bpe_speculate, exact_dedup, license_scan, mix_flow, quality_risk, simhash_cover
 from newslens.llm.common import Build, table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.find_licenses(table(spark, sf_dir, "documents")))
+
+
 def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mix(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -30,6 +34,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by the rules; where none fits, keys that the corpus pages through are blocked."""
+    pages = table(spark, sf_dir, "pages")
+    return bloom_cascade.judge_urls(pages, bloom_cascade.paged_keys(pages))
+
+
 OP9_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -39,14 +49,37 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP10_SQL = r"""
+WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages),
+listed AS (
+  SELECT DISTINCT host || path AS key FROM u
+  WHERE regexp_matches(regexp_extract(url, '^[^?#]*\?([^#]*)', 1, 's'), '(^|&)page=')),
+r AS (SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) AS t(verdict, h, p)),
+best AS (
+  SELECT page_id, max_by(struct_pack(rule := h || p, verdict := verdict), length(h || p)) AS b
+  FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT u.page_id, host, path, b.rule AS rule, coalesce(b.verdict,
+         CASE WHEN host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN best ON best.page_id = u.page_id
+"""
+
 QUERIES: dict[str, Build] = {
+    "op1_license_scan": op1_license_scan,
     "op3_mix_flow": op3_mix_flow,
     "op5_simhash_cover": op5_simhash_cover,
     "op6_quality_risk": op6_quality_risk,
     "op7_bpe_speculate": op7_bpe_speculate,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_bloom_cascade": op10_bloom_cascade,
 }
 
 ORACLES: dict[str, str] = {
     "op9_exact_dedup": OP9_SQL,
+    "op10_bloom_cascade": OP10_SQL,
 }
