@@ -34,7 +34,7 @@ from newslens.llm.common import as_bytes
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 MAX_PIECES = 300_000  # pieces and words a task remembers; then it starts anew
 MAX_PAIRS = 2_000_000
-_END = "￿"       # stands for the word-end mark, which then is one sign
+_END = "\uFFFF"       # stands for the word-end mark, which then is one sign
 
 
 def byte_signs() -> list[str]:

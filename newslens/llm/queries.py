@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newslens.llm import bloom_cascade, bpe_speculate, exact_dedup, license_scan, mix_flow, quality_risk, simhash_cover
+from newslens.llm import bloom_cascade, bpe_speculate, exact_dedup, license_scan, mix_flow, pii_votes, quality_risk, simhash_cover
 from newslens.llm.common import Build, table
 
 
@@ -29,6 +29,10 @@ def op7_bpe_speculate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_speculate.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_votes.summary(pii_votes.find_pii(table(spark, sf_dir, "documents")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Build] = {
     "op5_simhash_cover": op5_simhash_cover,
     "op6_quality_risk": op6_quality_risk,
     "op7_bpe_speculate": op7_bpe_speculate,
+    "op8_pii_votes": op8_pii_votes,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bloom_cascade": op10_bloom_cascade,
 }
