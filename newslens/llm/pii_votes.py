@@ -123,7 +123,7 @@ def base_spans(text: Column) -> dict[str, Column]:
         "email": matches(text, EMAIL, text.contains("@")),
         "ip": F.filter(matches(text, IP, text.contains(".") & number), lambda m: F.forall(
             F.split(m["value"], r"\."), lambda p: small(p) & F.when(
-                small(p), F.coalesce(F.expr("int(0)") + F.right(p, F.lit(3)).cast("int"), F.lit(0)) <= 255).otherwise(False))),
+                small(p), F.right(p, F.lit(3)).cast("int") <= 255).otherwise(False))),
         "card": F.filter(matches(text, CARD, number), lambda m: luhn(_digits(m["value"]))),
         "phone": F.filter(matches(text, PHONE, text.contains("+")), lambda m: F.length(_digits(m["value"])).between(8, 15)),
     }
@@ -207,8 +207,12 @@ def find_pii(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     text = F.replace(F.coalesce("text", F.lit("")), F.lit(_MARK), F.lit(_OTHER))
     clean = docs.select("doc_id", text.alias("text"))
     kinds = base_spans(F.col("text"))
-    base = F.concat(*[F.transform(kinds[k], lambda m, k=k: F.struct(
-        F.lit(k).alias("kind"), m["at"].alias("at"), m["end"].alias("end"))) for k in BASE_KINDS])
+
+    def named(kind: str) -> Column:
+        return F.transform(kinds[kind], lambda m: F.struct(
+            F.lit(kind).alias("kind"), m["at"].alias("at"), m["end"].alias("end")))
+
+    base = F.concat(*[named(k) for k in BASE_KINDS])
     found = stored(clean.select("doc_id", base.alias("spans"), candidates(F.col("text")).alias("proposed")), "spans")
     # patterns: three kinds times the values of the features, whatever the corpus
     patterns = stored(found.where(F.size("proposed") > 0).select(F.explode("proposed").alias("c")).select(
@@ -231,8 +235,12 @@ def listing(spans: Column) -> Column:
 def summary(found: DataFrame) -> DataFrame:
     """Counts and digest of the base spans, and all spans in order of kind and start."""
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
-    everything = F.transform(F.array_sort(F.transform(F.concat("spans", "added"), lambda s: F.struct(
-        order[s["kind"]].alias("no"), s["at"].alias("at"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: s)
+    everything = F.array_sort(F.transform(F.concat("spans", "added"), lambda s: F.struct(
+        order[s["kind"]].alias("no"), s["at"].alias("at"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
-        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
+        "doc_id", *[number(k).alias(f"n_{k}") for k in BASE_KINDS],
         F.sha2(listing(F.col("spans")), 256).alias("base_sha256"), listing(everything).alias("spans"))
