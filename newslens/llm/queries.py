@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newslens.llm import bloom_cascade, bpe_speculate, exact_dedup, license_scan, mix_flow, pii_votes, quality_risk, simhash_cover
+from newslens.llm import (
+    bloom_cascade, bpe_speculate, brown_lm, exact_dedup, license_scan, mix_flow, pii_votes, quality_risk,
+    simhash_cover,
+)
 from newslens.llm.common import Build, table
 
 
@@ -12,6 +15,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.find_licenses(table(spark, sf_dir, "documents")))
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mix(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -75,6 +82,7 @@ FROM u LEFT JOIN best ON best.page_id = u.page_id
 
 QUERIES: dict[str, Build] = {
     "op1_license_scan": op1_license_scan,
+    "op2_brown_lm": op2_brown_lm,
     "op3_mix_flow": op3_mix_flow,
     "op5_simhash_cover": op5_simhash_cover,
     "op6_quality_risk": op6_quality_risk,
