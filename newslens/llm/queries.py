@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newslens.llm import (
-    bloom_cascade, bpe_speculate, brown_lm, exact_dedup, license_scan, mix_flow, pii_votes, quality_risk,
+    bloom_cascade, bpe_speculate, brown_lm, column_bwt, exact_dedup, license_scan, mix_flow, pii_votes, quality_risk,
     simhash_cover,
 )
 from newslens.llm.common import Build, table
@@ -23,6 +23,10 @@ def op3_mix_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_flow.mix(table(spark, sf_dir, "documents")).drop("digest")
 
 
+def op4_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_bwt.digests(column_bwt.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_cover.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -84,6 +88,7 @@ QUERIES: dict[str, Build] = {
     "op1_license_scan": op1_license_scan,
     "op2_brown_lm": op2_brown_lm,
     "op3_mix_flow": op3_mix_flow,
+    "op4_column_bwt": op4_column_bwt,
     "op5_simhash_cover": op5_simhash_cover,
     "op6_quality_risk": op6_quality_risk,
     "op7_bpe_speculate": op7_bpe_speculate,
