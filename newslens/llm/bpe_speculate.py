@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from newslens.llm.common import as_bytes
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
-MAX_PIECES = 300_000  # pieces and words a task remembers; then it starts anew
+MAX_PIECES = 150_000  # pieces that a worker remembers; then it starts anew
+_DOOR = 1 << 20       # only pieces met before are remembered: one byte for each hash
 MAX_PAIRS = 2_000_000
 _END = "\uFFFF"       # stands for the word-end mark, which then is one sign
 
@@ -118,7 +119,7 @@ class SpeculativeBpe:
         # known pairs: sorted codes and their verdicts
         self.codes = np.empty(0, np.int64)
         self.good = np.empty(0, bool)
-        self.known_words: dict[str, list[int]] = {}
+        self.door, self.inside = bytearray(_DOOR), 0
         self.known_pieces: dict[bytes, tuple[bytes, int, bytes] | None] = {}
         self.merged_words = self.seen_words = 0
 
@@ -250,11 +251,10 @@ class SpeculativeBpe:
             at = np.searchsorted(self.codes, codes)
         return self.good[at]
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode words (signs, then the mark) that are not known yet."""
-        words = [w for w in words if w not in self.known_words]
+    def learn(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of words (signs, then the mark)."""
         if not words:
-            return
+            return {}
         proposals = [self.propose(w) for w in words]
         sizes = np.fromiter(map(len, proposals), np.int64, len(proposals))
         flat = np.fromiter(chain.from_iterable(proposals), np.int64, int(sizes.sum()))
@@ -266,12 +266,13 @@ class SpeculativeBpe:
         if len(right):
             failing = ~self._verdicts((flat[right - 1] << 20) | flat[right])
             bad[np.searchsorted(begin, right[failing], side="right") - 1] = True
-        self.known_words.update(zip(words, proposals))
+        found = dict(zip(words, proposals))
         failed = [words[k] for k in np.flatnonzero(bad).tolist()]
         if failed:
-            self.known_words.update(zip(failed, self.merge_all(failed)))
+            found.update(zip(failed, self.merge_all(failed)))
         self.seen_words += len(words)
         self.merged_words += len(failed)
+        return found
 
     def lowered(self, text: str) -> str:
         if text.isascii():
@@ -297,22 +298,29 @@ class SpeculativeBpe:
         return out
 
     def know(self, pieces: Iterable[bytes]) -> None:
-        """Fill ``known_pieces``: (ids as text, their number, decoded text), None without tokens."""
-        new = {p: self.cut(p) for p in pieces if p not in self.known_pieces}
-        if len(self.known_pieces) + len(new) > MAX_PIECES:
-            self.known_pieces.clear()
-        if len(self.known_words) + len(new) > MAX_PIECES:
-            self.known_words.clear()
-            again = {w for words in new.values() for w in words if isinstance(w, str)}
-            self.learn(again)
-        else:
-            self.learn(dict.fromkeys(w for words in new.values() for w in words if isinstance(w, str)))
+        """Add pieces to ``known_pieces``: (ids as text, their number, decoded text), None without tokens."""
+        new = {p: self.cut(p) for p in pieces}
+        found = self.learn([*dict.fromkeys(w for words in new.values() for w in words if isinstance(w, str))])
         names = self.names
         for piece, words in new.items():
-            ids = [i for w in words for i in ((w,) if isinstance(w, int) else self.known_words[w])]
+            ids = [i for w in words for i in ((w,) if isinstance(w, int) else found[w])]
             self.known_pieces[piece] = (
                 " ".join(map(str, ids)).encode(), len(ids), " ".join(names[i] for i in ids).encode()) if ids else None
 
+    def forget(self, pieces: Iterable[bytes]) -> None:
+        """Keep only those of the new pieces that were new before, as most are met once."""
+        door, known = self.door, self.known_pieces
+        for p in pieces:
+            at = hash(p) & (_DOOR - 1)
+            if not door[at]:
+                door[at] = 1
+                self.inside += 1
+                del known[p]
+        if self.inside > _DOOR // 2:
+            self.door, self.inside = bytearray(_DOOR), 0
+        if len(known) > MAX_PIECES:
+            known.clear()
+
     def encode_all(self, texts: list[bytes]) -> Iterator[tuple[bytes, int, bytes]]:
         """(ids as text, number of ids, decoded text) of each text."""
         gc.disable()  # nothing here has cycles, and the tables of known pieces are long to walk
@@ -322,13 +330,11 @@ class SpeculativeBpe:
             known = self.known_pieces
             missing = {p for pieces in cut for p in pieces if p not in known}
             if missing:
-                if len(known) + len(missing) > MAX_PIECES:
-                    missing = {p for pieces in cut for p in pieces}
-                    known.clear()
                 self.know(missing)
             for pieces in cut:
                 got = [x for x in map(known.__getitem__, pieces) if x]
                 yield (b" ".join([x[0] for x in got]), sum([x[1] for x in got]), b" ".join([x[2] for x in got]))
+            self.forget(missing)
 
 
 _MODELS: dict[str, SpeculativeBpe] = {}
@@ -342,6 +348,13 @@ def model_of(spec: str, name: str) -> SpeculativeBpe:
     return _MODELS[name]
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Fewer rows at once, as their texts are held as Python values."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _read(docs: DataFrame, path: str):
     """The tokenizer file as a broadcast value and its digest; the path need only exist on the driver."""
     with open(path, encoding="utf-8") as f:
@@ -355,7 +368,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(spec.value, name)
-        for batch in batches:
+        for batch in _slices(batches):
             got = [*model.encode_all(as_bytes(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([[*map(int, g[0].split())] for g in got], pa.list_(pa.int32())),
@@ -371,7 +384,7 @@ def encode_digests(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(spec.value, name)
-        for batch in batches:
+        for batch in _slices(batches):
             n, a, b = [], [], []
             for ids, size, decoded in model.encode_all(as_bytes(batch.column("text"))):
                 n.append(size)
