@@ -174,8 +174,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         "pattern", F.coalesce("pattern", -1 - F.col("no"))).withColumn(
         "u", F.xxhash64(F.lit(seed), "doc_id")), "marked-sizes")
 
-    cells = [(r["pattern"], r["no"], r["n"]) for r in
-             marked.groupBy("pattern", "no").agg(F.sum("size").alias("n")).collect()]
+    cells = sorted((r["pattern"], r["no"], r["n"]) for r in  # the flow depends on their order
+                   marked.groupBy("pattern", "no").agg(F.sum("size").alias("n")).collect())
     distinct = {r["pattern"]: r["once"] for r in chosen.collect()}
     distinct |= {p: n for p, _, n in cells if p < 0}
     flow = route(cells, distinct, {i: int(t) for i, t in enumerate(aims)}, repeat)

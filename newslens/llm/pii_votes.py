@@ -131,7 +131,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def candidates(text: Column) -> Column:
     """Proposed spans with their votes and features."""
-    number = text.rlike("[0-9]{3}")
+    number = {"phone": text.rlike("[0-9]{4}"), "id": text.rlike("-[0-9]{4}"), "secret": text.rlike("[0-9]")}
 
     def judged(kind: str) -> Column:
         def span(m: Column) -> Column:
@@ -142,7 +142,7 @@ def candidates(text: Column) -> Column:
                 m["before"].rlike(CONTEXT[kind]).cast("int").alias("near"),
                 F.least(F.lit(4), F.floor(F.length(v) / 10)).cast("int").alias("size"),
                 F.floor(4 * F.length(_digits(v)) / F.length(v)).cast("int").alias("digits"))
-        return F.transform(matches(text, LOOSE[kind], number), span)
+        return F.transform(matches(text, LOOSE[kind], number[kind]), span)
 
     return F.concat(*[judged(k) for k in LOOSE])
 
