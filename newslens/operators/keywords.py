@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from newslens.functions.numbers import percent
 from newslens.operators.ranking import top_per_group
@@ -10,36 +10,42 @@ from newslens.operators.skew import join_around
 from newslens.operators.terms import english_tokens
 from newslens.session import written
 
-WIDESPREAD = 20_000  # words whose frequencies are sent to every executor
+WIDESPREAD = 1_000  # words in more than one of so many documents are sent to every executor
 
 
-def document_keywords(docs: DataFrame, text: str = "content", key: str = "id", k: int = 5) -> DataFrame:
-    """The ``k`` best tf-idf words of every document.
+def document_keywords(docs: DataFrame, text: str = "content", key: str = "id",
+                      k: int | None = None) -> DataFrame:
+    """All words of every document by tf-idf, or its ``k`` best.
 
     ``weight = n * (ln((1 + N) / (1 + df)) + 1)``. Counting by (document, word)
     collapses inside the map task; the counts are stored, since document
     frequencies are a second aggregate over them that is joined back on the
     word. The most widespread words are answered by broadcast: most rows then
     skip the shuffle of that join, and no word gathers its rows in one task.
+    Their number is at most WIDESPREAD times the mean number of distinct words
+    in a document, however large the corpus.
     """
     counts = written(english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
         F.count("*").alias("frequency")), "word-counts")
-    frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
-    widespread = frequency.orderBy(F.desc("df"), "word").limit(WIDESPREAD)
+    frequency = written(counts.groupBy("word").agg(F.count("*").alias("df")), "word-frequency")
     n_docs = docs.agg(F.count("*")).scalar()
+    widespread = frequency.where(F.col("df") * WIDESPREAD > n_docs)
     weighted = join_around(counts, frequency, widespread, "word").withColumn("weight", F.round(
         F.col("frequency") * (F.log((n_docs + 1) / (F.col("df") + 1)) + 1), 6))
-    return top_per_group(weighted, [key], [F.desc("weight"), F.col("word")], k).select(
+    order = [F.desc("weight"), F.col("word")]
+    ranked = top_per_group(weighted, [key], order, k) if k else weighted.withColumn(
+        "rank_no", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.select(
         F.col(key), F.col("word").alias("keyword"), "frequency", "df", "weight", "rank_no")
 
 
 def hot_topics(keywords: DataFrame, scores: DataFrame, key: str = "id", n_words: int = 5) -> DataFrame:
     """Topics named by the best keyword of each article.
 
-    A topic lists the words that its articles rank highest, most frequent
-    first; its heat is its size in percent of the largest topic. Every article
-    contributes its own few keywords, never pairs of articles, so the work
-    grows with the number of articles.
+    A topic lists the ``n_words`` keywords that most of its articles have; its
+    heat is its size in percent of the largest topic. Every article contributes
+    its own keywords, never pairs of articles, so the work grows with the
+    keywords table.
     """
     topic = keywords.where("rank_no = 1").select(key, F.col("keyword").alias("topic_name"))
     mean = scores.groupBy(F.col("corpus_id").alias(key)).agg(

@@ -8,7 +8,7 @@ overload a task, and ``COUNT(*)`` over the plain left join is the sum of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from newslens import constants as K
 from newslens.functions.dates import in_month, month_end, month_of
@@ -114,9 +114,25 @@ def replace_months(statistics: DataFrame, path: str) -> None:
         "stat_month").parquet(path)
 
 
+def drop_months(spark: SparkSession, months: list[str], path: str) -> None:
+    """Remove the partitions of months; those that are not there are passed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for month in months:
+        folder = hadoop(f"{path}/stat_month={month}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def update_month(corpus: DataFrame, scores: DataFrame, month: str, path: str) -> DataFrame:
-    """Recompute one month in place and return the status row."""
-    replace_months(monthly_statistics(corpus, scores, month), path)
+    """Recompute one month in place and return the status row.
+
+    A month without articles any more loses its partition: an overwrite alone
+    touches no partition that it has no rows for.
+    """
+    rows = monthly_statistics(corpus, scores, month)
+    if corpus.where(in_month(F.col("publish_date"), month)).isEmpty():
+        drop_months(corpus.sparkSession, [month], path)
+    else:
+        replace_months(rows, path)
     return corpus.sparkSession.range(1).select(
         F.lit(f"Updated statistics for month: {month}").alias("result"))
 

@@ -150,10 +150,14 @@ def load_form(scored: DataFrame) -> DataFrame:
     )
 
 
-def match_by_title(scores: DataFrame, corpus: DataFrame, key: str = "title") -> DataFrame:
+def match_by_title(scores: DataFrame, corpus: DataFrame, key: str = "title", fold: bool = True) -> DataFrame:
     """Attach the first corpus id with the same title; NULL marks a miss.
 
-    One title may own a large share of the scores. ``scores`` should be stored.
+    Case does not count, unless ``fold`` is off. One title may own a large share
+    of the scores. ``scores`` should be stored.
     """
-    first = corpus.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("id").alias("corpus_id"))
-    return lookup(scores, first, key)
+    def folded(df: DataFrame) -> DataFrame:
+        return df.withColumn("_folded", F.lower(key) if fold else F.col(key))
+
+    first = folded(corpus.where(F.col(key).isNotNull())).groupBy("_folded").agg(F.min("id").alias("corpus_id"))
+    return lookup(folded(scores), first, "_folded").drop("_folded")

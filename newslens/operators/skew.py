@@ -47,8 +47,7 @@ def join_around(left: DataFrame, right: DataFrame, hot: DataFrame, key: str) ->
     hot = written(hot, "hot-keys")
     values = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
     busy = left.join(F.broadcast(hot), key)
-    # the right side is unique on the key, hence even: hashing it spares sorting the left side
     others = left.where(F.col(key).isNotNull()).join(
-        F.broadcast(hot.select(key)), key, "left_anti").join(right.hint("shuffle_hash"), key, "left")
+        F.broadcast(hot.select(key)), key, "left_anti").join(right, key, "left")
     without = left.where(F.col(key).isNull()).select("*", *values)
     return busy.unionByName(others).unionByName(without)

@@ -47,32 +47,58 @@ def load_articles(spark: SparkSession, folder: str, corpus_path: str,
         known = existing.select(F.col("file_path").alias("path"))
         files = files.join(known, "path", "left_anti")
     parsed = with_defaults(parse_articles(files, ["path"])).withColumnRenamed("path", "file_path")
-    return sinks.append_corpus(parsed, corpus_path, [F.col("file_path")], existing)
+    def listed(kind: str):
+        return F.coalesce(F.size(F.filter("media", lambda m: m["kind"] == kind)), F.lit(0))
+
+    counted = parsed.withColumns({
+        "image_count": listed("image"), "video_count": listed("video"),
+        "crawl_date": F.current_timestamp(), "create_time": F.current_timestamp()})
+    return sinks.append_corpus(counted, corpus_path, [F.col("file_path")], existing)
 
 
 def load_scores(spark: SparkSession, report: str, corpus: DataFrame, scores_path: str,
                 existing: DataFrame | None = None, strict_title: bool = False) -> DataFrame:
     """Read a report, match titles, append the hits; returns hits and misses by row.
 
+    Articles that ``existing`` holds scores of get no further ones.
+
     The report knows file names only. Unless ``strict_title``, corpus titles are
     compared in their file-safe form; else titles with refused characters miss.
     """
     title = F.col("title") if strict_title else strip(safe_title(F.col("title")))
     scores = written(S.load_form(read_report(spark, report)), "scores")
-    matched = written(S.match_by_title(scores, corpus.select("id", title.alias("title"))), "matched")
-    sinks.append_sentiment(matched, scores_path, [F.col("file_path"), F.col("block"), F.col("line_id")], existing)
+    matched = written(S.match_by_title(
+        scores, corpus.select("id", title.alias("title")), fold=not strict_title), "matched")
+    new = matched if existing is None else matched.join(existing.select("corpus_id").distinct(), "corpus_id", "left_anti")
+    sinks.append_sentiment(new, scores_path, [F.col("file_path"), F.col("block"), F.col("line_id")], existing)
     return matched.withColumn("status", F.when(F.col("corpus_id").isNull(), "failed").otherwise("success"))
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path`` as it is now, None before the first load.
+
+    Its rows are stored apart, since the load appends to the folder it reads.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    table = spark.read.parquet(path)
+    keys = [c for c in ("id", "file_path", "corpus_id") if c in table.columns]
+    return written(table.select(*keys), "loaded-keys")
+
+
 def load_all(spark: SparkSession, folder: str, report: str, out: str) -> None:
-    """Articles, then scores, then one log row for each."""
+    """Articles, then scores, then one log row for each.
+
+    May be run again: what the tables hold already is neither loaded nor numbered twice.
+    """
     start = datetime.now()
-    load_articles(spark, folder, f"{out}/corpus")
+    before = stored_table(spark, f"{out}/corpus")
+    loaded = load_articles(spark, folder, f"{out}/corpus", before).select(F.lit("success").alias("status"))
     corpus = spark.read.parquet(f"{out}/corpus")
-    loaded = corpus.select(F.lit("success").alias("status"))
     sinks.append_log(R.processing_log(R.load_counters(loaded), "crawl"), f"{out}/logs", start, datetime.now())
     start = datetime.now()
-    matched = load_scores(spark, report, corpus, f"{out}/sentiment")
+    matched = load_scores(spark, report, corpus, f"{out}/sentiment", stored_table(spark, f"{out}/sentiment"))
     sinks.append_log(R.processing_log(R.load_counters(matched), "sentiment_analysis"), f"{out}/logs",
                      start, datetime.now())
 

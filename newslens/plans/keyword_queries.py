@@ -52,7 +52,7 @@ _KEYWORDS = (O.DOCS, O.CORPUS, f"words AS ({O.english_words('corpus', 'content',
              """weighted AS (SELECT *, round(frequency * (ln(((SELECT count(*) FROM corpus) + 1)::DOUBLE / (df + 1)) + 1), 6) AS weight
   FROM per JOIN freq USING (word))""",
              """keywords AS (SELECT id, word AS keyword, frequency, df, weight, rank_no FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY weight DESC, word) AS rank_no FROM weighted) WHERE rank_no <= 5)""")
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY weight DESC, word) AS rank_no FROM weighted))""")
 
 QUERIES = {
     "doc_keywords": (doc_keywords, O.with_(*_KEYWORDS, final="SELECT * FROM keywords")),

@@ -112,7 +112,7 @@ def daily_statistics(spark, sf_dir):
 
 def hot_keywords(spark, sf_dir):
     dated = B.corpus(spark, sf_dir).where("publish_date is not null").withColumnRenamed("publish_date", "stat_date")
-    return _text_dates(R.hot_keywords(english_tokens(dated, "content", ["source", "stat_date"]), 10), "stat_date")
+    return _text_dates(R.hot_keywords(english_tokens(dated, "content", ["source", "stat_date"])), "stat_date")
 
 
 def keyword_heat(spark, sf_dir):
@@ -199,9 +199,8 @@ count(DISTINCT id) FILTER (content_type = 'image') AS image_count, count(DISTINC
         '(SELECT * FROM corpus WHERE publish_date IS NOT NULL)', 'content', 'source, publish_date')})""",
         """per AS (SELECT word AS keyword, CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, publish_date, count(*) AS n
 FROM words GROUP BY GROUPING SETS ((word, source, publish_date), (word, publish_date)))""",
-        final=f"""SELECT publish_date::VARCHAR AS stat_date, source, keyword, n, {O.pct('n', 'peak', 2)} AS heat_score, rank_no FROM (
-SELECT *, max(n) OVER (PARTITION BY publish_date, source) AS peak,
-row_number() OVER (PARTITION BY publish_date, source ORDER BY n DESC, keyword) AS rank_no FROM per) WHERE rank_no <= 10""")),
+        final=f"""SELECT publish_date::VARCHAR AS stat_date, source, keyword, n, {O.pct('n', 'peak', 2)} AS heat_score FROM (
+SELECT *, max(n) OVER (PARTITION BY publish_date, source) AS peak FROM per)""")),
     "keyword_heat": (keyword_heat, O.with_(*_C, f"""words AS ({O.english_words(
         "(SELECT *, date_trunc('year', publish_date)::DATE AS d FROM corpus WHERE publish_date IS NOT NULL)", 'content', 'source, d')})""",
         """per AS (SELECT word AS keyword, CASE WHEN grouping(source) = 1 THEN 'all' ELSE source END AS source, d, count(*) AS n

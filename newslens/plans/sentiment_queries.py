@@ -97,12 +97,12 @@ UNION ALL SELECT 'total', count(*), 100.0 FROM named""")),
     "report_round_trip": (report_round_trip, O.with_(*_REPORT, final="""SELECT title, sentiment, compound, count(*) AS n
 FROM report GROUP BY ALL""")),
     "sentiment_load": (sentiment_load, O.with_(*_REPORT, _RATES,
-        f"firsts AS (SELECT {O.strip('stem')} AS title, min(id) AS corpus_id FROM files GROUP BY 1)",
+        f"firsts AS (SELECT lower({O.strip('stem')}) AS folded, min(id) AS corpus_id FROM files GROUP BY 1)",
         final=f"""SELECT corpus_id, sentiment, {O.exact('((compound + 1) * 5)', 2)} AS sentiment_score,
 {O.exact('((compound + 1) * 5)', 2)} < 10 AS fits_v1_schema, confidence, positive_rate, negative_rate, neutral_rate,
 emotion_joy, emotion_trust, emotion_fear, emotion_surprise, count(*) AS n
-FROM report JOIN firsts USING (title) JOIN rates USING (sentiment) GROUP BY ALL""")),
+FROM report JOIN firsts ON lower(title) = folded JOIN rates USING (sentiment) GROUP BY ALL""")),
     "lookup_misses": (lookup_misses, O.with_(*_SCORED, final="""SELECT sentiment,
-count(*) FILTER (headline IN (SELECT title FROM docs WHERE o_orderstatus = 'O')) AS hits,
-count(*) FILTER (headline NOT IN (SELECT title FROM docs WHERE o_orderstatus = 'O')) AS misses FROM named GROUP BY 1""")),
+count(*) FILTER (lower(headline) IN (SELECT lower(title) FROM docs WHERE o_orderstatus = 'O')) AS hits,
+count(*) FILTER (lower(headline) NOT IN (SELECT lower(title) FROM docs WHERE o_orderstatus = 'O')) AS misses FROM named GROUP BY 1""")),
 }

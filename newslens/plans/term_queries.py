@@ -42,7 +42,7 @@ def top40_by_lang(spark, sf_dir):
 def terms_by_document_language(spark, sf_dir):
     docs = B.texts(spark, sf_dir, "documents", "doc_id")
     counts = terms.count_terms(terms.english_tokens(docs, "text", ["lang"]), ["lang"])
-    return terms.first_rows_per_sheet(counts, 20).select("lang", "row_no", "word", "n")
+    return terms.first_rows_per_sheet(counts).select("lang", "row_no", "word", "n")
 
 
 def stop_word_table(spark, sf_dir):
@@ -81,7 +81,7 @@ WHERE row_no <= 40""")),
         f"words AS ({O.english_words('documents', 'text', 'lang')})",
         "counts AS (SELECT lang, word, count(*) AS n FROM words GROUP BY ALL)",
         final="""SELECT lang, row_no, word, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS row_no
-FROM counts) WHERE row_no <= 20""")),
+FROM counts) WHERE row_no <= 40""")),
     "stop_word_table": (stop_word_table, O.with_(
         r"stops AS (SELECT DISTINCT lower(w) AS word FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM benchmark))",
         r"""words AS (SELECT lower(w) AS word FROM (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS w FROM documents)

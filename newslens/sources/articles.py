@@ -9,17 +9,19 @@ from newslens.functions import text as T
 from newslens.functions.dates import date_from_text, date_from_url
 from newslens.functions.urls import url_host, url_param
 
+
 def _plain(encoded: Column) -> Column:
     """A file name as it is on disk: file metadata holds it percent-encoded."""
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_articles(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``.txt`` file of a folder as (path, file_name, value)."""
+    """Every ``.txt`` file of a folder as (path, file_name, value) (S1); line ends become ``\\n``."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     return files.select(
         _plain(F.col("_metadata.file_path")).alias("path"),
-        _plain(F.col("_metadata.file_name")).alias("file_name"), "value")
+        _plain(F.col("_metadata.file_name")).alias("file_name"),
+        F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")).alias("value"))
 
 
 def parse_articles(files: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -198,6 +198,12 @@ def test_whole_load(spark, tmp_path, folder):
         ("Great day?", None, "images/Great day?_1.jpg"), ("Plain", None, None), ("Sad war", "2016-05-06", None)]
     assert rows(spark.read.parquet(f"{out}/logs"), "process_type", "status", "processed_count") == [
         ("crawl", "success", 3), ("sentiment_analysis", "success", 3)]
+    assert rows(corpus, "title", "image_count", "video_count") == [
+        ("Great day?", 2, 0), ("Plain", 0, 0), ("Sad war", 0, 0)]
+    assert corpus.where("create_time is null or crawl_date is null").count() == 0
+    # the same load again adds nothing
+    J.load_all(spark, str(folder), report, out)
+    assert spark.read.parquet(f"{out}/corpus").count() == 3 and spark.read.parquet(f"{out}/sentiment").count() == 3
     # a second load adds new files only
     article(folder, "New.txt", "New", "u", "more")
     J.load_articles(spark, str(folder), f"{out}/corpus", corpus)
@@ -223,3 +229,21 @@ def test_retention_of_a_folder(spark, folder):
     keep, purge, media = J.split_by_age(spark, str(folder))
     assert rows(purge, "title") == [("Great day?",)] and keep.count() == 2
     assert rows(media, "kind", "file_name") == [("image", "Great day?_1.jpeg"), ("image", "Great day?_2.jpeg")]
+
+
+def test_line_ends_of_other_systems(spark, tmp_path):
+    for name, end in (("a", "\n"), ("b", "\r\n"), ("c", "\r")):
+        (tmp_path / f"{name}.txt").write_bytes("标题: T\n网址: u\n\nBody line\n".replace("\n", end).encode())
+    from newslens.sources import articles
+
+    parsed = articles.parse_articles(articles.read_articles(spark, str(tmp_path)))
+    assert len({tuple(r) for r in parsed.select("title", "url", "content", "body").collect()}) == 1
+
+
+def test_titles_match_in_any_case(spark):
+    from newslens.operators import sentiment
+
+    scores = spark.createDataFrame([("HELLO",), ("none",)], "title string")
+    corpus = spark.createDataFrame([(3, "Hello"), (2, "hello")], "id long, title string")
+    assert rows(sentiment.match_by_title(scores, corpus), "title", "corpus_id") == [("HELLO", 2), ("none", None)]
+    assert rows(sentiment.match_by_title(scores, corpus, fold=False), "corpus_id") == [(None,), (None,)]

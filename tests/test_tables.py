@@ -73,6 +73,9 @@ def test_replacing_a_month_keeps_the_others(spark, corpus, scores, tmp_path):
     assert status.endswith("2024-01")
     assert rows(spark.read.parquet(path).select(F.col("stat_month").cast("string"), "total_articles")) == [
         ("2024-01", 2), ("2024-02", 1)]
+    # a month without articles goes, the other stays
+    R.update_month(corpus.where("id > 2"), scores, "2024-01", path)
+    assert rows(spark.read.parquet(path).select(F.col("stat_month").cast("string"))) == [("2024-02",)]
 
 
 def test_other_rollups(corpus, scores):
