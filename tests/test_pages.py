@@ -1,3 +1,5 @@
+import timeit
+
 from pyspark.sql import functions as F
 
 from newslens.functions import urls as U
@@ -36,6 +38,20 @@ def test_flatten_odd_markup():
     assert texts('<a href="unclosed>text') == '<a href="unclosed>text'
 
 
+def test_flatten_keeps_incomplete_tags_as_text():
+    texts = [n["text"] for n in flatten('a <b "open <i>x</i> <!never <p')]
+    assert texts == ['a <b "open ', None, "x", " <!never <p"]
+
+
+def test_flatten_work_grows_with_the_page():
+    for unit in ("<p><b>x</b>", '<a "', "<a ", "<a", "<!x ", "< x", "<a b='\">", "<a '\" "):
+        took = []
+        for n in (5_000, 40_000):
+            best = min(timeit.repeat(lambda: flatten(unit * n), number=1, repeat=2))
+            took.append(max(best, 0.002))
+        assert took[1] < 24 * took[0], unit  # 8 times the page; all pairs would be 64 times the work
+
+
 def test_container_order_is_by_selector(spark):
     html = '<div class="content"><p>in content</p></div><article><p>in article</p></article>'
     assert article(spark, html) == ("article", ["in article"])
