@@ -97,11 +97,15 @@ class SpeculativeBpe:
             np.array([m for _, m in self.ranks.values()], np.int32))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: t for t, i in self.special.items()}
+        self.shown = {i: (b"%d" % i, t.encode()) for i, t in self.names.items()}
         self.cut_special = regex.compile("|".join(
             map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # white space by its Unicode property, as that library has it
         self.words = regex.compile(split.replace(r"\s", r"\p{White_Space}"))
+        # a piece of ASCII letters is one word, unless the pattern or a special token cuts it
+        self.letters_whole = self.words.findall("abyz") == ["abyz"] and not any(
+            t.encode().isalpha() for t in self.special)
         signs = byte_signs()
         self.table = dict(enumerate(signs))
         self.sign_id = np.zeros(0x10000, np.int64)
@@ -113,9 +117,10 @@ class SpeculativeBpe:
         tokens = [*self.ids]
         reached = self.merge_all(tokens)
         self.reachable = {t: self.ids[t] for t, got in zip(tokens, reached) if got == [self.ids[t]]}
-        self.longest: dict[str, int] = {}
+        self.longest: dict[str, int] = {}  # by the first four signs; what is not here has three at most
         for t in self.reachable:
-            self.longest[t[:2]] = max(self.longest.get(t[:2], 0), len(t))
+            if len(t) > 3:
+                self.longest[t[:4]] = max(self.longest.get(t[:4], 0), len(t))
         # known pairs: sorted codes and their verdicts
         self.codes = np.empty(0, np.int64)
         self.good = np.empty(0, bool)
@@ -218,7 +223,7 @@ class SpeculativeBpe:
         """Greedy longest match; every sign alone, and every last sign with the mark, is a token."""
         out, at, n, ids, longest = [], 0, len(word), self.reachable, self.longest
         while at < n:
-            end = min(n, at + longest.get(word[at:at + 2], 1))
+            end = min(n, at + longest.get(word[at:at + 4], 3))
             while True:
                 if end != n - 1:  # the mark is never alone
                     token = ids.get(word[at:end])
@@ -299,13 +304,25 @@ class SpeculativeBpe:
 
     def know(self, pieces: Iterable[bytes]) -> None:
         """Add pieces to ``known_pieces``: (ids as text, their number, decoded text), None without tokens."""
-        new = {p: self.cut(p) for p in pieces}
-        found = self.learn([*dict.fromkeys(w for words in new.values() for w in words if isinstance(w, str))])
-        names = self.names
-        for piece, words in new.items():
-            ids = [i for w in words for i in ((w,) if isinstance(w, int) else found[w])]
-            self.known_pieces[piece] = (
-                " ".join(map(str, ids)).encode(), len(ids), " ".join(names[i] for i in ids).encode()) if ids else None
+        plain, new = {}, {}
+        for p in pieces:
+            if self.letters_whole and p.isalpha():
+                plain[p] = p.lower().decode() + _END
+            else:
+                new[p] = self.cut(p)
+        words = dict.fromkeys(plain.values())
+        words.update(dict.fromkeys(w for cut in new.values() for w in cut if isinstance(w, str)))
+        found = self.learn([*words])
+        shown, known = self.shown, self.known_pieces
+
+        def remember(piece: bytes, ids: list[int]) -> None:
+            rows = [shown[i] for i in ids]
+            known[piece] = (b" ".join([r[0] for r in rows]), len(ids), b" ".join([r[1] for r in rows])) if ids else None
+
+        for piece, word in plain.items():
+            remember(piece, found[word])
+        for piece, cut in new.items():
+            remember(piece, [i for w in cut for i in ((w,) if isinstance(w, int) else found[w])])
 
     def forget(self, pieces: Iterable[bytes]) -> None:
         """Keep only those of the new pieces that were new before, as most are met once."""
