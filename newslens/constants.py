@@ -76,6 +76,7 @@ CONTENT_TYPES = ("text", "image", "video")
 SENTIMENTS = ("positive", "neutral", "negative")
 IMAGE_FORMATS = ("jpg", "jpeg", "png", "gif", "webp")
 KEYWORD_TYPES = ("person", "organization", "location", "technology", "other")
+DEFAULT_KEYWORD_TYPE = "other"
 PROCESS_TYPES = ("crawl", "sentiment_analysis", "keyword_extraction", "statistics")
 PROCESS_STATES = ("success", "failed", "running")
 TITLE_MAX = 500

@@ -14,6 +14,8 @@ from newslens import constants as K
 from newslens.functions.dates import in_month, month_end, month_of
 from newslens.functions.numbers import percent
 from newslens.operators.ranking import top_per_group
+from newslens.operators.skew import bounded_broadcast
+from newslens.session import written
 
 
 def per_article(scores: DataFrame) -> DataFrame:
@@ -169,11 +171,13 @@ def _heat(counts: DataFrame, groups: list[str], n: str, out: str) -> DataFrame:
     """``100 * n / max(n)`` inside each group.
 
     The maxima are aggregated and joined back: a window would sort a whole
-    group, such as the vocabulary of a busy day, in one task. The join carries
-    no hint; adaptive execution broadcasts the maxima once it has measured them.
+    group, such as the vocabulary of a busy day, in one task. The counts are
+    stored, so they are made once; the maxima, one row per group, are broadcast
+    after a check of their number, and the counts stay where they are.
     """
-    peak = counts.groupBy(*groups).agg(F.max(n).alias("_peak"))
-    return counts.join(peak, groups).withColumn(
+    counts = written(counts, "heat-counts")
+    peak = written(counts.groupBy(*groups).agg(F.max(n).alias("_peak")), "heat-maxima")
+    return counts.join(bounded_broadcast(peak), groups).withColumn(
         out, percent(F.col(n), F.col("_peak"), 2)).drop("_peak")
 
 
@@ -189,7 +193,7 @@ def hot_keywords(tokens: DataFrame, k: int | None = None) -> DataFrame:
     overall = per_source.groupBy("keyword", "stat_date").agg(F.sum("n").alias("n")).withColumn(
         "source", F.lit("all"))
     counts = per_source.unionByName(overall)
-    groups = ["stat_date", "source"]
+    groups = ["stat_date", "source"]  # null dates and sources have no heat
     if k is None:
         return _heat(counts, groups, "n", "heat_score")
     top = top_per_group(counts, groups, [F.desc("n"), F.col("keyword")], k)

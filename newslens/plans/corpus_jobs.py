@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newslens import constants as K
 from newslens.functions.text import body_by_lines, has_cjk, safe_title, strip, title_from_file_name
-from newslens.operators import lifecycle as Y, rollups as R, sentiment as S, terms
+from newslens.operators import keywords as W, lifecycle as Y, media as M, rollups as R, sentiment as S, terms
+from newslens.schema import IMAGES, KEYWORDS, VIDEOS, conform
 from newslens.session import written
 from newslens.sources import sinks
 from newslens.sources.articles import parse_articles, read_articles, with_defaults
@@ -41,12 +42,17 @@ def write_score_report(spark: SparkSession, folder: str, out: str) -> DataFrame:
 
 def load_articles(spark: SparkSession, folder: str, corpus_path: str,
                   existing: DataFrame | None = None) -> DataFrame:
-    """Parse a folder and append what the corpus does not hold yet, by file path."""
-    files = read_articles(spark, folder)
+    """Parse a folder and append what the corpus does not hold yet, by file path.
+
+    Files that are no UTF-8 text are left out (``unreadable`` lists them). The
+    rows come back with their ids and lists of media.
+    """
+    files = read_articles(spark, folder).where(F.is_valid_utf8("value"))
     if existing is not None:
         known = existing.select(F.col("file_path").alias("path"))
         files = files.join(known, "path", "left_anti")
     parsed = with_defaults(parse_articles(files, ["path"])).withColumnRenamed("path", "file_path")
+
     def listed(kind: str):
         return F.coalesce(F.size(F.filter("media", lambda m: m["kind"] == kind)), F.lit(0))
 
@@ -56,6 +62,31 @@ def load_articles(spark: SparkSession, folder: str, corpus_path: str,
     return sinks.append_corpus(counted, corpus_path, [F.col("file_path")], existing)
 
 
+def unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of the article files of a folder that are no UTF-8 text."""
+    return read_articles(spark, folder).where(~F.is_valid_utf8("value")).select("path")
+
+
+def load_media(spark: SparkSession, loaded: DataFrame, out: str) -> None:
+    """Append the images and videos that new articles list."""
+    for name, rows, form in (("images", M.image_rows(loaded), IMAGES), ("videos", M.video_rows(loaded), VIDEOS)):
+        path = f"{out}/{name}"
+        sinks.append_children(rows, form, path, [F.col("corpus_id"), F.col("pos")], stored_table(spark, path))
+
+
+def write_keywords(spark: SparkSession, out: str) -> DataFrame:
+    """Write the keywords of the whole corpus anew and return them.
+
+    Weights depend on all articles, so a load changes those of older ones too.
+    """
+    corpus = spark.read.parquet(f"{out}/corpus")
+    words = W.document_keywords(corpus).withColumnRenamed("id", "corpus_id").withColumn(
+        "keyword_type", F.lit(K.DEFAULT_KEYWORD_TYPE))
+    rows = conform(sinks.assign_ids(words, [F.col("corpus_id"), F.col("rank_no")]), KEYWORDS)
+    rows.write.mode("overwrite").parquet(f"{out}/keywords")
+    return rows
+
+
 def load_scores(spark: SparkSession, report: str, corpus: DataFrame, scores_path: str,
                 existing: DataFrame | None = None, strict_title: bool = False) -> DataFrame:
     """Read a report, match titles, append the hits; returns hits and misses by row.
@@ -88,19 +119,25 @@ def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def load_all(spark: SparkSession, folder: str, report: str, out: str) -> None:
-    """Articles, then scores, then one log row for each.
+    """Articles with their media, then scores, then keywords, and one log row for each step.
 
-    May be run again: what the tables hold already is neither loaded nor numbered twice.
+    May be run again: what the tables hold already is neither loaded nor
+    numbered twice. Files that cannot be read count as failed, each time.
     """
+    def log(rows: DataFrame, step: str) -> None:
+        sinks.append_log(R.processing_log(R.load_counters(rows), step), f"{out}/logs", start, datetime.now())
+
+    start = datetime.now()
+    loaded = load_articles(spark, folder, f"{out}/corpus", stored_table(spark, f"{out}/corpus"))
+    load_media(spark, loaded, out)
+    log(loaded.select(F.lit("success").alias("status")).unionByName(
+        unreadable(spark, folder).select(F.lit("failed").alias("status"))), "crawl")
     start = datetime.now()
-    before = stored_table(spark, f"{out}/corpus")
-    loaded = load_articles(spark, folder, f"{out}/corpus", before).select(F.lit("success").alias("status"))
     corpus = spark.read.parquet(f"{out}/corpus")
-    sinks.append_log(R.processing_log(R.load_counters(loaded), "crawl"), f"{out}/logs", start, datetime.now())
+    log(load_scores(spark, report, corpus, f"{out}/sentiment", stored_table(spark, f"{out}/sentiment")),
+        "sentiment_analysis")
     start = datetime.now()
-    matched = load_scores(spark, report, corpus, f"{out}/sentiment", stored_table(spark, f"{out}/sentiment"))
-    sinks.append_log(R.processing_log(R.load_counters(matched), "sentiment_analysis"), f"{out}/logs",
-                     start, datetime.now())
+    log(write_keywords(spark, out).select(F.lit("success").alias("status")), "keyword_extraction")
 
 
 def split_by_age(spark: SparkSession, folder: str, first_year: int = K.RETENTION_FIRST_YEAR,

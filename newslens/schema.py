@@ -52,7 +52,7 @@ VIDEOS = _struct(
 KEYWORDS = _struct(
     ("id", LongType(), False), ("corpus_id", LongType(), False), ("keyword", StringType(), False),
     ("keyword_type", StringType(), True), ("frequency", IntegerType(), True),
-    ("weight", DecimalType(5, 2), True),
+    ("weight", DecimalType(18, 2), True),  # a word repeated in a long article outgrows (5, 2)
 )
 
 MEDIA_STATISTICS = _struct(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from newslens.operators.lifecycle import merge_processed
 from newslens.operators.ranking import number_rows
@@ -26,9 +27,9 @@ def assign_ids(new: DataFrame, order: list[Column], existing: DataFrame | None =
 
 def append_corpus(parsed: DataFrame, path: str, order: list[Column],
                   existing: DataFrame | None = None) -> DataFrame:
-    """Append articles with new ids (K1). Returns the appended rows."""
-    rows = conform(assign_ids(parsed, order, existing), CORPUS)
-    rows.write.mode("append").parquet(path)
+    """Append articles with new ids (K1). Returns the appended rows, with all columns of ``parsed``."""
+    rows = assign_ids(parsed, order, existing)
+    conform(rows, CORPUS).write.mode("append").parquet(path)
     return rows
 
 
@@ -41,6 +42,12 @@ def append_sentiment(matched: DataFrame, path: str, order: list[Column],
     return rows
 
 
+def append_children(rows: DataFrame, schema: StructType, path: str, order: list[Column],
+                    existing: DataFrame | None = None) -> None:
+    """Append images, videos or keywords of articles with new ids."""
+    conform(assign_ids(rows, order, existing), schema).write.mode("append").parquet(path)
+
+
 def write_sheets(sheets: dict[str, DataFrame], folder: str, as_csv: bool = False) -> None:
     """One dataset per result sheet (K3); CSV as the portable alternative."""
     for name, frame in sheets.items():

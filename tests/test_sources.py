@@ -197,13 +197,26 @@ def test_whole_load(spark, tmp_path, folder):
     assert rows(corpus, "title", F.col("publish_date").cast("string"), "image_url") == [
         ("Great day?", None, "images/Great day?_1.jpg"), ("Plain", None, None), ("Sad war", "2016-05-06", None)]
     assert rows(spark.read.parquet(f"{out}/logs"), "process_type", "status", "processed_count") == [
-        ("crawl", "success", 3), ("sentiment_analysis", "success", 3)]
+        ("crawl", "success", 3), ("keyword_extraction", "success", 6), ("sentiment_analysis", "success", 3)]
     assert rows(corpus, "title", "image_count", "video_count") == [
         ("Great day?", 2, 0), ("Plain", 0, 0), ("Sad war", 0, 0)]
     assert corpus.where("create_time is null or crawl_date is null").count() == 0
-    # the same load again adds nothing
+    great = corpus.where("title like 'Great%'").first().id
+    images, videos = spark.read.parquet(f"{out}/images"), spark.read.parquet(f"{out}/videos")
+    assert rows(images, "id", "corpus_id", "file_name", "width", "format") == [
+        (1, great, "Great day?_1.jpeg", 465, "jpeg"), (2, great, "Great day?_2.jpeg", 465, "jpeg")]
+    assert videos.count() == 0
+    words = spark.read.parquet(f"{out}/keywords")
+    assert sorted(r.id for r in words.collect()) == [*range(1, words.count() + 1)]
+    assert rows(words.where(F.col("corpus_id") == great).where("keyword = 'great'"), "keyword_type", "frequency") == [
+        ("other", 2)]
+    before = {name: rows(spark.read.parquet(f"{out}/{name}")) for name in ("corpus", "sentiment", "images", "keywords")}
+    # the same load again adds nothing; a file that is no text counts as failed
+    (folder / "Broken.txt").write_bytes(b"\xff\xfe no text")
     J.load_all(spark, str(folder), report, out)
-    assert spark.read.parquet(f"{out}/corpus").count() == 3 and spark.read.parquet(f"{out}/sentiment").count() == 3
+    assert {name: rows(spark.read.parquet(f"{out}/{name}")) for name in before} == before
+    last = spark.read.parquet(f"{out}/logs").where("process_type = 'crawl'").orderBy(F.desc("start_time")).first()
+    assert (last.status, last.processed_count, last.details) == ("failed", 0, '{"processed":0,"failed":1}')
     # a second load adds new files only
     article(folder, "New.txt", "New", "u", "more")
     J.load_articles(spark, str(folder), f"{out}/corpus", corpus)
