@@ -15,15 +15,14 @@ from newslens.operators.skew import lookup
 _TOKEN = r"[\p{L}\p{N}_']+"
 
 
-MAX_LEXICON = 50_000
+BROADCAST_WORDS = 50_000  # a lexicon up to this size is sent to every executor
 
 
 def lexicon_table(spark: SparkSession, words: dict[str, float]) -> DataFrame:
-    """(word, valence in 10^-8 units), small enough to be sent to every executor."""
-    if len(words) > MAX_LEXICON:
-        raise ValueError(f"a lexicon holds at most {MAX_LEXICON} words, not {len(words)}")
-    return spark.createDataFrame(
+    """(word, valence in 10^-8 units), marked for broadcast if it has few words."""
+    table = spark.createDataFrame(
         pa.table({"_entry": list(words), "_valence": [round(v * L.UNIT) for v in words.values()]}))
+    return F.broadcast(table) if len(words) <= BROADCAST_WORDS else table
 
 
 def _count_char(text: Column, char: str) -> Column:
@@ -39,16 +38,20 @@ def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None
     hits become rows. They meet their valence by a broadcast join in the map
     stage; what is shuffled is one partial sum per document. All sums are
     integers in 10^-8 units: the order of addition cannot matter.
+
+    A lexicon of more than BROADCAST_WORDS words is joined by an ordinary
+    shuffle, to all tokens, as it is too long for a list in the plan.
     """
     keep, words = keep or [], L.WORDS if lexicon is None else lexicon
-    valences = F.broadcast(lexicon_table(docs.sparkSession, words))
+    valences = lexicon_table(docs.sparkSession, words)
     t = F.col(text)
 
     def hits_of(tokens: Column) -> Column:
         lowered = F.transform(tokens, F.lower)
 
         def pick(low: Column) -> Column:
-            places = F.filter(F.transform(low, lambda w, i: F.when(w.isin(*words), i)), lambda i: i.isNotNull())
+            listed = (lambda w: w.isin(*words)) if len(words) <= BROADCAST_WORDS else (lambda w: F.lit(True))
+            places = F.filter(F.transform(low, lambda w, i: F.when(listed(w), i)), lambda i: i.isNotNull())
             return F.transform(places, lambda i: F.struct(
                 i.alias("pos"), F.get(tokens, i).alias("word"), F.get(low, i).alias("low"),
                 *[F.get(low, i - n).alias(f"w{n}") for n in L.BOOST]))

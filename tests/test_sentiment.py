@@ -68,6 +68,14 @@ def test_null_text_and_kept_columns(spark):
     assert got == [(1, "a", 0), (2, "b", 1)]
 
 
+def test_lexicon_of_any_size(spark, monkeypatch):
+    texts = ["VERY good day, but not a bad war!", "nothing here", "", None, "good good " * 50, "never so good?? GOOD"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    few = sorted(map(tuple, S.score_documents(df, "id", "t").collect()))
+    monkeypatch.setattr(S, "BROADCAST_WORDS", 1)
+    assert sorted(map(tuple, S.score_documents(df, "id", "t").collect())) == few
+
+
 def test_own_lexicon(spark):
     lexicon = {"table": 3.0}
     df = spark.createDataFrame([(1, "good table")], "id int, t string")
