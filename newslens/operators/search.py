@@ -33,7 +33,8 @@ def write_postings(corpus: DataFrame, path: str, buckets: int = 64, parts: int =
     bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
     part = F.pmod(F.xxhash64(key), F.lit(parts))
     rows = postings(corpus, key).withColumn("bucket", bucket)
-    rows.repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    # sorted by gram, so that a search skips the row groups that hold other grams
+    rows.repartition("bucket", part).sortWithinPartitions("bucket", "gram").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None = None) -> DataFrame:

@@ -92,10 +92,15 @@ def refresh_months(arrivals: DataFrame, corpus: DataFrame, scores: DataFrame, ou
     spark = arrivals.sparkSession
 
     def step(batch: DataFrame, batch_no: int) -> None:
-        touched = batch.where(F.col("publish_date").isNotNull()).select(
-            month_of(F.col("publish_date")).alias("_month")).distinct()
-        chosen = corpus.withColumn("_month", month_of(F.col("publish_date"))).join(
-            touched, "_month", "left_semi").drop("_month")
+        published = F.col("publish_date")
+        dated = batch.where(published.isNotNull())
+        first, last = dated.agg(F.min(F.trunc(published, "month")), F.max(F.last_day(published))).first()
+        if first is None:
+            return
+        touched = dated.select(month_of(published).alias("_month")).distinct()
+        # the range of dates reaches the scan, the months inside it are then chosen exactly
+        chosen = corpus.where(published.between(F.lit(first), F.lit(last))).withColumn(
+            "_month", month_of(published)).join(touched, "_month", "left_semi").drop("_month")
         replace_months(monthly_statistics(chosen, scores), out)
 
     _drain(arrivals.writeStream.foreachBatch(step), checkpoint)
