@@ -1,23 +1,29 @@
 """Quality rules whose cutoffs keep the risk of rejecting a good document bounded.
 
-Rules compare a score of the text with a cutoff. For each stratum (language) and
-rule, every cutoff of a fixed grid is tested on the labelled good documents: it is
-safe if k or fewer rejections among n would have probability DELTA / (number of
-tests) or less were the true risk above the rule's share of ALPHA (exact binomial
-tail, Bonferroni over all strata, rules and cutoffs). Of the safe cutoffs the one
-is taken that rejects the largest share of bad documents beyond COST times the
-share of good ones; a rule without such a cutoff rejects nothing. So with
-probability 1 - DELTA no stratum loses more than ALPHA of its good documents to
-these rules. All of it is DataFrame expressions.
+Rules compare a score of the text with a cutoff. For each stratum (language) the
+rejections of labelled good documents are tested from the loosest cutoff of a fixed
+grid to the strictest: it is safe if k or fewer rejections among n would have
+probability p or less were the true risk above the bound (exact binomial tail).
+Rejections are nested along a grid, so the first test that fails ends its sequence
+and no test pays for the others of the sequence. Half of DELTA goes to sequences of
+all sets of rules that tighten together, each bounded by ALPHA; half to sequences
+of single rules, each bounded by its share of ALPHA (Bonferroni over sequences and
+strata). Of the safe cutoffs those are taken that reject the largest share of bad
+documents beyond COST times the share of good ones, by one set or by single rules,
+whichever does better. So with probability 1 - DELTA no stratum loses more than
+ALPHA of its good documents to these rules. All of it is DataFrame expressions.
 
 Words are runs without ASCII white space. Null texts have none, fail the base
-rule and are not kept. Languages with few labels (null among them, if so) are
-judged by one pooled stratum; without any labels only the base rule rejects.
+rule and are not kept. Languages with too few labels for any cutoff (null among
+them) are judged by one pooled stratum, which takes in the next smallest language
+while it has too few itself; without enough labels in all only the base rule rejects.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,7 +32,7 @@ from newslens.llm.common import WHITE_SPACE, columns_of, free, stored
 ALPHA = 0.02      # share of good documents that a stratum may lose
 DELTA = 0.05      # probability that some stratum loses more
 COST = 10.0       # one good document weighs as much as so many bad ones (as shares)
-MIN_LABELS = 300  # labelled good documents that a stratum of its own needs
+MIN_LABELS = 300  # labelled good documents that a stratum of its own needs, or as many as a cutoff needs
 MAX_STRATA = 256
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 _PLACE_BITS = 24  # places of words beside 40 bits of hash, for the first look only
@@ -39,6 +45,8 @@ GRID = {
     "long_words": [40.0, 30.0, 20.0, 15.0, 12.0, 10.0, 9.0, 8.0],
     "short_words": [-1.2, -1.5, -2.0, -2.5, -3.0, -3.5, -4.0],
 }
+_SUBSETS = [rules for n in range(1, len(GRID) + 1) for rules in combinations(GRID, n)]  # single rules first
+_LEVELS = max(map(len, GRID.values()))
 
 
 def _with(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -148,39 +156,96 @@ def log_binomial_tail(n: Column, k: Column, risk: float) -> Column:
         F.struct(start.alias("term"), start.alias("sum")), add, lambda acc: acc["sum"])
 
 
+def least_labels(strata: int, alpha: float = ALPHA, delta: float = DELTA) -> int:
+    """Good labels from which a stratum can have a cutoff at all (no good document beyond it)."""
+    return math.ceil(math.log(delta / (2 * len(_SUBSETS) * strata)) / math.log1p(-alpha))
+
+
+def own_strata(sizes: list[int], rest: int, alpha: float = ALPHA, delta: float = DELTA,
+               min_labels: int = MIN_LABELS) -> int:
+    """How many of the languages (good labels, most first) are strata of their own.
+
+    ``rest`` counts the good labels of all other languages. The pool takes these and
+    small languages; while it has too few labels for a cutoff it takes the next one.
+    """
+    for m in range(len(sizes), 0, -1):
+        least, pool = least_labels(m + 1, alpha, delta), rest + sum(sizes[m:])
+        if sizes[m - 1] >= max(least, min_labels) and (pool == 0 or pool >= least):
+            return m
+    return 0
+
+
 def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, cost: float = COST,
             min_labels: int = MIN_LABELS) -> tuple[DataFrame, DataFrame]:
     """Strata (lang) and cutoffs (stratum, rule, cutoff, n, k) from counts with ``quality``.
 
     ``labelled`` has lang, quality and the base counts. Both results have a
-    bounded number of rows (MAX_STRATA strata, one cutoff for each rule).
+    bounded number of rows (MAX_STRATA strata, one cutoff for each rule); k is the
+    number of good documents that all cutoffs of the stratum reject together.
     """
-    score = scores()
-    judged = labelled.where(~base_failed())
-    strata = judged.where("quality = 1 and lang is not null").groupBy("lang").agg(F.count("*").alias("n")).where(
-        F.col("n") >= min_labels).orderBy(F.desc("n"), "lang").limit(MAX_STRATA).select("lang")
-    strata = stored(strata, "strata")
-    named = judged.join(F.broadcast(strata.withColumn("stratum", F.col("lang"))), "lang", "left")
-    # one row for each label and stratum with the rejections at every cutoff: nothing is exploded by row
-    tests = [(rule, i, c) for rule, grid in GRID.items() for i, c in enumerate(grid)]
-    counted = named.groupBy("stratum").agg(
-        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"),
-        *[F.sum(F.when(score[r] > c, F.col("quality")).otherwise(0)).alias(f"g_{r}_{i}") for r, i, c in tests],
-        *[F.sum(F.when(score[r] > c, 1 - F.col("quality")).otherwise(0)).alias(f"b_{r}_{i}") for r, i, c in tests])
-    n_strata = strata.count() + 1
-    rows = counted.select("stratum", "good", "bad", F.explode(F.array(*[F.struct(
-        F.lit(r).alias("rule"), F.lit(c).alias("cutoff"),
-        F.col(f"g_{r}_{i}").alias("k"), F.col(f"b_{r}_{i}").alias("hits")) for r, i, c in tests])).alias("t")).select(
-        "stratum", "good", "bad", "t.*")
-    risk = alpha / len(GRID)
-    few = F.col("k") < F.col("good") * risk
-    tail = F.when(few, log_binomial_tail(F.col("good"), F.col("k"), risk))
-    safe = rows.where(tail <= F.log(F.lit(delta / (len(tests) * n_strata))))
-    gain = F.when(F.col("bad") > 0, F.col("hits") / F.col("bad")).otherwise(0.0) - cost * F.col("k") / F.col("good")
-    best = Window.partitionBy("stratum", "rule").orderBy(F.desc("gain"), F.desc("cutoff"))
-    return strata, stored(
-        safe.withColumn("gain", gain).where("gain > 0").withColumn("no", F.row_number().over(best)).where("no = 1")
-        .select("stratum", "rule", "cutoff", F.col("good").alias("n"), "k"), "cutoffs")
+    spark, score = labelled.sparkSession, scores()
+    # the level of a rule is the first cutoff of its grid that rejects; rejections are nested along a grid
+    level = {r: sum((F.when(score[r] > c, 0).otherwise(1) for c in grid), F.lit(0)) for r, grid in GRID.items()}
+    levels = stored(labelled.where(~base_failed()).groupBy("lang", *[level[r].alias(r) for r in GRID]).agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")), "levels")
+    sizes = levels.where("lang is not null").groupBy("lang").agg(F.sum("good").alias("n")).where("n > 0").orderBy(
+        F.desc("n"), "lang").limit(MAX_STRATA).collect()
+    rest = (levels.agg(F.sum("good")).first()[0] or 0) - sum(r["n"] for r in sizes)
+    own = own_strata([r["n"] for r in sizes], rest, alpha, delta, min_labels)
+    strata = spark.createDataFrame([(r["lang"],) for r in sizes[:own]], "lang string")
+    named = levels.join(F.broadcast(strata.withColumn("stratum", F.col("lang"))), "lang", "left").groupBy(
+        "stratum", *GRID).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    named = stored(named, "stratum-levels")
+    totals = named.groupBy(F.col("stratum").alias("_s")).agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
+
+    def with_gain(df: DataFrame) -> DataFrame:
+        share = F.when(F.col("n_bad") > 0, F.col("hits") / F.col("n_bad")).otherwise(0.0)
+        return df.join(F.broadcast(totals), F.col("stratum").eqNullSafe(F.col("_s"))).drop("_s").withColumn(
+            "gain", share - cost * F.col("k") / F.col("n_good"))
+
+    def first_level(rules: tuple[str, ...]) -> Column:
+        return F.least(F.lit(_LEVELS), *[F.when(F.col(r) < len(GRID[r]), F.col(r)).otherwise(_LEVELS) for r in rules])
+
+    def safe(df: DataFrame, risk: float, tests: int) -> DataFrame:
+        tail = F.when(F.col("k") < F.col("n_good") * risk, log_binomial_tail(F.col("n_good"), F.col("k"), risk))
+        return df.where(tail <= F.log(F.lit(delta / (2 * tests * (own + 1))))).where("gain > 0")
+
+    steps = named.select("stratum", "good", "bad", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("subset"), first_level(rules).alias("first")) for i, rules in enumerate(_SUBSETS)])).alias("t")).select(
+        "stratum", "good", "bad", "t.*").where(F.col("first") < _LEVELS).groupBy("stratum", "subset", "first").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    steps = stored(with_gain(steps.withColumn("step", F.explode(F.sequence("first", F.lit(_LEVELS - 1)))).groupBy(
+        "stratum", "subset", "step").agg(F.sum("good").alias("k"), F.sum("bad").alias("hits"))), "steps")
+
+    # one set of rules, tightened step by step, with all of ALPHA
+    cut = spark.createDataFrame([(i, t, r, grid[min(t, len(grid) - 1)]) for i, rules in enumerate(_SUBSETS)
+                                 for t in range(_LEVELS) for r, grid in GRID.items() if r in rules],
+                                "subset int, step int, rule string, cutoff double")
+    best = Window.partitionBy("stratum").orderBy(F.desc("gain"), "step", "subset")
+    joint = safe(steps, alpha, len(_SUBSETS)).withColumn("no", F.row_number().over(best)).where("no = 1").join(
+        F.broadcast(cut), ["subset", "step"]).select("stratum", "gain", F.col("n_good").alias("n"), "k", "rule", "cutoff")
+
+    # every rule at a cutoff of its own, each with its share of ALPHA
+    best = Window.partitionBy("stratum", "subset").orderBy(F.desc("gain"), "step")
+    single = stored(safe(steps.where(F.col("subset") < len(GRID)), alpha / len(GRID), len(GRID)).withColumn(
+        "no", F.row_number().over(best)).where("no = 1").join(F.broadcast(cut), ["subset", "step"]).select(
+        "stratum", "rule", "step", "cutoff"), "single-cutoffs")
+    chosen = single.groupBy(F.col("stratum").alias("_t")).agg(*[
+        F.max(F.when(F.col("rule") == r, F.col("step"))).alias(f"_{r}") for r in GRID])
+    rejects = F.lit(False)
+    for r, grid in GRID.items():
+        rejects = rejects | F.coalesce((F.col(r) < len(grid)) & (F.col(r) <= F.col(f"_{r}")), F.lit(False))
+    together = with_gain(named.join(F.broadcast(chosen), F.col("stratum").eqNullSafe(F.col("_t"))).where(rejects).groupBy(
+        "stratum").agg(F.sum("good").alias("k"), F.sum("bad").alias("hits"))).select(
+        F.col("stratum").alias("_t"), "gain", F.col("n_good").alias("n"), "k")
+    apart = single.join(F.broadcast(together), F.col("stratum").eqNullSafe(F.col("_t"))).select(
+        "stratum", "gain", "n", "k", "rule", "cutoff")
+
+    # both hold at once, so the better one may be taken
+    both = joint.withColumn("way", F.lit(1)).unionByName(apart.withColumn("way", F.lit(0)))
+    better = Window.partitionBy("stratum").orderBy(F.desc("gain"), "way")
+    return strata, stored(both.withColumn("no", F.dense_rank().over(better)).where("no = 1").select(
+        "stratum", "rule", "cutoff", "n", "k"), "cutoffs")
 
 
 def verdicts(counts: DataFrame, strata: DataFrame, chosen: DataFrame) -> tuple[Column, Column, DataFrame]:

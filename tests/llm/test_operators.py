@@ -316,6 +316,29 @@ def test_quality_cutoffs_hold_the_risk(spark):
     assert not any(r["kept"] for r in clean)
 
 
+def test_quality_cutoffs_for_small_strata(spark):
+    """Languages of a few hundred labels have cutoffs, alone or pooled, though none has thousands."""
+    spread = [("en", 450), ("fr", 450), ("de", 440), ("es", 307), (None, 20)]
+    rows = [(lang, q, 100, 500, 60 * (1 - q), 10, 0, 0) for lang, n in spread for q in [1] * n + [0] * 30]
+    df = spark.createDataFrame(rows, "lang string, quality int, n_words long, word_chars long, n_symbols long, "
+                                     "n_lines long, n_dup_lines long, n_repeat_words long")
+    strata, chosen = quality_risk.cutoffs(df)
+    assert {r["lang"] for r in strata.collect()} == {"en", "fr"}  # 327 others are too few, so de joins them
+    found = {r["stratum"]: r for r in chosen.collect()}
+    assert set(found) == {"en", "fr", None} and found[None]["n"] == 767
+    assert all(r["rule"] == "symbols" and r["k"] == 0 for r in found.values())
+    assert quality_risk.own_strata([4000, 3000], 0) == 2 and quality_risk.own_strata([450, 100], 0) == 0
+
+
+def test_quality_sequences_hold_the_risk(spark):
+    """Good documents beyond the loosest cutoff are never given up beyond the bound."""
+    rows = [("en", q, 100, 500, 300 if q == 0 or i % 20 == 0 else 0, 10, 0, 0)
+            for q, n in ((1, 2000), (0, 100)) for i in range(n)]
+    df = spark.createDataFrame(rows, "lang string, quality int, n_words long, word_chars long, n_symbols long, "
+                                     "n_lines long, n_dup_lines long, n_repeat_words long")
+    assert quality_risk.cutoffs(df)[1].count() == 0
+
+
 # 7
 def test_bpe_equals_the_library(docs):
     tokenizers = pytest.importorskip("tokenizers")
