@@ -38,10 +38,11 @@ HOT_ANCHOR = 4096  # fingerprints at one anchor beyond which it is refined
 _BLOCK = 200_000   # rows that a comparing task holds at once
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all shingles of a text, in order."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[:-1].tolist()]
@@ -49,7 +50,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         spans = [(0, len(joined))]
     else:
         spans = zip(starts, (ends[shingle - 1:] - 1).tolist())
-    h = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], np.uint64)
+    return np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    h = shingles(text, shingle)
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 65_536):  # bounded memory for very long texts
         bits = np.unpackbits(h[i:i + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -197,10 +202,15 @@ def links(fps: DataFrame, hot: int = HOT_ANCHOR) -> DataFrame:
         link, "a long, b long").distinct()
 
 
-def classes(keyed: DataFrame, hot: int = HOT_ANCHOR) -> DataFrame:
-    """(fp, root, component_id) for every fingerprint of the stored table (doc_id, fp)."""
+def classes(keyed: DataFrame, hot: int = HOT_ANCHOR, edges: DataFrame | None = None) -> DataFrame:
+    """(fp, root, component_id) for every fingerprint of the stored table (doc_id, fp).
+
+    ``edges`` (a, b) are the links; by default those between near fingerprints.
+    """
     distinct = stored(keyed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(stored(links(distinct.select("fp"), hot), "links"))
+    if edges is None:
+        edges = links(distinct.select("fp"), hot)
+    roots = components(stored(edges, "links"))
     of = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -222,7 +232,7 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT_ANC
     It is the row with the smallest doc_id (none counts as last); ties go by
     fingerprint and then by the other columns.
     """
-    fp, no = free(docs, "_fp", "_no")
+    fp, = free(docs, "_fp")
     schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
     at = docs.columns.index("text")
 
@@ -233,8 +243,13 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, hot: int = HOT_ANC
                 [*batch.columns, pa.array(fps.view(np.int64))], names=[*batch.schema.names, fp])
 
     marked = stored(docs.mapInArrow(run, schema), "marked-documents")
+    return one_of_each(docs, marked, fp, classes(marked.select("doc_id", F.col(fp).alias("fp")), hot))
+
+
+def one_of_each(docs: DataFrame, marked: DataFrame, fp: str, named: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay; ``marked`` has them with ``fp``, ``named`` the groups."""
+    no, = free(marked, "_no")
     keyed = marked.select("doc_id", F.col(fp).alias("fp"))
-    named = classes(keyed, hot)
     winners = keyed.join(named, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.min("fp").alias("fp"), F.min("doc_id").alias("id"))
     kept = marked.join(winners.select(F.col("fp").alias("_w"), "id"),

@@ -276,6 +276,32 @@ def test_near_copies_leave_one_row(docs):
     assert kept.count() == len(groups)
 
 
+def test_pipeline_drops_all_similar_texts(spark):
+    """One text stays of each group with Jaccard >= 0.8 of five-word shingles, however many bits differ."""
+    r, texts = random.Random(3), []
+    for i in range(25):
+        base = prose(500 + i, r.randint(60, 200)).split()
+        texts.append(base)
+        for _ in range(5):
+            new = list(base)
+            for at in r.sample(range(len(new)), r.randint(1, max(2, len(new) // 25))):
+                new[at] = "changed"
+            texts.append(new)
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in texts]
+    fps = [plain_simhash(" ".join(w)) for w in texts]
+    group, wide = [*range(len(texts))], 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                wide += (fps[i] ^ fps[j]).bit_count() > 3
+                old, new = sorted((group[i], group[j]))[::-1]
+                group = [new if g == old else g for g in group]
+    assert wide > 10 and len(set(group)) > 30
+    df = make(spark, [(i, " ".join(w), "en", "s") for i, w in enumerate(texts)])
+    kept = dict(corpus_pipeline.STAGES[2:3]).popitem()[1](spark, df, "")
+    assert kept.columns == df.columns and sorted(x["doc_id"] for x in kept.collect()) == sorted(set(group))
+
+
 # 6
 def plain_counts(text):
     text = text or ""
