@@ -2,7 +2,7 @@
 
 Each task inserts the texts it reads into a compressed trie whose terminals hold the smallest doc_id. Rows above
 that minimum are duplicates for certain and go on without their text; of each text one row per smallest id travels.
-These rows are dealt by ranges of adaptive prefixes: a prefix whose texts outgrow ``BUCKET_BYTES`` is cut again
+These rows are dealt by ranges of adaptive prefixes: a prefix whose texts outgrow ``BUCKET_BYTES`` or ``BUCKET_ROWS`` is cut again
 behind the longest prefix that all of them share, unless they are all equal, which settles them by one minimum. A
 second set of tries, one per prefix, then holds the minimum over the whole table.
 
@@ -28,6 +28,7 @@ from newslens.operators.skew import bounded_broadcast
 FILTERS = "ABCDE"
 DUPLICATE = 16
 BUCKET_BYTES = 16 << 20   # texts of one trie
+BUCKET_ROWS = 2048
 RANGE_BYTES = 64 << 20    # texts of one range, which may hold many tries
 MAX_RANGES = 20_000
 ROW_BYTES = 64            # of a row without its text
@@ -192,16 +193,17 @@ def depth_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def adaptive_prefixes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows`` with (node, chunk), and the rows of crowded equal texts with their ``least`` id instead.
 
-    The crowded prefixes of a round are one per ``BUCKET_BYTES`` of text at most, so their table is small beside the
-    rows; it is broadcast where its size allows.
+    The crowded prefixes of a round are one per ``BUCKET_ROWS`` rows or ``BUCKET_BYTES`` of text at most, so their table
+    is small beside the rows; it is broadcast where its size allows.
     """
     open_ = rows.select("*", F.lit(0).cast("long").alias("node"), F.expr(f"substring(text, 1, {CHUNK})").alias("chunk"))
     closed, settled = None, None
     width, number = CHUNK, 0
     while True:
         size = F.sum(F.octet_length("text") + ROW_BYTES)
-        crowded = stored(open_.groupBy("node", "chunk").agg(size.alias("_size"))
-                         .where(F.col("_size") > BUCKET_BYTES).select("node", "chunk"), "crowded-prefixes")
+        crowded = stored(open_.groupBy("node", "chunk").agg(size.alias("_size"), F.count("*").alias("_rows"))
+                         .where((F.col("_size") > BUCKET_BYTES) | (F.col("_rows") > BUCKET_ROWS))
+                         .select("node", "chunk"), "crowded-prefixes")
         if crowded.isEmpty():
             closed = open_ if closed is None else closed.unionByName(open_)
             return closed, settled

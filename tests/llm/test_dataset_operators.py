@@ -89,10 +89,10 @@ def test_audit_equals_plain(docs, labels):
     same(trie_audit.audit(docs, labels), plain_audit(corpus(), [tuple(r) for r in labels.collect()]))
 
 
-@pytest.mark.parametrize("bucket", [1, 300, 5000])
-def test_audit_with_crowded_prefixes(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("limit, bucket", [("BYTES", 1), ("BYTES", 300), ("BYTES", 5000), ("ROWS", 3)])
+def test_audit_with_crowded_prefixes(spark, monkeypatch, limit, bucket):
     """Long shared beginnings are cut again, crowds of equal texts settled by their minimum."""
-    monkeypatch.setattr(trie_audit, "BUCKET_BYTES", bucket)
+    monkeypatch.setattr(trie_audit, f"BUCKET_{limit}", bucket)
     same_start = prose(1, 80)
     rows = [(i, same_start + "x" * (i % 9), "en", "s1") for i in range(40)]
     rows += [(50 + i, "a" * i, "en", None) for i in range(30)] + [(None, "aaa", "en", "s1"), (None, same_start, "en", "s2")]
