@@ -36,6 +36,8 @@ DIMENSIONS = 64
 ROUNDS = 3          # of the power iteration
 KEEP_FROM = 0.3
 
+_PLACES = 1 << 40
+
 WORDS, FORMS, LEVELS = 4096, 512, 16     # term spaces: hashed words, hashed forms, levels of each shape
 SHAPES = 7
 TERMS = WORDS + FORMS + LEVELS * SHAPES
@@ -166,7 +168,12 @@ def sampled(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
         (F.avg("quality") >= 0.5).cast("int").alias("label"))
     known = stored(one.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), "labelled-ids")
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    chosen = top_per_group(known, ["label"], [F.xxhash64("doc_id"), F.col("doc_id")], LABELLED, "_rank").drop("_rank")
+    # hashes below a share that leaves twice the sample; the rank then picks the smallest ones from that few
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_PLACES))
+    low = F.lit(False)
+    for label, total in totals.items():
+        low = low | ((F.col("label") == label) & (place < int(_PLACES * min(1, 2 * LABELLED / total))))
+    chosen = top_per_group(known.where(low), ["label"], [place, F.col("doc_id")], LABELLED, "_rank").drop("_rank")
     found = rows.join(F.broadcast(stored(chosen, "labelled-sample")), "doc_id")
     return top_per_group(found, ["doc_id"], [F.hash("at", "tf"), F.col("at"), F.col("tf")], 1, "_rank").drop("_rank"), totals
 
