@@ -8,8 +8,10 @@ exact: the first level that a key does not pass tells its side. Each level is on
 array of words that reaches the expression as a scalar, so pages are judged
 where they are, without a join. All of it is DataFrame expressions.
 
-The words of all levels together are bounded by ``max_words``; a list that needs
-more is looked up by an ordinary join instead.
+A list whose levels would outgrow ``max_words`` is cut into slices by a hash of the
+key. Each slice has a cascade of its own over its own part of the universe and
+judges its own pages, in one plan; so lists of any size go through cascades, and
+no expression ever holds more than one slice's words.
 
 Host: after the first "://" up to "/", "?", "#" or the end, A-Z lower-cased;
 path: then up to "?", "#" or the end. Null urls and urls without "://" have
@@ -35,7 +37,8 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 
-MAX_WORDS = 1 << 20  # 8 MB of filter
+MAX_WORDS = 1 << 20  # 8 MB of filter for each slice
+_SLICE = -1           # seed of the slices' hash, apart from those of the levels
 
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -78,11 +81,21 @@ def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
 
 
-def _level(keys: DataFrame, n: int, others: int, seed: int) -> Level:
-    """A filter of the ``n`` keys; as many mistakes among ``others`` as half the keys are fine."""
+def _size(n: int, others: int) -> tuple[int, int]:
+    """(hashes, words) of a filter of ``n`` keys; as many mistakes among ``others`` as half the keys are fine."""
     rate = min(0.5, n / (2 * max(others, 1)))
     hashes = max(1, round(math.log2(1 / rate)))
-    words = max(1, math.ceil(n * hashes / math.log(2) / 64))
+    return hashes, max(1, math.ceil(n * hashes / math.log(2) / 64))
+
+
+def slices_for(n: int, others: int, max_words: int = MAX_WORDS) -> int:
+    """Slices of which none should need more than ``max_words``: all levels take about twice the first one's words."""
+    return max(1, math.ceil(2 * _size(n, others)[1] / max_words)) if n else 1
+
+
+def _level(keys: DataFrame, n: int, others: int, seed: int) -> Level:
+    """A filter of the ``n`` keys."""
+    hashes, words = _size(n, others)
     bits = 64 * words
     at = F.explode(F.array(*[F.pmod(F.xxhash64("key", F.lit(seed), F.lit(h)), F.lit(bits)) for h in range(hashes)]))
     table = keys.select(at.alias("at")).groupBy(F.floor(F.col("at") / 64).alias("i")).agg(
@@ -93,19 +106,16 @@ def _level(keys: DataFrame, n: int, others: int, seed: int) -> Level:
     return Level(stored(packed, f"level-{seed}"), bits, hashes, seed)
 
 
-def cascade(listed: DataFrame, universe: DataFrame, max_words: int = MAX_WORDS) -> list[Level] | None:
-    """Levels that tell listed keys from all other keys of ``universe``; None if too large.
+def cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
+    """Levels that tell listed keys from all other keys of ``universe``.
 
     Both have one column ``key`` of distinct values; listed keys belong to the universe.
     """
     inside = stored(listed.select("key"), "listed")
     outside = stored(universe.select("key").join(inside, "key", "left_anti"), "unlisted")
-    n, m, levels, words = inside.count(), outside.count(), [], 0
+    n, m, levels = inside.count(), outside.count(), []
     while n:
         level = _level(inside, n, m, len(levels))
-        words += level.bits // 64
-        if words > max_words:
-            return None
         levels.append(level)
         wrong = stored(outside.where(level.passes(F.col("key"))), "mistakes")
         inside, outside, n, m = wrong, inside, wrong.count(), n
@@ -130,18 +140,21 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     host, path = host_and_path(F.col("url"))
     split = stored(pages.select("page_id", host.alias("host"), path.alias("path")), "hosts")
     key = F.concat("host", "path")
-    universe = split.select(key.alias("key")).distinct()
-    known = listed.select("key").distinct().join(universe, "key", "left_semi")
-    levels = cascade(known, universe, max_words)
+    universe = stored(split.select(key.alias("key")).distinct(), "universe")
+    known = stored(listed.select("key").distinct().join(universe, "key", "left_semi"), "known")
+    n = known.count()
+    slices = slices_for(n, universe.count() - n, max_words)
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    if levels is None:
-        mark = known.select(F.col("key").alias("_key"), F.lit(True).alias("_hit"))
-        split = split.join(mark, key == F.col("_key"), "left")
-        hit = F.coalesce("_hit", F.lit(False))
-    else:
-        hit = is_listed(key, levels)
-    return split.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(
-        verdict, F.when(hit, "block").otherwise("allow")).alias("verdict"))
+    judged = None
+    for i in range(slices):
+        def own(rows: DataFrame, of: Column, i: int = i) -> DataFrame:
+            return rows.where(F.pmod(F.xxhash64(of, F.lit(_SLICE)), F.lit(slices)) == i) if slices > 1 else rows
+
+        levels = cascade(own(known, F.col("key")), own(universe, F.col("key")))
+        part = own(split, key).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(
+            verdict, F.when(is_listed(key, levels), "block").otherwise("allow")).alias("verdict"))
+        judged = part if judged is None else judged.unionByName(part)
+    return judged
 
 
 def paged_keys(pages: DataFrame) -> DataFrame:

@@ -25,13 +25,14 @@ from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from newslens.llm.common import as_bytes
 
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 MAX_PIECES = 150_000  # pieces that a worker remembers; then it starts anew
 _DOOR = 1 << 20       # only pieces met before are remembered: one byte for each hash
 MAX_PAIRS = 2_000_000

@@ -13,9 +13,9 @@ A byte is removed if a LENGTH-byte string that covers it also starts anywhere el
    Burrows-Wheeler transform; a stable sort by them sorts the longer suffixes, and
    the common prefix of two neighbours is the least one between their old places,
    plus the symbol. As windows are only compared at equal columns, suffixes of
-   one column form one part of the order, and each part is written once, in
-   sequence. Columns lie in a temporary file of the task that is read backwards;
-   in memory are one strip of columns, the order and the common prefixes.
+   one column form one part of the order, and each part is made once, in
+   sequence. Blocks of documents are bounded, so their columns lie in memory, as do
+   the order and the common prefixes; a file would have to be the executor's own.
 4. Neighbours that share LENGTH symbols are repeats.
 
 Documents of one anchor meet in one task. An anchor with more than HOT different
@@ -28,7 +28,6 @@ repeat each other.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,13 +36,15 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from newslens.llm.common import as_bytes, by_group, stored
+from newslens.operators.skew import join_around
 
 LENGTH = 400
 GRAM = 64
 HOT = 60_000
 _PIECE = 1 << 19     # windows that are hashed at once
 _BLOCK = 20_000      # documents of the collection that a task holds at once
-_STRIP = 64          # columns that are read at once
+_STRIP = 64          # columns that are turned at once
+_HOT_KEYS = 1000     # most frequent anchors, whose rows are marked by broadcast and take no shuffle
 _PAD = 0xFF          # beyond a text's ends; never part of UTF-8
 _ODD = np.array(0x9E3779B97F4A7C15, np.uint64)
 _BYTE = np.random.default_rng(400).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,22 +154,17 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 class Columns:
-    """Documents of equal length as columns in a temporary file, read from the last to the first."""
+    """Documents of equal length, read column by column from the last to the first."""
 
     def __init__(self, documents: np.ndarray):
         self.n, self.width = documents.shape
-        self.file = tempfile.TemporaryFile()
-        for c in range(0, self.width, _STRIP):
-            self.file.write(np.ascontiguousarray(documents[:, c:c + _STRIP].T).data)
+        self.documents = documents
 
     def backwards(self) -> Iterator[tuple[int, np.ndarray]]:
-        with self.file:
-            for c in reversed(range(0, self.width, _STRIP)):
-                n = min(_STRIP, self.width - c)
-                self.file.seek(c * self.n)
-                strip = np.frombuffer(self.file.read(n * self.n), np.uint8).reshape(n, self.n)
-                for i in reversed(range(n)):
-                    yield c + i, strip[i]
+        for c in reversed(range(0, self.width, _STRIP)):
+            strip = np.ascontiguousarray(self.documents[:, c:c + _STRIP].T)
+            for i in reversed(range(len(strip))):
+                yield c + i, strip[i]
 
 
 def construct(columns: Columns) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -240,8 +236,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     ``docs`` has (id, th, text), th a hash of the text: rows with one (id, th) are alike.
     """
     rows = stored(anchor_rows(docs, length, gram), "anchors")
-    again = rows.groupBy("h").agg(F.count("*").alias("n"), (F.min("sh") != F.max("sh")).alias("mixed")).where("n > 1")
-    repeated = stored(rows.join(again.select("h", "mixed"), "h"), "repeated-anchors")
+    again = stored(rows.groupBy("h").agg(F.count("*").alias("n"), (F.min("sh") != F.max("sh")).alias("mixed")).where("n > 1"),
+                   "anchor-counts")
+    hot_keys = again.orderBy(F.desc("n"), "h").limit(_HOT_KEYS).select("h", "mixed")
+    repeated = stored(join_around(rows, again.select("h", "mixed"), hot_keys, "h").where("mixed IS NOT NULL"), "repeated-anchors")
     cover = [(F.col("pos") - F.col("before")).alias("at"), (F.col("pos") + F.col("after")).alias("end")]
     whole = repeated.where(~F.col("mixed")).select("id", "th", *cover)
 

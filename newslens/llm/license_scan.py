@@ -71,8 +71,8 @@ def _automaton(notices: tuple) -> tuple:
     return search, patterns
 
 
-def scan(text: bytes, notices: tuple) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int]]]:
-    """(number of words, base places (word, label), notices (label, first word, last word, edits))."""
+def scan(text: bytes, notices: tuple) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, int, int]]]:
+    """(number of words, base places (word, label), notices (label, first word, last word, edits, its length))."""
     words = text.translate(_TABLE).split()
     if not words:
         return 0, [], []
@@ -97,51 +97,52 @@ def scan(text: bytes, notices: tuple) -> tuple[int, list[tuple[int, str]], list[
             m = patterns[k].search(line, low, min(high, len(line)))
             if m:
                 a, b = m.span()
-                spans.append((label, a + (line[a] == " "), b - (line[b - 1] == " "), sum(m.fuzzy_counts)))
+                spans.append((label, a + (line[a] == " "), b - (line[b - 1] == " "), sum(m.fuzzy_counts), len(notice)))
                 done = b
     # places in signs become numbers of words in one walk
-    marks = sorted({p for p, _ in base} | {p for _, a, b, _ in spans for p in (a, b - 1)})
+    marks = sorted({p for p, _ in base} | {p for _, a, b, *_ in spans for p in (a, b - 1)})
     number, at, n = {}, 0, -1
     for p in marks:
         n += line.count(" ", at, p + 1)
         at = p + 1
         number[p] = n
     return (len(words), sorted((number[p], label) for p, label in base),
-            sorted((label, number[a], number[b - 1], e) for label, a, b, e in spans))
+            sorted((label, number[a], number[b - 1], e, size) for label, a, b, e, size in spans))
 
 
 def find_licenses(docs: DataFrame, notices: list[tuple[str, str, int]] = NOTICES) -> DataFrame:
     """(doc_id, n_words, places, notices) of every row of ``docs``.
 
     places: base phrases with the number of their first word; notices: label,
-    first and last word, edits and similarity (1 - edits / length).
+    first and last word, edits and the length of the notice in signs.
     """
     listed = tuple(notices)
     schema = ("doc_id long, n_words long, places array<struct<word: long, label: string>>, "
-              "notices array<struct<label: string, first: long, last: long, edits: long>>")
+              "notices array<struct<label: string, first: long, last: long, edits: long, length: long>>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
         notice = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()),
-                                     ("edits", pa.int64())]))
+                                     ("edits", pa.int64()), ("length", pa.int64())]))
         for batch in batches:
             got = [scan(t, listed) for t in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([g[0] for g in got], pa.int64()),
                 pa.array([[dict(zip(("word", "label"), x)) for x in g[1]] for g in got], place),
-                pa.array([[dict(zip(("label", "first", "last", "edits"), x)) for x in g[2]] for g in got], notice),
+                pa.array([[dict(zip(("label", "first", "last", "edits", "length"), x)) for x in g[2]] for g in got], notice),
             ], names=["doc_id", "n_words", "places", "notices"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def summary(found: DataFrame, notices: list[tuple[str, str, int]] = NOTICES) -> DataFrame:
-    """One line per document: counts, labels and the best similarity (1 for a base phrase, 0 for nothing)."""
-    length = F.create_map(*[F.lit(x) for label in {n[0] for n in notices}
-                            for x in (label, float(min(len(n[1]) for n in notices if n[0] == label)))])
+def summary(found: DataFrame) -> DataFrame:
+    """One line per document: counts, labels and the best similarity (1 for a base phrase, 0 for nothing).
+
+    The similarity of a notice is 1 - edits / length of the notice that was matched.
+    """
     base = F.transform("places", lambda p: p["label"])
     join = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    near = F.array_max(F.transform("notices", lambda n: 1 - n["edits"] / length[n["label"]]))
+    near = F.array_max(F.transform("notices", lambda n: 1 - n["edits"] / n["length"]))
     return found.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(F.transform("places", lambda p: p["word"])).alias("first_word"),

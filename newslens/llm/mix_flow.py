@@ -25,7 +25,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEAT = 2
 SEED = 20240
-MAX_PATTERNS = 4096  # patterns routed jointly; words of rarer ones go to their own source
+MAX_PATTERNS = 4096  # patterns routed by themselves
+COARSE = 1024        # unions of all rarer patterns, by their first two sources
 _BUCKETS = 4096
 
 
@@ -104,13 +105,16 @@ class _Flow:
 
 
 def route(cells: list[tuple], distinct: dict, quotas: dict, repeat: int = REPEAT) -> dict:
-    """Words from each cell (pattern, source), cheapest first.
+    """Words from each cell (pattern, source) by a minimum-cost flow.
 
     cells: (pattern, source, words); distinct: pattern -> words of its distinct
-    texts. The cost of a pattern grows by one with each use of its distinct
-    words, so its arc is opened one use at a time: what is routed stays routed,
-    and each step sends all it can. For convex costs on the patterns' arcs alone
-    this greedy order is a minimum-cost flow.
+    texts. Each further use of a pattern's distinct words costs more, by the
+    number of uses alone, so the flow is sent use by use: first all that fits
+    into the first use of every pattern, then into the second, and so on. A
+    pattern that cannot fill a use is blocked for good, for later flow never
+    opens a way again. Uses that all open patterns fill are taken in one step,
+    whose length a binary search finds; so the number of maximum flows grows with the
+    number of blocking moments, one per source at most, and not with the uses.
     """
     patterns = sorted({p for p, _, _ in cells})
     sources = sorted(quotas)
@@ -125,20 +129,44 @@ def route(cells: list[tuple], distinct: dict, quotas: dict, repeat: int = REPEAT
         most[p] = most.get(p, 0) + repeat * words
     for s in sources:
         flow.arc(node["s", s], 1, quotas[s])
-    need, given = sum(quotas.values()), dict.fromkeys(patterns, 0)
-    uses = 1
-    while need > 0:
-        grown, width = False, max(1, uses // 4)
-        uses += width
-        for p in patterns:
-            step = min(width * distinct[p], most[p] - given[p])
-            if step > 0:
-                flow.room[supply[p]] += step
-                given[p] += step
-                grown = True
-        need -= flow.push(0, 1)
-        if not grown:
-            break
+    given = dict.fromkeys(patterns, 0)
+    open_ = [p for p in patterns if most[p] and distinct[p]]
+    need, uses = sum(quotas.values()), 0
+
+    def send(level: int) -> tuple[int, int]:
+        """Open all uses up to ``level``; words offered anew and words sent."""
+        offered = 0
+        for p in open_:
+            more = min(level * distinct[p], most[p]) - given[p]
+            flow.room[supply[p]] += more
+            given[p] += more
+            offered += more
+        return offered, flow.push(0, 1)
+
+    def fills(level: int) -> bool:
+        room, before = flow.room.copy(), given.copy()
+        offered, sent = send(level)
+        flow.room[:] = room
+        given.update(before)
+        return offered == sent
+
+    while need > 0 and open_:
+        low, high, step = uses, max(-(-most[p] // distinct[p]) for p in open_), 1
+        while low + step < high and fills(low + step):
+            low, step = low + step, 2 * step
+        high = min(high, low + step)
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if fills(mid) else (low, mid - 1)
+        need -= send(low)[1]
+        open_ = [p for p in open_ if given[p] < most[p]]
+        uses = low + 1
+        need -= send(uses)[1]
+        for p in open_:
+            if flow.room[supply[p]]:  # blocked
+                flow.room[supply[p]] = 0
+                most[p] = given[p]
+        open_ = [p for p in open_ if given[p] < most[p]]
     return {k: flow.room[e ^ 1] for k, e in inner.items()}
 
 
@@ -146,8 +174,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         seed: int = SEED, max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """(doc_id, source, digest, size, source_size, target, taken) for every row of ``docs``.
 
-    The driver sees one number per source and per joint cell (at most
-    ``max_patterns`` patterns, each no wider than the list of sources).
+    The driver sees one number per source and per joint cell: of the ``max_patterns`` patterns with most words, and
+    of at most ``COARSE`` unions of all others, which keep one supply for all their texts.
     """
     spark = docs.sparkSession
     words = stored(docs.select(
@@ -167,16 +195,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     joint = text.where(F.size("in") > 1).groupBy("in").agg(F.sum("once").alias("once"))
     chosen = stored(joint.orderBy(F.desc("once"), "in").limit(max_patterns).withColumn(
         "pattern", F.row_number().over(Window.orderBy(F.desc("once"), "in"))), "patterns")
-    shared = stored(text.where(F.size("in") > 1).join(F.broadcast(chosen.select("in", "pattern")), "in").select(
-        F.col("digest"), "pattern"), "shared-texts")
+    union = F.pmod(F.hash(F.get("in", F.lit(0)), F.get("in", F.lit(1))), F.lit(COARSE)) + max_patterns + 1
+    shared = stored(text.where(F.size("in") > 1).join(F.broadcast(chosen.select("in", "pattern")), "in", "left").select(
+        "digest", F.coalesce("pattern", union).alias("pattern"), "once"), "shared-texts")
     # pattern -1 - no: words that only their own source uses
-    marked = stored(numbered.join(shared, "digest", "left").withColumn(
+    marked = stored(numbered.join(shared.drop("once"), "digest", "left").withColumn(
         "pattern", F.coalesce("pattern", -1 - F.col("no"))).withColumn(
         "u", F.xxhash64(F.lit(seed), "doc_id")), "marked-sizes")
 
     cells = sorted((r["pattern"], r["no"], r["n"]) for r in  # the flow depends on their order
                    marked.groupBy("pattern", "no").agg(F.sum("size").alias("n")).collect())
-    distinct = {r["pattern"]: r["once"] for r in chosen.collect()}
+    distinct = {r["pattern"]: r["n"] for r in shared.groupBy("pattern").agg(F.sum("once").alias("n")).collect()}
     distinct |= {p: n for p, _, n in cells if p < 0}
     flow = route(cells, distinct, {i: int(t) for i, t in enumerate(aims)}, repeat)
     quotas = spark.createDataFrame(

@@ -7,7 +7,8 @@ regex for its strict form, gazetteers of its value and of keys, and the words
 around it. Expectation-maximisation over the counts of vote patterns estimates
 how reliable each labeler is for each kind (a latent-class model); its posteriors
 are the soft labels of a naive Bayes span classifier over votes, length and mix of
-signs, whose decision per feature pattern is applied to the candidates.
+signs, whose decision per feature pattern is applied to the candidates. Secrets have at least 12 signs and may be of
+any length: a run of their signs is walked once.
 
 All of it is DataFrame expressions: positions of matches come from marking them
 in the text, cutting at the marks and summing lengths. Spans are in code points,
@@ -34,7 +35,7 @@ BASE_KINDS = ["email", "ip", "card", "phone"]
 LOOSE = {
     "phone": r"(?<![0-9A-Za-z+().-])(?<!\+[0-9]{1,3} )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?<![0-9A-Za-z_+/-])(?=[A-Za-z_+/-]{0,64}[0-9])[0-9A-Za-z_+/-]{12,64}+(?![0-9A-Za-z_+/-])",
+    "secret": r"(?<![0-9A-Za-z_+/-])(?=[A-Za-z_+/-]*+[0-9])[0-9A-Za-z_+/-]{12,}+",
 }
 STRICT = {
     "phone": r"^(\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}([ .-]))[2-9][0-9]{2}[ .-][0-9]{4}$",
@@ -147,33 +148,49 @@ def candidates(text: Column) -> Column:
     return F.concat(*[judged(k) for k in LOOSE])
 
 
+def _posterior(rates: Column, votes: Column) -> Column:
+    """Probability of personal data, given the rates of a kind's labelers and their votes."""
+    like = {1: rates["prior"], 0: 1 - rates["prior"]}
+    for v in VOTES:
+        for z in (0, 1):
+            like[z] = like[z] * F.when(votes[v] == 1, rates[f"{v}_{z}"]).otherwise(1 - rates[f"{v}_{z}"])
+    return like[1] / (like[0] + like[1])
+
+
 def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``patterns`` (kind, votes, features, n) with the posterior ``p`` of being personal data.
 
     Latent classes for each kind: every labeler votes by its own rates given the
-    truth. Starts from rates that trust the labelers; each round is one grouped sum.
+    truth. Starts from rates that trust the labelers. The patterns are bounded by
+    the kinds and features, so they stand in one array, and all rounds are one
+    fold over it.
     """
-    start = {"prior": 0.5} | {f"{v}_{z}": 0.9 if z else 0.1 for v in VOTES for z in (0, 1)}
-    rates = patterns.select("kind").distinct().select("kind", *[F.lit(x).alias(k) for k, x in start.items()])
-
-    def posterior(rates: DataFrame) -> DataFrame:
-        like = {z: F.col("prior") if z else 1 - F.col("prior") for z in (0, 1)}
-        for v in VOTES:
-            for z in (0, 1):
-                like[z] = like[z] * F.when(F.col(v) == 1, F.col(f"{v}_{z}")).otherwise(1 - F.col(f"{v}_{z}"))
-        # one line per kind beside a pattern table that the features bound
-        return patterns.join(F.broadcast(rates), "kind").select(
-            *patterns.columns, (like[1] / (like[0] + like[1])).alias("p"))
-
-    for i in range(rounds):
-        weight = {1: F.col("n") * F.col("p"), 0: F.col("n") * (1 - F.col("p"))}
-        rates = posterior(rates).groupBy("kind").agg(
-            ((F.sum(weight[1]) + 1) / (F.sum("n") + 2)).alias("prior"),
-            *[((F.sum(weight[z] * F.col(v)) + 0.5) / (F.sum(weight[z]) + 1)).alias(f"{v}_{z}")
-              for v in VOTES for z in (0, 1)])
-        if i % 5 == 4:
-            rates = stored(rates, "labelers")
-    return stored(posterior(rates), "posteriors")
+    def rates_of(kind: Column, prior: Column, of: Callable[[str, int], Column]) -> Column:
+        return F.struct(kind.alias("kind"), prior.cast("double").alias("prior"),
+                        *[of(v, z).cast("double").alias(f"{v}_{z}") for v in VOTES for z in (0, 1)])
+
+    def refit(rates: Column) -> Column:
+        """One round for one kind: expected votes, then new rates."""
+        def add(sums: Column, x: Column) -> Column:
+            return _with(_posterior(rates, x), lambda p: rates_of(
+                sums["kind"], sums["prior"] + x["n"] * p, lambda v, z: sums[f"{v}_{z}"] + x[v] * x["n"] * (p if z else 1 - p)))
+
+        own = F.filter("patterns", lambda x: x["kind"] == rates["kind"])
+        n = F.aggregate(own, F.lit(0.0), lambda a, x: a + x["n"])
+        zero = rates_of(rates["kind"], F.lit(0.0), lambda v, z: F.lit(0.0))
+        return _with(F.struct(F.aggregate(own, zero, add).alias("s"), n.alias("n")), lambda x: rates_of(
+            x["s"]["kind"], (x["s"]["prior"] + 1) / (x["n"] + 2), lambda v, z: (x["s"][f"{v}_{z}"] + 0.5) / (
+                (x["s"]["prior"] if z else x["n"] - x["s"]["prior"]) + 1)))
+
+    start = F.array(*[rates_of(F.lit(k), F.lit(0.5), lambda v, z: F.lit(0.9 if z else 0.1)) for k in LOOSE])
+    packed = patterns.agg(F.collect_list(F.struct(
+        "kind", *VOTES, F.col("n").cast("double").alias("n"))).alias("patterns"))
+    fitted = packed.select(F.explode(F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds)), start, lambda rates, _: F.transform(rates, refit))).alias("rates")).select("rates.*")
+    # one line per kind beside a pattern table that the features bound
+    joined = patterns.join(F.broadcast(fitted), "kind")
+    rates = {c: F.col(c) for c in fitted.columns}
+    return stored(joined.select(*patterns.columns, _posterior(rates, {v: F.col(v) for v in VOTES}).alias("p")), "posteriors")
 
 
 FEATURES = (*VOTES, "size", "digits")
