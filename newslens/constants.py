@@ -11,6 +11,7 @@ IMAGE_LIST = "图片列表:"
 VIDEO_LIST = "视频列表:"
 VIDEO_LINK_PREFIX = "视频链接:"
 SIZE_LABEL = "尺寸:"
+UNSAFE_IN_FILE_NAMES = r'[\\/*?:"<>|]'
 TRAILING_SECTIONS = ("Specials", "Videos")
 
 # --- Fixed values: sentiment report format --------------------------------
@@ -25,6 +26,7 @@ REPORT_SECTIONS = (
 )
 REPORT_LIST = "列表"
 REPORT_SCORE = "得分:"
+REPORT_LINE = r"\d+\.\s+(.+?)\s+\(" + REPORT_SCORE + r"\s+(-?\d+\.\d+)\)"
 
 # --- Fixed values: column aliases of the URL sheet, first present wins ----
 TITLE_ALIASES = ("标题", "文章标题", "title", "Title", "字段1_文本_文本")
@@ -125,4 +127,3 @@ DEFAULT_VIDEO_EXTENSION = "mp4"
 WORD = r"[\p{L}\p{N}_]"
 BLANK = r"[\s\x0B\x1c-\x1f\x{85}\p{Z}]"
 CJK = r"[\x{4e00}-\x{9fa5}]"
-UNSAFE_IN_FILE_NAMES = r'[\\/*?:"<>|]'

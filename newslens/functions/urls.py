@@ -2,29 +2,69 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
 
 from newslens import constants as K
-from newslens.functions.text import contains_any, safe_title
+from newslens.functions.text import contains_any, let, safe_title
+
+_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def _split_url(url: Column) -> Column:
+    """Scheme in lower case, authority with its slashes, path, query and fragment with their marks; empty if absent."""
+    part = [F.regexp_extract(url, _PARTS, i) for i in range(1, 6)]
+    bare = [F.when(F.length(p) > 1, p).otherwise("") for p in part[3:]]  # a mark alone says nothing
+    return F.struct(url.alias("url"), F.lower(part[0]).alias("scheme"), part[1].alias("site"), part[2].alias("path"),
+                    bare[0].alias("query"), bare[1].alias("fragment"))
+
+
+def _without_dots(segments: Column) -> Column:
+    """Fold over path segments: ``.`` goes, ``..`` takes the one before with it, a dot at the end leaves a slash."""
+    def step(done: Column, x: Column) -> Column:
+        return (F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+                .when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    ends = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    path = F.array_join(F.concat(kept, ends), "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
 
 
-@F.pandas_udf(StringType())
-def _join_url(base: pd.Series, ref: pd.Series) -> pd.Series:
-    def one(b, r):
-        try:
-            return urljoin(b or "", r)
-        except ValueError:  # malformed authority
-            return r
-    return pd.Series([None if r is None else one(b, r) for b, r in zip(base, ref)], dtype=object)
+def _joined_path(base: Column, ref: Column) -> Column:
+    """Path of a reference: absolute, or below the folder of the base's path."""
+    folder = F.split(F.regexp_replace(base, r"[^/]*$", ""), "/")
+    relative = F.concat(F.array(F.lit("")), F.filter(folder, lambda x: x != ""),
+                        let(F.split(ref, "/"), lambda parts: F.filter(
+                            parts, lambda x, i: (x != "") | (i == F.size(parts) - 1))))
+    return _without_dots(F.when(ref.startswith("/"), F.split(ref, "/")).otherwise(relative))
 
 
 def resolve_url(base: Column, ref: Column) -> Column:
-    """Absolute form of ``ref`` seen on page ``base``."""
-    return _join_url(base, ref)
+    """Absolute form of ``ref`` seen on page ``base`` (T20), by the rules for URI references.
+
+    Blanks and control signs in front and line breaks inside go first. A reference with a site of its own keeps its
+    path as it is; one with another scheme, or seen without a base, stays as it is. A scheme equal to the base's
+    counts as absent if no site follows. Square brackets that do not pair leave the reference as it is.
+    """
+    def clean(url: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+    def join(both: Column) -> Column:
+        b, r = both["b"], both["r"]
+        odd = (b["site"].contains("[") != b["site"].contains("]")) | (r["site"].contains("[") != r["site"].contains("]"))
+        rest = F.concat(r["query"], r["fragment"])
+        same_page = F.concat(b["path"], F.when(r["query"] == "", b["query"]).otherwise(r["query"]), r["fragment"])
+        return (F.when(both["raw"] == "", both["base"])
+                .when((both["base"] == "") | odd, both["raw"])
+                .when((r["scheme"] != "") & (r["scheme"] != b["scheme"]), both["raw"])
+                .when(r["site"].rlike("^//."), F.concat(b["scheme"], F.lit(":"), r["site"], r["path"], rest))
+                .otherwise(F.concat(b["scheme"], F.lit(":"), b["site"], F.when(r["path"] == "", same_page).otherwise(
+                    F.concat(_joined_path(b["path"], r["path"]), rest)))))
+
+    page = F.coalesce(base, F.lit(""))
+    whole = F.struct(_split_url(clean(page)).alias("b"), _split_url(clean(ref)).alias("r"), page.alias("base"),
+                     ref.alias("raw"))
+    return F.when(ref.isNotNull(), let(whole, join))
 
 
 def is_video_link(url: Column) -> Column:

@@ -62,3 +62,32 @@ def hot_topics(keywords: DataFrame, scores: DataFrame, key: str = "id", n_words:
     largest = sizes.agg(F.max("article_count")).scalar()
     return sizes.join(listed, "topic_name").withColumn("_largest", largest).withColumn(
         "heat_score", percent(F.col("article_count"), F.col("_largest"), 2)).drop("_largest")
+
+
+def hot_topics_by_date(keywords: DataFrame, dates: DataFrame, scores: DataFrame, k: int = 10, n_words: int = 5,
+                       key: str = "id") -> DataFrame:
+    """The ``k`` hottest topics of each ``stat_date``.
+
+    ``dates`` has one (key, stat_date) per dated article. Topics are counted per
+    date with partial sums before the shuffle and cut to ``k`` a date; only the
+    keywords of articles whose topic survives are then counted, on narrow rows.
+    Heat is a topic's size in percent of the date's largest.
+    """
+    topic = written(keywords.where("rank_no = 1").select(key, F.col("keyword").alias("topic_name")).join(dates, key),
+                    "dated-topics")
+    by = ["stat_date", "topic_name"]
+    sizes = topic.groupBy(*by).agg(F.count("*").alias("article_count"))
+    hot = top_per_group(sizes, ["stat_date"], [F.desc("article_count"), F.col("topic_name")], k)
+    peak = F.max("article_count").over(Window.partitionBy("stat_date"))  # over k rows
+    hot = written(hot.withColumn("heat_score", percent(F.col("article_count"), peak, 2)), "hot-topics")
+    own = written(topic.join(hot.select(*by), by, "left_semi"), "hot-articles")
+    mean = scores.join(own.select(F.col(key).alias("corpus_id")), "corpus_id", "left_semi").groupBy(
+        F.col("corpus_id").alias(key)).agg(F.sum("sentiment_score").alias("score_sum"), F.count("sentiment_score").alias("score_n"))
+    means = own.join(mean, key).groupBy(*by).agg(
+        F.when(F.sum("score_n") > 0, F.sum("score_sum").cast("double") / F.sum("score_n")).alias("avg_sentiment_score"))
+    words = keywords.join(own, key).groupBy(*by, "keyword").agg(F.count("*").alias("n"))
+    best = top_per_group(words, by, [F.desc("n"), F.col("keyword")], n_words, "word_no")
+    listed = best.groupBy(*by).agg(F.to_json(F.transform(
+        F.array_sort(F.collect_list(F.struct("word_no", "keyword"))), lambda x: x["keyword"])).alias("topic_keywords"))
+    return hot.join(listed, by).join(means, by, "left").select(
+        *by, "article_count", "avg_sentiment_score", "topic_keywords", "rank_no", "heat_score")

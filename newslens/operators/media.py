@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens import constants as K
 from newslens.functions.urls import file_format, url_host
@@ -16,12 +16,17 @@ def _listed(articles: DataFrame, key: str, kind: str) -> DataFrame:
         F.col("m.kind") == kind).select("corpus_id", "m.*")
 
 
+def image_format(file_name: Column) -> Column:
+    """Extension of an image file; one outside the allowed set becomes NULL."""
+    extension = file_format(file_name)
+    return F.when(extension.isin(*K.IMAGE_FORMATS), extension)
+
+
 def image_rows(articles: DataFrame, key: str = "id", folder: str = "images") -> DataFrame:
-    """One row per listed image; a format outside the allowed set becomes NULL."""
-    extension = file_format(F.col("file_name"))
+    """One row per listed image."""
     return _listed(articles, key, "image").select(
         "corpus_id", "pos", "file_name", F.concat(F.lit(f"{folder}/"), "file_name").alias("file_path"),
-        "width", "height", F.when(extension.isin(*K.IMAGE_FORMATS), extension).alias("format"))
+        "width", "height", image_format(F.col("file_name")).alias("format"))
 
 
 def video_rows(articles: DataFrame, links: DataFrame | None = None, key: str = "id",

@@ -179,31 +179,49 @@ def display_size(width: Column, height: Column, style: Column) -> Column:
             .otherwise(size(F.lit(0), F.lit(0))))
 
 
-def images(parsed: DataFrame, keep: list[str], url: str = "url", title: str = "title",
-           content_type: Column | None = None) -> DataFrame:
-    """One row per image candidate with its verdict.
+def image_entries(live: Column, url: Column, title: Column, content_type: Column | None = None) -> Column:
+    """All image candidates of a page as an array, each with its verdict.
 
     ``verdict`` is ``keep``, ``icon``, ``ad``, ``small`` or ``size_unknown``;
     the last one marks images whose size only the file itself could tell.
     """
-    content_type = F.lit(None).cast("string") if content_type is None else content_type
-    found = parsed.select(*keep, F.posexplode(image_candidates(F.col("live"))).alias("_i", "c")).where(
-        F.col("c.src").isNotNull()).select(
-        *keep, (F.col("_i") + 1).alias("pos"), "c.is_background", resolve_url(F.col(url), F.col("c.src")).alias("image_url"),
-        display_size(F.col("c.width"), F.col("c.height"), F.col("c.style")).alias("size"))
-    lower, width, height = F.lower("image_url"), F.col("size.width"), F.col("size.height")
-    verdict = (
-        F.when(F.col("is_background"), F.lit("size_unknown"))
-        .when(contains_any(lower, K.ICON_MARKS), "icon")
-        .when(contains_any(lower, K.AD_MARKS), "ad")
-        .when((width == 0) | (height == 0), "size_unknown")
-        .when((width < K.MIN_IMAGE_WIDTH) | (height < K.MIN_IMAGE_HEIGHT), "small")
-        .otherwise("keep"))
-    extension = image_extension(content_type)
-    name = F.when(F.col("is_background"), background_name(F.col(title), F.col("pos"), extension)
-                  ).otherwise(image_name(F.col(title), F.col("pos"), extension))
-    return found.select(*keep, "pos", "is_background", "image_url", width.alias("width"),
-                        height.alias("height"), verdict.alias("verdict"), name.alias("file_name"))
+    extension = image_extension(F.lit(None).cast("string") if content_type is None else content_type)
+
+    def sized(c: Column) -> Column:
+        return F.struct(
+            c["pos"].alias("pos"), c["is_background"].alias("is_background"), resolve_url(url, c["src"]).alias("image_url"),
+            display_size(c["width"], c["height"], c["style"]).alias("size"))
+
+    def judged(c: Column) -> Column:
+        lower, width, height = F.lower(c["image_url"]), c["size"]["width"], c["size"]["height"]
+        verdict = (
+            F.when(c["is_background"], F.lit("size_unknown"))
+            .when(contains_any(lower, K.ICON_MARKS), "icon")
+            .when(contains_any(lower, K.AD_MARKS), "ad")
+            .when((width == 0) | (height == 0), "size_unknown")
+            .when((width < K.MIN_IMAGE_WIDTH) | (height < K.MIN_IMAGE_HEIGHT), "small")
+            .otherwise("keep"))
+        name = F.when(c["is_background"], background_name(title, c["pos"], extension)
+                      ).otherwise(image_name(title, c["pos"], extension))
+        return F.struct(
+            c["pos"].alias("pos"), c["is_background"].alias("is_background"), c["image_url"].alias("image_url"),
+            width.alias("width"), height.alias("height"), verdict.alias("verdict"), name.alias("file_name"))
+
+    numbered = F.transform(image_candidates(live), lambda c, i: c.withField("pos", i + 1))
+    found = F.filter(numbered, lambda c: c["src"].isNotNull())
+    return F.transform(F.transform(found, sized), judged)
+
+
+def images(parsed: DataFrame, keep: list[str], url: str = "url", title: str = "title",
+           content_type: Column | None = None) -> DataFrame:
+    """One row per image candidate with its verdict."""
+    return one_each(parsed.select(*keep, image_entries(
+        F.col("live"), F.col(url), F.col(title), content_type).alias("_all")), keep)
+
+
+def one_each(entries: DataFrame, keep: list[str], column: str = "_all") -> DataFrame:
+    # the outer form, since the plain one would evaluate the list again as a filter
+    return entries.select(*keep, F.explode_outer(column).alias("_one")).where("_one IS NOT NULL").select(*keep, "_one.*")
 
 
 def video_candidates(live: Column) -> Column:
@@ -231,14 +249,37 @@ def _video_sources(live: Column) -> Column:
     return F.array_compact(F.concat(tagged, frames, data, scripts))
 
 
+def video_entries(live: Column, url: Column, title: Column, content_type: Column | None = None) -> Column:
+    """All video sources of a page as an array: absolute URL, link or file, name."""
+    content_type = F.lit(None).cast("string") if content_type is None else content_type
+    full = F.transform(_numbered(video_candidates(live)), lambda v: F.struct(
+        v["pos"].alias("pos"), resolve_url(url, v["src"]).alias("video_url")))
+    return F.transform(full, lambda v: F.struct(
+        v["pos"].alias("pos"), v["video_url"].alias("video_url"),
+        F.when(is_video_link(v["video_url"]), "link").otherwise("file").alias("kind"),
+        video_name(title, v["pos"], v["video_url"], video_extension(content_type, v["video_url"])).alias("file_name")))
+
+
+def _numbered(sources: Column) -> Column:
+    return F.transform(sources, lambda s, i: F.struct((i + 1).alias("pos"), s.alias("src")))
+
+
 def videos(parsed: DataFrame, keep: list[str], url: str = "url", title: str = "title",
            content_type: Column | None = None) -> DataFrame:
-    """One row per video source: absolute URL, link or file, name."""
-    content_type = F.lit(None).cast("string") if content_type is None else content_type
-    found = parsed.select(*keep, F.posexplode(video_candidates(F.col("live"))).alias("_i", "src")).withColumn(
-        "video_url", resolve_url(F.col(url), F.col("src")))
-    pos, full = F.col("_i") + 1, F.col("video_url")
-    return found.select(
-        *keep, pos.alias("pos"), full.alias("video_url"),
-        F.when(is_video_link(full), "link").otherwise("file").alias("kind"),
-        video_name(F.col(title), pos, full, video_extension(content_type, full)).alias("file_name"))
+    """One row per video source."""
+    return one_each(parsed.select(*keep, video_entries(
+        F.col("live"), F.col(url), F.col(title), content_type).alias("_all")), keep)
+
+
+def page_records(pages: DataFrame, keep: list[str], url: str = "url", title: str = "title") -> DataFrame:
+    """Text, images and videos of each page from one parse, as arrays beside the columns ``keep``.
+
+    All three are taken from the same container. ``images`` has every candidate
+    with its verdict; ``keep`` must hold the URL and the title.
+    """
+    parsed = parse_pages(pages, keep)
+    live = F.col("live")
+    return parsed.select(
+        *keep, "container_kind", F.array_join(paragraphs(live, F.col("_loose")), "\n\n").alias("text"),
+        image_entries(live, F.col(url), F.col(title)).alias("images"),
+        video_entries(live, F.col(url), F.col(title)).alias("videos"))

@@ -63,3 +63,16 @@ def number_rows(df: DataFrame, order: list[Column], out: str, within: list[str]
     # one row per partition and one per group boundary, so few unless groups are many
     joined = slots.join(bounded_broadcast(starts), match)
     return joined.select(*df.columns, (low + F.col("_shift")).alias(out))
+
+
+def number_wide(df: DataFrame, order: list[Column], out: str, partitions: int | None = None) -> DataFrame:
+    """``number_rows`` for rows with long texts: only the keys are laid out by range.
+
+    The rows are stored once, each with its slot; the numbers come back to the
+    slots, by broadcast where there are few.
+    """
+    stored = written(df.withColumn("_slot_no", F.monotonically_increasing_id()), "wide")
+    keys = [F.col(f"_key_{i}") for i in range(len(order))]
+    narrow = stored.select("_slot_no", *[c.alias(f"_key_{i}") for i, c in enumerate(order)])
+    numbered = number_rows(narrow, [*keys, F.col("_slot_no")], out, partitions=partitions).select("_slot_no", out)
+    return stored.join(bounded_broadcast(written(numbered, "numbers")), "_slot_no").drop("_slot_no")

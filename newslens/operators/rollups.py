@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from newslens import constants as K
 from newslens.functions.dates import in_month, month_end, month_of
 from newslens.functions.numbers import percent
-from newslens.operators.ranking import top_per_group
+from newslens.operators.ranking import number_rows, top_per_group
 from newslens.operators.skew import bounded_broadcast
 from newslens.session import written
+from newslens.sources.keyed_table import KeyedTable
 
 
 def per_article(scores: DataFrame) -> DataFrame:
@@ -74,6 +75,11 @@ def sentiment_overview(corpus: DataFrame, scores: DataFrame) -> DataFrame:
     ).withColumn("positive_rate", percent(F.col("positive_count"), F.col("total_articles"), 2))
 
 
+def newest_first(rows: DataFrame, then: list[str], month: str = "month") -> DataFrame:
+    """Rows numbered as the views list them: months descending, then by ``then``."""
+    return number_rows(rows, [F.desc(month), *map(F.col, then)], "row_no").orderBy("row_no")
+
+
 def content_type_stats(corpus: DataFrame) -> DataFrame:
     """Monthly counts per type with mean media counts and distinct media."""
     dated = corpus.where(F.col("publish_date").isNotNull())
@@ -82,17 +88,23 @@ def content_type_stats(corpus: DataFrame) -> DataFrame:
         F.avg("video_count").alias("avg_videos"), F.count_distinct("media_name").alias("media_count"))
 
 
-def monthly_statistics(corpus: DataFrame, scores: DataFrame, month: str | None = None) -> DataFrame:
-    """Rows of ``media_statistics`` for one month or for every dated month."""
+PARTS = ("total_articles", "text_articles", "image_articles", "video_articles",
+         *[f"{name}_articles" for name in K.SENTIMENTS], "score_sum", "score_n", "total_images", "total_videos")
+
+
+def monthly_parts(corpus: DataFrame, scores: DataFrame) -> DataFrame:
+    """Sums per month and source that may be added to, and taken from, one another (A13, ST3).
+
+    ``corpus`` has dated articles; only their scores are summed.
+    """
     published = F.col("publish_date")
-    chosen = corpus.where(in_month(published, month) if month else published.isNotNull())
     # media totals and flags count once per joined row, as in the plain left join
     weight = F.coalesce("n_scores", F.lit(1))
 
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, weight).otherwise(0))
 
-    grouped = with_scores(chosen.select(
+    return with_scores(corpus.select(
         "id", "source", "publish_date", "content_type", "image_count", "video_count"), scores
     ).groupBy(month_of(published).alias("stat_month"), "source").agg(
         _total().alias("total_articles"),
@@ -100,11 +112,52 @@ def monthly_statistics(corpus: DataFrame, scores: DataFrame, month: str | None =
         rows_where(F.col("image_count") > 0).alias("image_articles"),
         rows_where(F.col("video_count") > 0).alias("video_articles"),
         *[_class(name).alias(f"{name}_articles") for name in K.SENTIMENTS],
-        _mean_score().alias("avg_sentiment_score"),
+        F.coalesce(F.sum("score_sum"), F.lit(0)).cast("decimal(28,2)").alias("score_sum"),
+        F.coalesce(F.sum("score_n"), F.lit(0)).alias("score_n"),
         F.sum(F.col("image_count") * weight).alias("total_images"),
         F.sum(F.col("video_count") * weight).alias("total_videos"),
     )
-    return grouped.withColumn("stat_date", month_end(F.col("stat_month")))
+
+
+def statistics_of(parts: DataFrame) -> DataFrame:
+    """Rows of ``media_statistics`` from their parts."""
+    mean = F.when(F.col("score_n") > 0, F.col("score_sum").cast("double") / F.col("score_n"))
+    kept = [c for c in PARTS if c not in ("score_sum", "score_n")]
+    return parts.select("stat_month", "source", *kept[:-2], mean.alias("avg_sentiment_score"), *kept[-2:],
+                        month_end(F.col("stat_month")).alias("stat_date"))
+
+
+def monthly_statistics(corpus: DataFrame, scores: DataFrame, month: str | None = None) -> DataFrame:
+    """Rows of ``media_statistics`` for one month or for every dated month."""
+    published = F.col("publish_date")
+    if month is None:
+        return statistics_of(monthly_parts(corpus.where(published.isNotNull()), scores))
+    chosen = corpus.where(in_month(published, month))
+    # scores of other months never reach the sum
+    own = scores.join(chosen.select(F.col("id").alias("corpus_id")), "corpus_id", "left_semi")
+    return statistics_of(monthly_parts(chosen, own))
+
+
+def month_parts_table(spark: SparkSession, path: str) -> KeyedTable:
+    kinds = {"score_sum": "decimal(28,2)"}
+    fields = ", ".join(f"{c} {kinds.get(c, 'long')}" for c in PARTS)
+    return KeyedTable(spark, path, spark.createDataFrame([], f"stat_month string, source string, {fields}").schema,
+                      ["stat_month", "source"], buckets=16, parts=1)
+
+
+def change_months(table: KeyedTable, added: DataFrame | None, removed: DataFrame | None, upto: int | None = None) -> None:
+    """Add the parts of new articles to their months, and take those of removed ones away.
+
+    An article whose scores or media change is removed as it was and added as it is. A month without articles of a
+    source has no row there any more.
+    """
+    changes = None
+    for parts, sign in ((added, 1), (removed, -1)):
+        if parts is not None:
+            signed = parts.select("stat_month", "source", *[(F.col(c) * sign).alias(c) for c in PARTS])
+            changes = signed if changes is None else changes.unionByName(signed)
+    summed = changes.groupBy("stat_month", "source").agg(*[F.sum(c).alias(c) for c in PARTS])
+    table.add_up(summed, upto, alive=F.col("total_articles") != 0)
 
 
 def replace_months(statistics: DataFrame, path: str) -> None:
@@ -209,18 +262,46 @@ def media_activity(corpus: DataFrame) -> DataFrame:
     return _heat(counted, ["stat_month"], "article_count", "activity_score")
 
 
+ERRORS_SHOWN = 20
+
+
 def load_counters(parsed: DataFrame, status: str = "status") -> DataFrame:
     """Rows that were loaded and rows that failed."""
     ok = F.col(status) == "success"
     return parsed.agg(F.count_if(ok).alias("processed"), F.count_if(~ok).alias("failed"))
 
 
-def processing_log(counted: DataFrame, process_type: str) -> DataFrame:
+def error_message(problems: DataFrame, path: str = "path", problem: str = "problem", shown: int = ERRORS_SHOWN) -> Column:
+    """The first ``shown`` problems by file, one a line, NULL without any: a top-k, whatever their number."""
+    first = problems.where(F.col(problem).isNotNull()).orderBy(path, problem).limit(shown).agg(
+        F.array_sort(F.collect_list(F.concat(F.col(path), F.lit(": "), F.col(problem)))).alias("lines"))
+    return first.select(F.nullif(F.array_join("lines", "\n"), F.lit(""))).scalar()
+
+
+def processing_log(counted: DataFrame, process_type: str, error: Column | None = None) -> DataFrame:
     """One log row for a finished job (D7), without its two clock columns."""
     failed = F.col("failed")
     return counted.select(
         F.lit(process_type).alias("process_type"),
         F.when((failed > 0) & (F.col("processed") == 0), "failed").otherwise("success").alias("status"),
         F.col("processed").alias("processed_count"),
+        (F.lit(None).cast("string") if error is None else error).alias("error_message"),
         F.to_json(F.struct("processed", "failed")).alias("details"),
     )
+
+
+def media_reach(corpus: DataFrame) -> DataFrame:
+    """Sketches of the distinct media of each month, type and source; they merge into any longer span."""
+    dated = corpus.where(F.col("publish_date").isNotNull() & F.col("media_name").isNotNull())
+    return dated.groupBy(month_of(F.col("publish_date")).alias("month"), "content_type", "source").agg(
+        F.hll_sketch_agg("media_name", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+SKETCH_BITS = 14
+# three standard errors of a merged sketch of 2^14 registers; few keys are counted exactly
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def merged_reach(sketches: DataFrame, *groups: Column) -> DataFrame:
+    """Estimated distinct media of coarser groups, from sketches alone: no article is read again."""
+    return sketches.groupBy(*groups).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("media_estimate"))

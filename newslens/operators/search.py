@@ -1,7 +1,11 @@
-"""Bigram full-text search over title and content."""
+"""Bigram full-text search over title and content (T12): grams in any order, and whole phrases by position."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.functions.text import let
@@ -70,3 +74,120 @@ def _grams(term: str) -> list[str]:
 def _split(term: str) -> list[str]:
     word = "".join(c if c.isalnum() else " " for c in term.lower())
     return word.split()
+
+
+BLOCK = 4096  # signs of text that one posting covers; places are counted from its start
+_FIELD_END = "\x01"
+_LOW = (1 << 21) - 1  # a code point has 21 bits
+
+
+def _plain_text(text: Column) -> Column:
+    """Words in lower case, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS, " "))
+
+
+def places_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(gram, place) as two arrays: pairs of letters inside words, a word's last letter with the blank behind it, and
+    words of one letter."""
+    signs = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    letter = np.concatenate([[False], (signs != 32) & (signs != 1), [False]])
+    before, here, after = letter[:-2], letter[1:-1], letter[2:]
+    following = np.append(signs[1:], 0)
+    pairs, alone = np.flatnonzero(here & (after | (following == 32))), np.flatnonzero(here & ~before & ~after)
+    grams = np.concatenate([signs[pairs] << 21 | following[pairs], signs[alone] << 21])
+    return grams, np.concatenate([pairs, alone])
+
+
+def _gram(code: int) -> str:
+    return chr(code >> 21) + (chr(code & _LOW) if code & _LOW else "")
+
+
+def _place_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (key, text) to one row per gram and block of a document, with the sorted places in the block."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 64):
+            batch = whole.slice(start, 64)
+            docs, grams, places = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if text:
+                    gram, place = places_of(text)
+                    docs.append(np.full(len(gram), i))
+                    grams.append(gram)
+                    places.append(place)
+            if not docs:
+                continue
+            doc, gram, place = map(np.concatenate, (docs, grams, places))
+            order = np.lexsort((place, gram, doc))
+            doc, gram, place = doc[order], gram[order], place[order]
+            block = place // BLOCK
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])
+            first = np.flatnonzero(new)
+            names = {code: _gram(code) for code in np.unique(gram).tolist()}
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.append(first, len(doc)), pa.int32()), pa.array((place % BLOCK).astype(np.int16)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(doc[first])), pa.array([names[c] for c in gram[first].tolist()], pa.string()),
+                 pa.array(block[first].astype(np.int32)), lists],
+                names=[batch.schema.names[0], "gram", "block", "places"])
+
+
+def positions(corpus: DataFrame, key: str = "id") -> DataFrame:
+    """One row per gram and block of a document: (key, gram, block, places). Narrow.
+
+    Places count the signs of title and content with one blank between words.
+    They are kept as distances from the start of their block, so that they stay
+    small, and no array grows with the length of a text.
+    """
+    text = F.concat_ws(f" {_FIELD_END} ", _plain_text(F.col("title")), _plain_text(F.col("content")))
+    rows = corpus.select(key, text.alias("_text"))
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.mapInArrow(_place_rows, f"{key} {kind}, gram string, block int, places array<short>")
+
+
+def write_positions(corpus: DataFrame, path: str, buckets: int = 64, parts: int = 8, key: str = "id") -> None:
+    """Store positional postings so that a search reads only the folders, and in them the row groups, of its grams."""
+    bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
+    part = F.pmod(F.xxhash64(key), F.lit(parts))
+    positions(corpus, key).withColumn("bucket", bucket).repartition("bucket", part).sortWithinPartitions(
+        "bucket", "gram", key, "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def phrase_grams(phrase: str) -> list[tuple[str, int]]:
+    """(gram, distance from the start) of a phrase."""
+    grams, places = places_of(" ".join(_split(phrase)))
+    return sorted(zip(map(_gram, grams.tolist()), places.tolist()), key=lambda x: x[1])
+
+
+def phrase(rows: DataFrame, text: str, key: str = "id", buckets: int | None = None) -> DataFrame:
+    """Documents that hold ``text`` as one stretch, with the number of its places.
+
+    Any sign that is no letter or digit parts words, and parted words must
+    follow one another. The first word may end a longer one and the last may
+    begin one, except for words of one letter, which stand alone. Each gram's
+    places are moved back by its distance from the start; where all grams meet,
+    the phrase begins. Only the rows of the phrase's grams are read, and only
+    their arrays of starts are shuffled, by document.
+    """
+    grams = phrase_grams(text)
+    if not grams:
+        raise ValueError("a phrase needs a letter or digit")
+    if buckets:
+        wanted = F.array(*[F.pmod(F.xxhash64(F.lit(g)), F.lit(buckets)).cast("int") for g in sorted({g for g, _ in grams})])
+        rows = rows.where(F.array_contains(wanted, F.col("bucket")))
+    steps = F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(i).alias("no"), F.lit(d).cast("int").alias("distance"))
+                      for i, (g, d) in enumerate(grams)])
+    moved = rows.where(F.col("gram").isin(sorted({g for g, _ in grams}))).select(
+        key, "places", (F.col("block") * BLOCK).alias("_base"),
+        F.explode(F.filter(steps, lambda s: s["gram"] == F.col("gram"))).alias("s"))
+    starts = moved.select(key, F.col("s.no").alias("no"), F.transform(
+        "places", lambda p: p.cast("int") + F.col("_base") - F.col("s.distance")).alias("starts"))
+
+    def of(number: Column) -> Column:
+        return F.flatten(F.transform(F.filter("found", lambda f: f["no"] == number), lambda f: f["starts"]))
+
+    met = of(F.lit(0))
+    if len(grams) > 1:
+        met = F.aggregate(F.sequence(F.lit(1), F.lit(len(grams) - 1)), met, lambda a, n: F.array_intersect(a, of(n)))
+    return starts.groupBy(key).agg(F.collect_list(F.struct("no", "starts")).alias("found")).select(
+        key, F.size(met).cast("long").alias("n_places")).where("n_places > 0")

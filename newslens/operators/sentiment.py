@@ -15,14 +15,13 @@ from newslens.operators.skew import lookup
 _TOKEN = r"[\p{L}\p{N}_']+"
 
 
-BROADCAST_WORDS = 50_000  # a lexicon up to this size is sent to every executor
+LISTED_WORDS = 50_000  # a lexicon up to this size is a list in the plan, so that only hits become rows
 
 
 def lexicon_table(spark: SparkSession, words: dict[str, float]) -> DataFrame:
-    """(word, valence in 10^-8 units), marked for broadcast if it has few words."""
-    table = spark.createDataFrame(
-        pa.table({"_entry": list(words), "_valence": [round(v * L.UNIT) for v in words.values()]}))
-    return F.broadcast(table) if len(words) <= BROADCAST_WORDS else table
+    """(word, valence in 10^-8 units), for broadcast: the driver holds it already, so it has a driver's size."""
+    return F.broadcast(spark.createDataFrame(
+        pa.table({"_entry": list(words), "_valence": [round(v * L.UNIT) for v in words.values()]})))
 
 
 def _count_char(text: Column, char: str) -> Column:
@@ -39,8 +38,8 @@ def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None
     stage; what is shuffled is one partial sum per document. All sums are
     integers in 10^-8 units: the order of addition cannot matter.
 
-    A lexicon of more than BROADCAST_WORDS words is joined by an ordinary
-    shuffle, to all tokens, as it is too long for a list in the plan.
+    A lexicon of more than LISTED_WORDS words is too long for a list in the
+    plan: then all tokens become rows, but still meet it in the map stage.
     """
     keep, words = keep or [], L.WORDS if lexicon is None else lexicon
     valences = lexicon_table(docs.sparkSession, words)
@@ -50,7 +49,7 @@ def score_documents(docs: DataFrame, key: str, text: str, keep: list[str] | None
         lowered = F.transform(tokens, F.lower)
 
         def pick(low: Column) -> Column:
-            listed = (lambda w: w.isin(*words)) if len(words) <= BROADCAST_WORDS else (lambda w: F.lit(True))
+            listed = (lambda w: w.isin(*words)) if len(words) <= LISTED_WORDS else (lambda w: F.lit(True))
             places = F.filter(F.transform(low, lambda w, i: F.when(listed(w), i)), lambda i: i.isNotNull())
             return F.transform(places, lambda i: F.struct(
                 i.alias("pos"), F.get(tokens, i).alias("word"), F.get(low, i).alias("low"),

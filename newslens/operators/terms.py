@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newslens import constants as K
 from newslens.functions.numbers import percent
-from newslens.functions.text import has_cjk
+from newslens.functions.text import has_cjk, let
 from newslens.operators.ranking import top_per_group
-from newslens.operators.skew import bounded_broadcast
+from newslens.operators.skew import bounded_broadcast, lookup
+from newslens.session import written
 
 # A whole run of word characters that consists of ASCII letters only. Equal to
 # Python's \b[a-zA-Z]+\b, where \b knows all letters ("café" yields nothing).
@@ -44,50 +44,81 @@ def english_tokens(docs: DataFrame, text: str = "body", keep: list[str] | None =
     return without_stop_words(words, stop_words)
 
 
-def _segmenter(vocabulary: frozenset[str]):
-    longest = max((len(w) for w in vocabulary), default=1)
+def _pairs(run: Column) -> Column:
+    """Pairs of neighbouring signs; a single sign stays as it is."""
+    return F.when(F.length(run) < 2, F.array(run)).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(run) - 1, F.lit(1))), lambda i: F.substr(run, i, F.lit(2))))
 
-    def cut(run: str) -> Iterator[str]:
-        """Longest known word at each place; unknown stretches become bigrams."""
-        at, unknown = 0, 0
-        while at < len(run):
-            size = next((n for n in range(min(longest, len(run) - at), 1, -1)
-                         if run[at:at + n] in vocabulary), 0)
-            if size:
-                yield from bigrams(run[unknown:at])
-                yield run[at:at + size]
-                at += size
-                unknown = at
-            else:
-                at += 1
-        yield from bigrams(run[unknown:])
 
-    def bigrams(part: str) -> Iterator[str]:
-        if len(part) == 1:
-            yield part
-        for i in range(len(part) - 1):
-            yield part[i:i + 2]
+def _cuts(best: Column, size: Column) -> Column:
+    """Fold over places: the longest word that starts at the first free place is taken, what lies between stays unknown.
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame = frame.assign(word=[list(cut(run)) for run in frame["word"]])
-            yield frame.explode("word").dropna(subset=["word"])
+    ``best`` has the length of the longest word at each place, 0 without one. The result lists (start, size, known).
+    """
+    cut = "struct<start:int,size:int,known:boolean>"
+
+    def piece(start: Column, length: Column, known: bool) -> Column:
+        return F.struct(start.cast("int").alias("start"), length.cast("int").alias("size"), F.lit(known).alias("known"))
+
+    def state(free: Column, unknown: Column, cuts: Column) -> Column:
+        return F.struct(free.cast("int").alias("free"), unknown.cast("int").alias("unknown"), cuts.alias("cuts"))
+
+    def unknown_to(s: Column, end: Column) -> Column:
+        return F.when(s["unknown"] < end, F.array(piece(s["unknown"], end - s["unknown"], False))).otherwise(
+            F.array().cast(f"array<{cut}>"))
 
-    return batches
+    def step(s: Column, place: Column) -> Column:
+        at, length = place["at"], place["size"]
+        end = at + length
+        taken = F.concat(s["cuts"], unknown_to(s, at), F.array(piece(at, length, True)))
+        return F.when((at < s["free"]) | (length == 0), s).otherwise(state(end, end, taken))
 
+    places = F.transform(best, lambda n, i: F.struct(i.alias("at"), n.alias("size")))
+    start = state(F.lit(0), F.lit(0), F.array().cast(f"array<{cut}>"))
+    return F.aggregate(places, start, step, lambda s: F.concat(s["cuts"], unknown_to(s, size)))
 
-def cjk_tokens(docs: DataFrame, text: str, keep: list[str], vocabulary: Iterable[str] = ()) -> DataFrame:
+
+def segment(runs: DataFrame, vocabulary: DataFrame, run: str = "run") -> DataFrame:
+    """Distinct runs with their ``words`` by longest match from the left.
+
+    ``vocabulary`` is a table with a column ``word``, of any size. It is kept as
+    an array of the word lengths that occur behind each pair of first signs;
+    places of a run are joined to it, and only substrings of such lengths are
+    then looked up among the words. Unknown stretches fall into pairs of signs.
+    """
+    words = written(vocabulary.select("word").where(F.length("word") > 1).distinct(), "vocabulary")
+    heads = words.groupBy(F.substring("word", 1, 2).alias("head")).agg(
+        F.sort_array(F.collect_set(F.length("word"))).alias("sizes"))
+    distinct = written(runs.select(F.col(run).alias("run")).where("run IS NOT NULL").distinct(), "runs")
+    text, size = F.col("run"), F.length("run")
+    heads_at = distinct.where(size > 1).select("run", F.posexplode(_pairs(text)).alias("at", "head"))
+    tries = heads_at.join(heads, "head").select("run", "at", F.explode("sizes").alias("size")).where(
+        F.col("at") + F.col("size") <= size)
+    found = tries.withColumn("word", F.substr(text, F.col("at") + 1, F.col("size"))).join(words, "word")
+    longest = found.groupBy("run", "at").agg(F.max("size").alias("size")).groupBy("run").agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "size"))).alias("best"))
+    best = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(F.col("best")[i], F.lit(0)))
+    pieces = F.flatten(F.transform(_cuts(best, size), lambda c: let(
+        F.struct(F.substr(text, c["start"] + 1, c["size"]).alias("text"), c["known"].alias("known")),
+        lambda x: F.when(x["known"], F.array(x["text"])).otherwise(_pairs(x["text"])))))
+    plain = F.when(size > 0, _pairs(text)).otherwise(F.array().cast("array<string>"))
+    return distinct.join(longest, "run", "left").select(
+        "run", F.when(F.col("best").isNull(), plain).otherwise(pieces).alias("words"))
+
+
+def cjk_tokens(docs: DataFrame, text: str, keep: list[str], vocabulary: Iterable[str] | DataFrame = ()) -> DataFrame:
     """Chinese words longer than one sign.
 
-    Runs of signs are found by the JVM; only those runs, not whole texts, go to
-    Python for longest-match segmentation, and texts without CJK never do.
+    Each run of signs is cut once, however many texts hold it; a run that is
+    very frequent takes no part in the shuffle that brings its words back.
     """
-    runs = (
+    if not isinstance(vocabulary, DataFrame):
+        vocabulary = docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
+    runs = written(
         docs.where(has_cjk(F.col(text)))
-        .select(*keep, F.explode(F.regexp_extract_all(F.col(text), F.lit(_CJK_RUN), F.lit(0))).alias("word"))
-        .where(F.length("word") > 1)
-    )
-    words = runs.mapInPandas(_segmenter(frozenset(vocabulary)), runs.schema)
+        .select(*keep, F.explode(F.regexp_extract_all(F.col(text), F.lit(_CJK_RUN), F.lit(0))).alias("run"))
+        .where(F.length("run") > 1), "cjk-runs")
+    words = lookup(runs, segment(runs, vocabulary), "run").select(*keep, F.explode("words").alias("word"))
     return words.where((F.length("word") > 1) & ~F.col("word").isin(*K.STOP_WORDS_ZH))
 
 
@@ -98,15 +129,15 @@ def _cjk_bigrams(text: Column) -> Column:
 
 
 def mixed_tokens(docs: DataFrame, text: str = "body", keep: list[str] | None = None,
-                 vocabulary: Iterable[str] = ()) -> DataFrame:
+                 vocabulary: Iterable[str] | DataFrame = ()) -> DataFrame:
     """Chinese words and Latin words longer than two letters, case kept.
 
     Without a vocabulary Chinese runs fall into bigrams, and one pass of
-    built-in functions yields both kinds of words. With one, the runs (and only
-    these) are segmented in Python.
+    built-in functions yields both kinds of words. With one, a table or a few
+    words, the runs are cut by longest match.
     """
     keep, t = keep or [], F.col(text)
-    if vocabulary:
+    if isinstance(vocabulary, DataFrame) or vocabulary:
         latin = docs.select(*keep, F.explode(latin_words(t)).alias("word"))
         latin = without_stop_words(latin.where(F.length("word") > 2), K.STOP_WORDS_EN)
         return latin.unionByName(cjk_tokens(docs, text, keep, vocabulary))
@@ -156,7 +187,7 @@ def english_report(docs: DataFrame, text: str = "body", k: int = K.ENGLISH_TOP_T
 
 
 def mixed_report(docs: DataFrame, text: str = "body", k: int = K.MIXED_TOP_TERMS,
-                 vocabulary: Iterable[str] = ()) -> DataFrame:
+                 vocabulary: Iterable[str] | DataFrame = ()) -> DataFrame:
     top = top_terms(count_terms(mixed_tokens(docs, text, vocabulary=vocabulary)), k)
     return top.select("word", "n", "freq_pct", token_language(F.col("word")).alias("lang"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from newslens.functions.dates import date_from_text, date_from_url
 from newslens.functions.text import body_by_lines, content_by_rules, safe_title, title_from_file_name
-from newslens.functions.urls import file_format, url_host
+from newslens.functions.urls import url_host
 from newslens.operators import media as M
 from newslens.plans import bindings as B, oracles as O
 from newslens.sources.articles import parse_articles, parse_video_links, with_defaults
@@ -58,7 +58,7 @@ def media_tables(spark, sf_dir):
     rows = B.children(spark, sf_dir)
     is_image = F.col("kind") == "image"
     return rows.groupBy(
-        "kind", F.when(is_image, file_format(F.col("file_name"))).alias("format"),
+        "kind", F.when(is_image, M.image_format(F.col("file_name"))).alias("format"),
         F.when(~is_image, url_host(F.col("video_url"))).alias("platform"),
     ).agg(F.count("*").alias("n"), F.sum(F.col("width").cast("long")).alias("sum_width"),
           F.sum(F.col("height").cast("long")).alias("sum_height"))
@@ -80,11 +80,11 @@ def image_rows(spark, sf_dir):
 
 
 def video_rows(spark, sf_dir):
-    """Listed videos with the player of the order's second line as their link."""
+    """Listed videos with the players of the order's video lines as their links, the first with the first and so on."""
     parsed = _parsed(spark, sf_dir)
-    players = B.children(spark, sf_dir).where("kind = 'video' and pos = 2").select(
-        F.col("corpus_id").alias("id"), "video_url")
-    links = M.video_rows(parsed).join(players, F.col("corpus_id") == F.col("id")).select(
+    players = B.children(spark, sf_dir).where("kind = 'video'").select(
+        F.col("corpus_id").alias("id"), (F.col("pos") / 2).cast("int").alias("no"), "video_url")
+    links = M.video_rows(parsed).join(players, (F.col("corpus_id") == F.col("id")) & (F.col("pos") == F.col("no"))).select(
         "file_name", players["video_url"].alias("url"))
     return M.video_rows(parsed, links).withColumn("pos", F.col("pos").cast("long"))
 
@@ -125,7 +125,7 @@ UNION ALL SELECT id, 'video', i, stem || '_' || i || '_link.txt', NULL, NULL
 FROM (SELECT *, unnest(range(1, n_videos + 1)) AS i FROM files)""")),
     "safe_title": (safe_title_query, O.with_(O.DOCS, O.FILES, final="SELECT id, stem AS safe_title, replace(file_name, '.txt', '') AS title_of_file FROM files")),
     "media_tables": (media_tables, O.with_(O.CHILDREN, final="""SELECT kind,
-CASE WHEN kind = 'image' THEN regexp_extract(file_name, '[^.]+$') END AS format,
+CASE WHEN kind = 'image' THEN nullif(regexp_extract(file_name, '[^.]+$'), 'bmp') END AS format,
 CASE WHEN kind = 'video' THEN regexp_extract(video_url, '//([^/]+)/', 1) END AS platform, count(*) AS n,
 sum(width)::BIGINT AS sum_width, sum(height)::BIGINT AS sum_height FROM children GROUP BY 1, 2, 3""")),
     "image_rows": (image_rows, O.with_(O.DOCS, O.FILES, final="""SELECT id AS corpus_id, i AS pos, stem || '_' || i || '.jpeg' AS file_name,
@@ -134,7 +134,7 @@ FROM (SELECT *, unnest(range(1, n_images + 1)) AS i FROM files)""")),
     "video_rows": (video_rows, O.with_(O.DOCS, O.FILES, O.CHILDREN, """listed AS (SELECT id AS corpus_id, i AS pos, stem || '_' || i || '_link.txt' AS file_name
   FROM (SELECT *, unnest(range(1, n_videos + 1)) AS i FROM files))""",
         """links AS (SELECT l.file_name, min(video_url) AS url FROM listed l JOIN children c ON c.corpus_id = l.corpus_id
-  WHERE kind = 'video' AND c.pos = 2 GROUP BY 1)""",
+  AND c.pos = 2 * l.pos WHERE kind = 'video' GROUP BY 1)""",
         final="""SELECT corpus_id, pos, file_name, coalesce(url, 'videos/' || file_name) AS video_url,
 regexp_extract(url, '//([^/]+)/', 1) AS platform FROM listed LEFT JOIN links USING (file_name)""")),
     "video_links": (video_links, O.with_(O.CHILDREN, final="""SELECT file_name, video_url || '&c=1' AS url,

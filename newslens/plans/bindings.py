@@ -90,14 +90,11 @@ def dateline(date: Column, priority: Column) -> Column:
 
 
 def article_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article files as (id, file_name, value); single-line documents have no body."""
+    """Article files as (id, file_name, value): the first line is the title, the whole text the body below a date line."""
     d = dated_documents(spark, sf_dir)
     title = headline(F.col("text"))
-    rest = F.when(F.col("text").contains("\n"),
-                  F.expr("substring(text, locate('\\n', text) + 1)"))
-    body = F.coalesce(
-        F.concat(dateline(F.col("o_orderdate"), F.col("o_orderpriority")), F.lit("\n\n"), rest),
-        F.lit(""))
+    body = F.when(F.trim("text") != "", F.concat(
+        dateline(F.col("o_orderdate"), F.col("o_orderpriority")), F.lit("\n\n"), F.col("text"))).otherwise("")
     parts = d.select(
         "id", title.alias("title"), safe_title(title).alias("stem"),
         article_url(F.col("id"), F.col("o_orderdate"), F.col("o_orderpriority")).alias("url"),

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from newslens import constants as K
 from newslens.functions.text import body_by_lines, has_cjk, safe_title, strip, title_from_file_name
 from newslens.operators import keywords as W, lifecycle as Y, media as M, rollups as R, sentiment as S, terms
 from newslens.schema import IMAGES, KEYWORDS, VIDEOS, conform
-from newslens.session import written
+from newslens.session import job_tables, written
 from newslens.sources import sinks
 from newslens.sources.articles import parse_articles, read_articles, with_defaults
 from newslens.sources.report import read_report, write_report
 
 
-def write_term_reports(spark: SparkSession, folder: str, out: str, vocabulary: Iterable[str] = (),
+def write_term_reports(spark: SparkSession, folder: str, out: str, vocabulary: Iterable[str] | DataFrame = (),
                        as_csv: bool = False) -> None:
     """English and mixed term frequency of a folder, one dataset per sheet."""
     files = read_articles(spark, folder)
@@ -40,18 +41,38 @@ def write_score_report(spark: SparkSession, folder: str, out: str) -> DataFrame:
     return ranked
 
 
-def load_articles(spark: SparkSession, folder: str, corpus_path: str,
-                  existing: DataFrame | None = None) -> DataFrame:
-    """Parse a folder and append what the corpus does not hold yet, by file path.
+@dataclass(frozen=True)
+class Loaded:
+    """Appended articles with their ids and media, counts of the pass, and (path, problem) of files with one."""
+
+    rows: DataFrame
+    processed: int
+    failed: int
+    problems: DataFrame
+
+
+def file_problem(value: Column) -> Column:
+    """What is wrong with an article file: bytes that are no text (it is left out), or a missing header line."""
+    return (F.when(~F.is_valid_utf8(value), UNREADABLE)
+            .when(~value.contains(K.TITLE_PREFIX), "no title line").when(~value.contains(K.URL_PREFIX), "no URL line"))
+
+
+UNREADABLE = "not UTF-8 text"
+
 
-    Files that are no UTF-8 text are left out (``unreadable`` lists them). The
-    rows come back with their ids and lists of media.
+def load_folder(spark: SparkSession, folder: str, corpus_path: str, existing: DataFrame | None = None) -> Loaded:
+    """Parse a folder and append what the corpus does not hold yet, by file path, in one pass over the files.
+
+    Counters are observed while the parsed rows are stored, and problems stand
+    beside them, so nothing is read twice to fill the log.
     """
-    files = read_articles(spark, folder).where(F.is_valid_utf8("value"))
+    files = read_articles(spark, folder)
     if existing is not None:
         known = existing.select(F.col("file_path").alias("path"))
         files = files.join(known, "path", "left_anti")
-    parsed = with_defaults(parse_articles(files, ["path"])).withColumnRenamed("path", "file_path")
+    marked = files.withColumn("problem", file_problem(F.col("value"))).withColumn(
+        "value", F.when(F.is_valid_utf8("value"), F.col("value")))
+    parsed = with_defaults(parse_articles(marked, ["path", "problem"])).withColumnRenamed("path", "file_path")
 
     def listed(kind: str):
         return F.coalesce(F.size(F.filter("media", lambda m: m["kind"] == kind)), F.lit(0))
@@ -59,7 +80,18 @@ def load_articles(spark: SparkSession, folder: str, corpus_path: str,
     counted = parsed.withColumns({
         "image_count": listed("image"), "video_count": listed("video"),
         "crawl_date": F.current_timestamp(), "create_time": F.current_timestamp()})
-    return sinks.append_corpus(counted, corpus_path, [F.col("file_path")], existing)
+    bad = F.coalesce(F.col("problem") == UNREADABLE, F.lit(False))
+    seen = Observation()
+    stored = written(counted.observe(seen, F.count_if(~bad).alias("processed"), F.count_if(bad).alias("failed")), "parsed")
+    rows = sinks.append_corpus(stored.where(~bad).drop("problem"), corpus_path, [F.col("file_path")], existing)
+    problems = stored.where("problem IS NOT NULL").select(F.col("file_path").alias("path"), "problem")
+    return Loaded(rows, seen.get["processed"], seen.get["failed"], problems)
+
+
+def load_articles(spark: SparkSession, folder: str, corpus_path: str,
+                  existing: DataFrame | None = None) -> DataFrame:
+    """The articles that ``load_folder`` appends, with their ids and lists of media."""
+    return load_folder(spark, folder, corpus_path, existing).rows
 
 
 def unreadable(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,15 +155,22 @@ def load_all(spark: SparkSession, folder: str, report: str, out: str) -> None:
 
     May be run again: what the tables hold already is neither loaded nor
     numbered twice. Files that cannot be read count as failed, each time.
+    Intermediate tables are removed at the end.
     """
+    with job_tables(spark):
+        _load_all(spark, folder, report, out)
+
+
+def _load_all(spark: SparkSession, folder: str, report: str, out: str) -> None:
     def log(rows: DataFrame, step: str) -> None:
         sinks.append_log(R.processing_log(R.load_counters(rows), step), f"{out}/logs", start, datetime.now())
 
     start = datetime.now()
-    loaded = load_articles(spark, folder, f"{out}/corpus", stored_table(spark, f"{out}/corpus"))
-    load_media(spark, loaded, out)
-    log(loaded.select(F.lit("success").alias("status")).unionByName(
-        unreadable(spark, folder).select(F.lit("failed").alias("status"))), "crawl")
+    loaded = load_folder(spark, folder, f"{out}/corpus", stored_table(spark, f"{out}/corpus"))
+    load_media(spark, loaded.rows, out)
+    sinks.append_problems(loaded.problems, f"{out}/problems", start)
+    counted = spark.createDataFrame([(loaded.processed, loaded.failed)], "processed long, failed long")
+    sinks.append_log(R.processing_log(counted, "crawl", R.error_message(loaded.problems)), f"{out}/logs", start, datetime.now())
     start = datetime.now()
     corpus = spark.read.parquet(f"{out}/corpus")
     log(load_scores(spark, report, corpus, f"{out}/sentiment", stored_table(spark, f"{out}/sentiment")),

@@ -84,14 +84,14 @@ FILES = """files AS (
       list_transform(range(1, n_videos + 1), lambda i: i || '. ' || stem || '_' || i || '_link.txt' || chr(10)), '')
       ELSE '' END AS value
   FROM (SELECT docs.*, regexp_replace(title, '[\\\\/*?:"<>|]', '', 'g') AS stem,
-      CASE WHEN contains(text, chr(10)) THEN
+      CASE WHEN trim(text) <> '' THEN
         CASE o_orderpriority
           WHEN '1-URGENT' THEN year(o_orderdate) || '年' || month(o_orderdate) || '月' || day(o_orderdate) || '日'
           WHEN '2-HIGH' THEN year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate)
           WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%m/%d/%Y')
           WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y.%m.%d')
           ELSE year(o_orderdate) || '-02-30' END
-        || chr(10) || chr(10) || substr(text, instr(text, chr(10)) + 1) ELSE '' END AS body
+        || chr(10) || chr(10) || text ELSE '' END AS body
     FROM docs))"""
 
 BODIES = rf"""lined AS (SELECT *, string_split(value, chr(10)) AS lines FROM files),

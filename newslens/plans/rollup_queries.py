@@ -10,7 +10,7 @@ from newslens.functions.text import content_by_rules
 from newslens.operators import quality as Q, rollups as R
 from newslens.operators.terms import english_tokens
 from newslens.plans import bindings as B, oracles as O
-from newslens.session import fresh_path
+from newslens.session import fresh_path, written
 
 MONTH = "1997-03"
 LANGS = ("en", "fr", "de")
@@ -130,11 +130,13 @@ def media_activity(spark, sf_dir):
 
 
 def processing_log(spark, sf_dir):
-    """Articles whose text yields a valid date count as processed."""
+    """Articles whose text yields a valid date count as processed; the log names the first of the others."""
     files = B.article_files(spark, sf_dir)
     found = date_from_text(content_by_rules(F.col("value")))
-    status = files.select(F.when(found.isNotNull(), "success").otherwise("failed").alias("status"))
-    return R.processing_log(R.load_counters(status), "crawl")
+    status = written(files.select(
+        F.col("id").cast("string").alias("path"), F.when(found.isNotNull(), "success").otherwise("failed").alias("status"),
+        F.when(found.isNull(), "no date").alias("problem")), "file-status")
+    return R.processing_log(R.load_counters(status), "crawl", R.error_message(status))
 
 
 _C = (O.DOCS, O.CORPUS)
@@ -218,9 +220,11 @@ def _register_log() -> None:
     from newslens.plans.article_queries import _ISO, _ZH, _from_text
 
     QUERIES["processing_log"] = (processing_log, O.with_(O.DOCS, O.FILES, O.PARSED,
-        f"dated AS (SELECT {_from_text(_ZH, _ISO)} AS d FROM parsed)",
+        f"dated AS (SELECT id, {_from_text(_ZH, _ISO)} AS d FROM parsed)",
         final="""SELECT 'crawl' AS process_type, CASE WHEN failed > 0 AND processed = 0 THEN 'failed' ELSE 'success' END AS status,
-processed AS processed_count, '{"processed":' || processed || ',"failed":' || failed || '}' AS details
+processed AS processed_count, (SELECT nullif(string_agg(id || ': no date', chr(10) ORDER BY id || ': no date'), '') FROM (
+  SELECT id::VARCHAR AS id FROM dated WHERE d IS NULL ORDER BY id::VARCHAR LIMIT 20)) AS error_message,
+'{"processed":' || processed || ',"failed":' || failed || '}' AS details
 FROM (SELECT count(d) AS processed, count(*) - count(d) AS failed FROM dated)"""))
 
 

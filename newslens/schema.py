@@ -73,7 +73,7 @@ MEDIA_REF = ArrayType(_struct(
 PROCESSING_LOG = _struct(
     ("process_type", StringType(), False), ("status", StringType(), False),
     ("start_time", TimestampType(), False), ("end_time", TimestampType(), True),
-    ("processed_count", LongType(), True), ("details", StringType(), True),
+    ("processed_count", LongType(), True), ("error_message", StringType(), True), ("details", StringType(), True),
 )
 
 # v1 name <- superset name
@@ -119,6 +119,46 @@ def sentiment_rules(labels=K.SENTIMENTS) -> dict[str, Column]:
     }
 
 
+def image_rules(formats=K.IMAGE_FORMATS) -> dict[str, Column]:
+    return {
+        "corpus_id_missing": F.col("corpus_id").isNull(),
+        "file_name_missing": F.col("file_name").isNull(),
+        "file_path_too_long": F.length("file_path") > K.PATH_MAX,
+        "format_not_allowed": F.col("format").isNotNull() & ~F.col("format").isin(*formats),
+        "size_not_positive": (F.col("width") <= 0) | (F.col("height") <= 0),
+    }
+
+
+def video_rules() -> dict[str, Column]:
+    return {
+        "corpus_id_missing": F.col("corpus_id").isNull(),
+        "file_name_missing": F.col("file_name").isNull(),
+        "video_url_missing": F.col("video_url").isNull(),
+        "video_url_too_long": F.length("video_url") > K.URL_MAX,
+        "duration_negative": F.col("duration") < 0,
+    }
+
+
+def keyword_rules(types=K.KEYWORD_TYPES) -> dict[str, Column]:
+    return {
+        "corpus_id_missing": F.col("corpus_id").isNull(),
+        "keyword_missing": F.col("keyword").isNull(),
+        "keyword_too_long": F.length("keyword") > K.KEYWORD_MAX,
+        "keyword_type_not_allowed": F.col("keyword_type").isNotNull() & ~F.col("keyword_type").isin(*types),
+        # the first table layout has five digits for weights
+        "weight_does_not_fit": F.abs("weight") >= 1000,
+    }
+
+
+def log_rules(types=K.PROCESS_TYPES, states=K.PROCESS_STATES) -> dict[str, Column]:
+    return {
+        "process_type_not_allowed": F.col("process_type").isNull() | ~F.col("process_type").isin(*types),
+        "status_not_allowed": F.col("status").isNull() | ~F.col("status").isin(*states),
+        "count_negative": F.col("processed_count") < 0,
+        "ends_before_start": F.col("end_time") < F.col("start_time"),
+    }
+
+
 def violations(df: DataFrame, rules: dict[str, Column], id_col: str = "id") -> DataFrame:
     """One row per broken rule (C1): narrow, no shuffle."""
     marks = [F.when(bad, F.lit(name)) for name, bad in rules.items()]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +22,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # state of streams outside the Java heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # unread pages can be large: keep Arrow batches small enough for Python workers
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
@@ -52,8 +58,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_JOB: ContextVar[str] = ContextVar("job", default="")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/newslens/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/newslens/{_JOB.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the job inside are removed when it ends, whether well or not.
+
+    For jobs that write their results: a frame that leaves the block may still
+    need the tables.
+    """
+    folder = f"job-{uuid.uuid4().hex}/"
+    token = _JOB.set(folder)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/newslens/{folder}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

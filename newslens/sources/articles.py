@@ -10,7 +10,7 @@ from newslens.functions.dates import date_from_text, date_from_url
 from newslens.functions.urls import url_host, url_param
 
 
-def _plain(encoded: Column) -> Column:
+def plain_name(encoded: Column) -> Column:
     """A file name as it is on disk: file metadata holds it percent-encoded."""
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
@@ -19,8 +19,8 @@ def read_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``.txt`` file of a folder as (path, file_name, value) (S1); line ends become ``\\n``."""
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     return files.select(
-        _plain(F.col("_metadata.file_path")).alias("path"),
-        _plain(F.col("_metadata.file_name")).alias("file_name"),
+        plain_name(F.col("_metadata.file_path")).alias("path"),
+        plain_name(F.col("_metadata.file_name")).alias("file_name"),
         F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")).alias("value"))
 
 
@@ -85,7 +85,7 @@ def parse_video_links(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_video_links(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
-    return parse_video_links(files.select(_plain(F.col("_metadata.file_name")).alias("file_name"), "value"))
+    return parse_video_links(files.select(plain_name(F.col("_metadata.file_name")).alias("file_name"), "value"))
 
 
 def read_sheet_rows(spark: SparkSession, path: str, lang: str, k: int = K.SHEET_ROWS) -> DataFrame:

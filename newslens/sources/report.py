@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from newslens import constants as K
 from newslens.functions.numbers import exact_round
 
-_LINE = r"\d+\.\s+(.+?)\s+\(" + K.REPORT_SCORE + r"\s+(-?\d+\.\d+)\)"
-
 
 def _fixed(score: Column, digits: int = 3) -> Column:
     return F.format_string(f"%.{digits}f", exact_round(score, digits))
@@ -51,8 +49,10 @@ def report_lines(ranked: DataFrame, title: str = "title") -> DataFrame:
 
 
 def write_report(ranked: DataFrame, path: str, title: str = "title", partitions: int | None = None) -> None:
-    """Write the report as text parts whose names sort in reading order."""
-    lines = report_lines(ranked, title)
+    """Write the report as text parts whose names sort in reading order, a byte order mark ahead of the first line."""
+    first = (F.col("section_no") == 0) & (F.col("line_no") == 0)
+    lines = report_lines(ranked, title).withColumn(
+        "value", F.when(first, F.concat(F.lit("\ufeff"), "value")).otherwise(F.col("value")))
     keys = ["section_no", "line_no"]
     laid = lines.repartitionByRange(partitions, *keys) if partitions else lines.repartitionByRange(*keys)
     laid.sortWithinPartitions(*keys).select("value").write.mode("overwrite").text(path)
@@ -100,10 +100,10 @@ def parse_report(lines: DataFrame) -> DataFrame:
         "_last", ignorenulls=True).over(over) % 4).cast("int") - 1).alias("_carry"))
     joined = filled.join(carried, block).withColumn("sentiment", F.coalesce("_section", "_carry"))
     listed = joined.where(F.col("_head").isNull() & F.col("sentiment").isNotNull()
-                          & F.col("value").rlike(_LINE))
+                          & F.col("value").rlike(K.REPORT_LINE))
     return listed.select(
-        F.trim(F.regexp_extract("value", _LINE, 1)).alias("title"), "sentiment",
-        F.regexp_extract("value", _LINE, 2).cast("double").alias("compound"), *block, "line_id")
+        F.trim(F.regexp_extract("value", K.REPORT_LINE, 1)).alias("title"), "sentiment",
+        F.regexp_extract("value", K.REPORT_LINE, 2).cast("double").alias("compound"), *block, "line_id")
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

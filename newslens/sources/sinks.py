@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from newslens.operators.lifecycle import merge_processed
-from newslens.operators.ranking import number_rows
+from newslens.operators.ranking import number_wide
 from newslens.schema import CORPUS, PROCESSING_LOG, SENTIMENT, conform
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was finished and committed."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a store that this library writes; nothing happens if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _last_id(df: DataFrame | None) -> int:
     if df is None:
         return 0
@@ -21,7 +33,7 @@ def _last_id(df: DataFrame | None) -> int:
 def assign_ids(new: DataFrame, order: list[Column], existing: DataFrame | None = None,
                partitions: int | None = None) -> DataFrame:
     """Consecutive ids after the largest existing one, in ``order`` (K1, K2)."""
-    numbered = number_rows(new.drop("id"), order, "_no", partitions=partitions)
+    numbered = number_wide(new.drop("id"), order, "_no", partitions)
     return numbered.withColumn("id", F.col("_no") + F.lit(_last_id(existing))).drop("_no")
 
 
@@ -48,11 +60,15 @@ def append_children(rows: DataFrame, schema: StructType, path: str, order: list[
     conform(assign_ids(rows, order, existing), schema).write.mode("append").parquet(path)
 
 
+def one_file(frame: DataFrame, most: int = 100_000) -> DataFrame:
+    """A report as a single file as long as it is one: larger frames keep their partitions."""
+    return frame.coalesce(1) if frame.limit(most + 1).count() <= most else frame
+
+
 def write_sheets(sheets: dict[str, DataFrame], folder: str, as_csv: bool = False) -> None:
     """One dataset per result sheet (K3); CSV as the portable alternative."""
     for name, frame in sheets.items():
-        # reports end in a top-k, so a sheet is a handful of rows and one file
-        out = frame.coalesce(1).write.mode("overwrite")
+        out = one_file(frame).write.mode("overwrite")
         out.csv(f"{folder}/{name}", header=True) if as_csv else out.parquet(f"{folder}/{name}")
 
 
@@ -75,6 +91,11 @@ def save_processed(path: str, old: DataFrame, new: DataFrame) -> None:
     merge_processed(old, new).write.mode("errorifexists").parquet(path)
 
 
+def append_problems(problems: DataFrame, path: str, start: datetime) -> None:
+    """Append what is wrong with single files, one row each."""
+    problems.select("path", "problem").withColumn("noted_at", F.lit(start)).write.mode("append").parquet(path)
+
+
 def append_log(log: DataFrame, path: str, start: datetime, end: datetime) -> None:
     """Append the row of a finished job with its two clock columns."""
     timed = log.withColumns({"start_time": F.lit(start), "end_time": F.lit(end)})

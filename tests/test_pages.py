@@ -138,3 +138,51 @@ def test_extensions_and_names(one):
     assert one(lambda v: U.video_extension(F.lit(""), v), v="a.ogg?x") == "ogg"
     assert one(lambda v: U.video_extension(F.lit(None).cast("string"), v), v="a.bin") == "mp4"
     assert one(lambda v: U.image_name(v, F.lit(3), F.lit("png")), v="a/b") == "ab_3.png"
+
+
+PAGE = ('<title>T</title><article><img src="a.jpg" width=400 height=300><img src="/logo.png" width=400 height=300>'
+        '<p>One &amp; only</p><iframe src="https://player.x/e?i=1"></iframe><video src="v.mp4"></video><p>Two</p></article>')
+
+
+def pages_frame(spark, *titles):
+    return spark.createDataFrame([(i, URL + str(i), t, PAGE) for i, t in enumerate(titles)],
+                                 "position long, url string, title string, html string")
+
+
+def test_records_hold_what_the_single_operators_give(spark):
+    pages = pages_frame(spark, "A/B", "C").withColumnRenamed("position", "page_id")
+    parsed_pages = P.parse_pages(pages, KEEP)
+    records = P.page_records(pages, KEEP)
+    for column, alone in (("images", P.images(parsed_pages, KEEP)), ("videos", P.videos(parsed_pages, KEEP))):
+        assert sorted(map(tuple, P.one_each(records, KEEP, column).collect())) == sorted(map(tuple, alone.collect()))
+    texts = {r.page_id: r.text for r in P.articles(parsed_pages, KEEP).collect()}
+    assert {r.page_id: r.text for r in records.collect()} == texts
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_pages_are_stored_once_and_resumed(spark, tmp_path):
+    import os
+    import shutil
+
+    from newslens.plans.page_jobs import SINKS, store_pages
+
+    out = str(tmp_path / "out")
+    tables = store_pages(spark, pages_frame(spark, "A", "B?", "A"), out)
+    articles = {r.file_name: r for r in tables["articles"].collect()}
+    assert set(articles) == {"A.txt", "B.txt"} and articles["A.txt"].position == 2  # the last one stays
+    assert articles["B.txt"].value == (
+        f"标题: B?\n网址: {URL}1\n\nOne & only\n\nTwo\n\n图片列表:\n1. B_1.jpg - 尺寸: 400x300\n"
+        "\n\n视频列表:\n1. B_1.mp4\n2. B_2_link.txt\n")
+    assert sorted((r.position, r.pos, r.file_name) for r in tables["images"].collect()) == [
+        (0, 1, "A_1.jpg"), (1, 1, "B_1.jpg"), (2, 1, "A_1.jpg")]
+    assert {r.value for r in tables["links"].collect()} == {"视频链接: https://player.x/e?i=1"}
+    assert tables["processed"].count() == 3 and set(tables) == set(SINKS)
+    # one sink is lost half-way: only it is written again, and no page is needed for it
+    times = {name: os.path.getmtime(f"{out}/{name}/_SUCCESS") for name in ("records", *SINKS)}
+    shutil.rmtree(f"{out}/videos")
+    nothing = pages_frame(spark, "x").where("false")
+    again = store_pages(spark, nothing, out)
+    assert again["videos"].count() == 6 and again["articles"].count() == 2
+    same = {name for name, t in times.items() if os.path.getmtime(f"{out}/{name}/_SUCCESS") == t}
+    assert same == {"records", *SINKS} - {"videos"}

@@ -72,7 +72,7 @@ def test_lexicon_of_any_size(spark, monkeypatch):
     texts = ["VERY good day, but not a bad war!", "nothing here", "", None, "good good " * 50, "never so good?? GOOD"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     few = sorted(map(tuple, S.score_documents(df, "id", "t").collect()))
-    monkeypatch.setattr(S, "BROADCAST_WORDS", 1)
+    monkeypatch.setattr(S, "LISTED_WORDS", 1)
     assert sorted(map(tuple, S.score_documents(df, "id", "t").collect())) == few
 
 
@@ -139,7 +139,7 @@ def test_report_round_trip(spark):
 
     text = "\n".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{path}/part-*")))
     lines = [x for x in text.split("\n")]
-    assert [x for x in lines if x][:7] == ["情感分析详细结果", "==============", "汇总统计:", "正向报道: 3篇",
+    assert [x for x in lines if x][:7] == ["\ufeff情感分析详细结果", "==============", "汇总统计:", "正向报道: 3篇",
                                           "负面报道: 2篇", "中性报道: 5篇", "总计: 10篇"]
     assert "1. c (得分: 0.991)" in lines and "负面报道列表 (共2篇):" in lines
     got = rows(R.read_report(spark, path), "title", "sentiment", "compound")

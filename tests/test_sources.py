@@ -260,3 +260,39 @@ def test_titles_match_in_any_case(spark):
     corpus = spark.createDataFrame([(3, "Hello"), (2, "hello")], "id long, title string")
     assert rows(sentiment.match_by_title(scores, corpus), "title", "corpus_id") == [("HELLO", 2), ("none", None)]
     assert rows(sentiment.match_by_title(scores, corpus, fold=False), "corpus_id") == [(None,), (None,)]
+
+
+def test_no_character_of_a_document_is_lost(spark, tmp_path):
+    """The counted bodies hold whole texts, single lines and first lines included."""
+    from newslens.plans import bindings as B
+    from newslens.functions.text import body_by_lines
+
+    docs = [(1, "one line only"), (2, "first\nsecond\n\nthird"), (3, ""), (4, "  \n tail"), (5, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s")}).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i,) for i in range(1, 6)], "o_orderkey long").withColumns({
+        "o_orderdate": F.lit("1998-02-03").cast("date"), "o_orderpriority": F.lit("1-URGENT"),
+        "o_orderstatus": F.lit("F"), "o_totalprice": F.lit(0.0)}).write.parquet(str(tmp_path / "orders.parquet"))
+    files = B.article_files(spark, str(tmp_path)).select("id", body_by_lines(F.col("value")).alias("body"))
+    got = {r.id: r.body for r in files.collect()}
+    for i, text in docs:
+        if text and text.strip(" "):
+            assert got[i].endswith(text)
+
+
+def test_load_names_what_is_wrong_with_files(spark, tmp_path, folder):
+    from newslens.plans import corpus_jobs as J
+
+    (folder / "Bytes.txt").write_bytes(b"\xff\xfe no text")
+    (folder / "Bare.txt").write_text("only a body", encoding="utf-8")
+    loaded = J.load_folder(spark, str(folder), str(tmp_path / "corpus"))
+    assert (loaded.processed, loaded.failed) == (4, 1)
+    assert [(p.rsplit("/", 1)[1], why) for p, why in rows(loaded.problems, "path", "problem")] == [
+        ("Bare.txt", "no title line"), ("Bytes.txt", "not UTF-8 text")]
+    report, out = str(tmp_path / "report"), str(tmp_path / "out")
+    J.write_score_report(spark, str(folder), report)
+    J.load_all(spark, str(folder), report, out)
+    log = spark.read.parquet(f"{out}/logs").where("process_type = 'crawl'").first()
+    assert (log.status, log.processed_count) == ("success", 4)
+    assert [x.rsplit("/", 1)[1] for x in log.error_message.split("\n")] == ["Bare.txt: no title line", "Bytes.txt: not UTF-8 text"]
+    assert spark.read.parquet(f"{out}/problems").count() == 2

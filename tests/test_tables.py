@@ -210,3 +210,117 @@ def test_processing_log(spark):
     r = R.processing_log(R.load_counters(status), "crawl").first()
     assert (r.status, r.processed_count, r.details) == ("success", 2, '{"processed":2,"failed":1}')
     assert R.processing_log(R.load_counters(status.where("status = 'failed'")), "crawl").first().status == "failed"
+
+
+def plain_text(*fields):
+    return " \x01 ".join(" ".join("".join(c if c.isalnum() else " " for c in (f or "").lower()).split()) for f in fields)
+
+
+def phrase_places(text, phrase):
+    """Starts of a phrase by looking everywhere; words of one letter stand alone."""
+    padded = f" {text} "
+    words = phrase.split(" ")
+    found = 0
+    for i in range(len(padded) - len(phrase) + 1):
+        if padded.startswith(phrase, i):
+            ok = True
+            if len(words[0]) == 1 and padded[i - 1] not in " \x01":
+                ok = False
+            if len(words[-1]) == 1 and padded[i + len(phrase)] not in " \x01":
+                ok = False
+            found += ok
+    return found
+
+
+def test_phrases_against_looking_everywhere(spark, tmp_path):
+    import random
+
+    r = random.Random(8)
+    texts = [(i, " ".join(r.choices(["an", "ana", "b", "a", "banana", "né", "国中", "x1"], k=r.randint(0, 9))),
+              "".join(r.choice(["an ", "ana, ", "a-", "b ", "banan", "\n", "É", "中国 "]) for _ in range(r.randint(0, 60))))
+             for i in range(60)]
+    texts += [(100, None, None), (101, "of", "the"), (102, "", "word " * 3000 + "of the end" + " word" * 3000),
+              (103, None, "x" * 9000 + "anan")]
+    corpus = spark.createDataFrame(texts, "id long, title string, content string")
+    path = str(tmp_path / "positions")
+    X.write_positions(corpus, path, buckets=8, parts=2)
+    stored = spark.read.parquet(path)
+    for phrase in ("an", "anan", "a", "b a", "an ana", "of the", "word word of", "国中", "中国 an", "né", "banana b", "xx"):
+        expected = sorted(((i, n) for i, t, c in texts if (n := phrase_places(plain_text(t, c), phrase))), key=repr)
+        assert rows(X.phrase(stored, phrase.title(), buckets=8)) == expected, phrase
+    with pytest.raises(ValueError):
+        X.phrase(stored, " - ")
+
+
+def test_phrase_reads_only_its_grams(spark, tmp_path):
+    corpus = spark.createDataFrame([(1, "t", "some words")], "id long, title string, content string")
+    path = str(tmp_path / "positions")
+    X.write_positions(corpus, path, buckets=64)
+    plan = X.phrase(spark.read.parquet(path), "some", buckets=64)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_dated_topics(spark, scores):
+    words = spark.createDataFrame(
+        [(1, "x", 1), (1, "y", 2), (2, "x", 1), (3, "z", 1), (4, "y", 1), (5, "y", 1), (6, "q", 1)],
+        "id long, keyword string, rank_no int")
+    dates = spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d1"), (4, "d2"), (5, "d1")], "id long, stat_date string")
+    got = rows(W.hot_topics_by_date(words, dates, scores, k=2), "stat_date", "rank_no", "topic_name", "article_count",
+               "heat_score", "topic_keywords")
+    assert got == [("d1", 1, "x", 2, 100.0, '["x","y"]'), ("d1", 2, "y", 1, 50.0, '["y"]'), ("d2", 1, "y", 1, 100.0, '["y"]')]
+
+
+def test_log_names_the_first_problems(spark):
+    found = spark.createDataFrame([("b", "bad"), ("a", None), ("c", "worse"), ("a", "bad")], "path string, problem string")
+    one = spark.range(1)
+    assert one.select(R.error_message(found)).first()[0] == "a: bad\nb: bad\nc: worse"
+    assert one.select(R.error_message(found, shown=1)).first()[0] == "a: bad"
+    assert one.select(R.error_message(found.where("false"))).first()[0] is None
+
+
+def test_rules_of_every_table(spark):
+    def broken(rules, schema_, *cells):
+        return {r.rule for r in schema.violations(spark.createDataFrame(list(cells), schema_), rules).collect()}
+
+    assert broken(schema.image_rules(), "id long, corpus_id long, file_name string, file_path string, format string, width int, height int",
+                  (1, None, None, "x" * 501, "bmp", 0, 5), (2, 1, "a", "b", None, None, None)) == set(schema.image_rules())
+    assert broken(schema.video_rules(), "id long, corpus_id long, file_name string, video_url string, duration int",
+                  (1, None, None, None, -1), (2, 1, "f", "u" * 1001, None)) == set(schema.video_rules())
+    assert broken(schema.keyword_rules(), "id long, corpus_id long, keyword string, keyword_type string, weight double",
+                  (1, None, None, "no", 1000.0), (2, 1, "k" * 101, None, 1.0)) == set(schema.keyword_rules())
+    assert broken(schema.log_rules(), "id long, process_type string, status string, processed_count long, start_time int, end_time int",
+                  (1, "fly", None, -1, 2, 1), (2, "crawl", "running", 0, 1, None)) == set(schema.log_rules())
+
+
+def test_month_parts_follow_changes(spark):
+    import datetime
+    import random
+
+    r = random.Random(6)
+    cells = [(i, r.choice("ab"), r.choice(["text", "image"]), r.randint(0, 2), r.randint(0, 2),
+              datetime.date(2024, r.randint(1, 3), 5)) for i in range(80)]
+    marks = [(r.randrange(90), r.choice(["positive", "negative", None]), r.choice([None, 1, 7])) for _ in range(120)]
+    corpus = spark.createDataFrame(cells, "id long, source string, content_type string, image_count int, video_count int, publish_date date")
+    scores = spark.createDataFrame(marks, "corpus_id long, sentiment string, n int").withColumn(
+        "sentiment_score", F.col("n").cast("decimal(4,2)"))
+    from newslens.session import fresh_path
+
+    table = R.month_parts_table(spark, fresh_path(spark, "parts"))
+    groups = [corpus.where(f"id % 3 = {k}") for k in range(3)]
+    for g in groups:
+        R.change_months(table, R.monthly_parts(g, scores), None)
+    R.change_months(table, None, R.monthly_parts(groups[1], scores))
+    names = sorted(R.monthly_statistics(corpus, scores).columns)
+    assert rows(R.statistics_of(table.read()), *names) == rows(R.monthly_statistics(corpus.where("id % 3 <> 1"), scores), *names)
+    R.change_months(table, None, R.monthly_parts(groups[0].unionByName(groups[2]), scores))
+    assert table.read().count() == 0
+
+
+def test_sketches_stay_within_their_error(spark):
+    import datetime
+
+    corpus = spark.range(40_000).select(
+        F.lit(datetime.date(2024, 1, 1)).alias("publish_date"), F.lit("text").alias("content_type"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.concat(F.lit("m"), F.col("id") % 9000).alias("media_name"))
+    r = R.merged_reach(R.media_reach(corpus), F.substring("month", 1, 4).alias("year")).first()
+    assert abs(r.media_estimate - 9000) <= R.SKETCH_ERROR * 9000

@@ -89,3 +89,35 @@ def test_total_is_computed_from_the_shared_shuffle(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan or "ReusedSubquery" in plan or plan.count("TableCacheQueryStage") > 0 or \
         "ShuffleQueryStage" in plan
+
+
+def cut_plainly(run, vocabulary):
+    """Longest known word at each place, unknown stretches in pairs."""
+    out, unknown, at = [], "", 0
+
+    def pairs(part):
+        return [part] if len(part) == 1 else [part[i:i + 2] for i in range(len(part) - 1)]
+
+    while at < len(run):
+        size = max((len(w) for w in vocabulary if len(w) > 1 and run.startswith(w, at)), default=0)
+        if size:
+            out += (pairs(unknown) if unknown else []) + [run[at:at + size]]
+            unknown = ""
+            at += size
+        else:
+            unknown += run[at]
+            at += 1
+    return out + (pairs(unknown) if unknown else [])
+
+
+def test_segments_by_a_table_equal_the_plain_walk(spark):
+    import random
+
+    r = random.Random(12)
+    vocabulary = {"".join(r.choices("中国发展生", k=r.randint(1, 5))) for _ in range(40)}
+    runs = {"".join(r.choices("中国发展生命", k=r.randint(0, 14))) for _ in range(300)} | {"", "中", "命命命"}
+    words = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    got = terms.segment(spark.createDataFrame([(x,) for x in [*runs, None, "中国"]], "run string"), words)
+    assert {x.run: list(x.words) for x in got.collect()} == {x: cut_plainly(x, vocabulary) for x in {*runs, "中国"}}
+    none = terms.segment(spark.createDataFrame([("中国发",)], "run string"), words.where("false"))
+    assert list(none.first().words) == ["中国", "国发"]
