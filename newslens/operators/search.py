@@ -27,18 +27,20 @@ def postings(corpus: DataFrame, key: str = "id") -> DataFrame:
     return corpus.select(key, F.explode(bigrams(text)).alias("gram"))
 
 
-def write_postings(corpus: DataFrame, path: str, buckets: int = 64, parts: int = 8,
-                   key: str = "id") -> None:
-    """Store postings so that a search reads only the folders of its grams.
+def _by_bucket(rows: DataFrame, buckets: int, *order: str) -> DataFrame:
+    """Rows laid out by buckets of grams, each sorted by gram and ``order``.
 
-    Each folder is written by up to ``parts`` tasks, by document: a gram that
-    occurs everywhere is split, and the number of files stays bounded.
+    Adaptive execution sizes the tasks: small buckets are written together, and
+    one that a frequent gram fills is split, so files fit the data. Sorting lets
+    a search skip the row groups that hold other grams.
     """
     bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
-    part = F.pmod(F.xxhash64(key), F.lit(parts))
-    rows = postings(corpus, key).withColumn("bucket", bucket)
-    # sorted by gram, so that a search skips the row groups that hold other grams
-    rows.repartition("bucket", part).sortWithinPartitions("bucket", "gram").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram", *order)
+
+
+def write_postings(corpus: DataFrame, path: str, buckets: int = 64, key: str = "id") -> None:
+    """Store postings so that a search reads only the folders of its grams."""
+    _by_bucket(postings(corpus, key), buckets).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None = None) -> DataFrame:
@@ -145,12 +147,9 @@ def positions(corpus: DataFrame, key: str = "id") -> DataFrame:
     return rows.mapInArrow(_place_rows, f"{key} {kind}, gram string, block int, places array<short>")
 
 
-def write_positions(corpus: DataFrame, path: str, buckets: int = 64, parts: int = 8, key: str = "id") -> None:
+def write_positions(corpus: DataFrame, path: str, buckets: int = 64, key: str = "id") -> None:
     """Store positional postings so that a search reads only the folders, and in them the row groups, of its grams."""
-    bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
-    part = F.pmod(F.xxhash64(key), F.lit(parts))
-    positions(corpus, key).withColumn("bucket", bucket).repartition("bucket", part).sortWithinPartitions(
-        "bucket", "gram", key, "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    _by_bucket(positions(corpus, key), buckets, key, "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def phrase_grams(phrase: str) -> list[tuple[str, int]]:

@@ -243,7 +243,7 @@ def test_phrases_against_looking_everywhere(spark, tmp_path):
               (103, None, "x" * 9000 + "anan")]
     corpus = spark.createDataFrame(texts, "id long, title string, content string")
     path = str(tmp_path / "positions")
-    X.write_positions(corpus, path, buckets=8, parts=2)
+    X.write_positions(corpus, path, buckets=8)
     stored = spark.read.parquet(path)
     for phrase in ("an", "anan", "a", "b a", "an ana", "of the", "word word of", "国中", "中国 an", "né", "banana b", "xx"):
         expected = sorted(((i, n) for i, t, c in texts if (n := phrase_places(plain_text(t, c), phrase))), key=repr)
