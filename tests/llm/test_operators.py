@@ -144,8 +144,7 @@ def test_brown_model_is_a_distribution():
     import numpy as np
     r = np.random.default_rng(1)
     tokens, distinct = np.array([90.0, 4, 200, 31]), np.array([3.0, 1, 5, 2])
-    rare = r.integers(0, 9, (5, 4)).astype(float)
-    counts = brown_lm.transitions(r.integers(0, 50, (5, 5)).astype(float), rare)
+    counts = r.integers(0, 50, (5, 4)).astype(float)
     chain = brown_lm.factors(counts, tokens, distinct, 1.0)
     # words of a class and its unseen word: counts plus a half each
     mass = (chain * (tokens + 0.5 * (distinct + 1))).sum(axis=1)
@@ -218,16 +217,11 @@ def plain_model(rows, model, k, weight):
     counts = Counter(x for w in training for x in w)
     n, v = sum(counts.values()), len(counts)
     assert {w: c for w, (_, c) in known.items()} == dict(counts)
-    top = [b""] + sorted((w for w in counts if w and len(w) <= 64), key=lambda w: (-counts[w], w))[:model.core_size - 1]
-    frequent = {w for w in counts if len(w) <= 64 and counts[w] << model.bits >= n} | {b""}
-    grid, rare = np.zeros((k + 1, k + 1)), np.zeros((k + 1, k))
+    top = {b"", *sorted((w for w in counts if w and len(w) <= 64), key=lambda w: (-counts[w], w))[:model.core_size - 1]}
+    grid = np.zeros((k + 1, k))
     for w in training:
         for a, b in zip([b"", *w], w):
-            grid[known[a][0] if a in frequent else k, known[b][0] if b in frequent else k] += 1
-            if b not in frequent and b not in top:
-                rare[known[a][0] if a in top else k, known[b][0]] += 1
-    shares = rare + (rare.sum(axis=0) + 1) / (rare.sum() + k)
-    grid = grid[:, :k] + grid[:, k:] * shares / shares.sum(axis=1, keepdims=True)
+            grid[known[a][0] if a in top else k, known[b][0]] += 1
     mass = np.array([sum(c for of, c in known.values() if of == x) for x in range(k)], float)
     kinds = np.array([sum(of == x for of, _ in known.values()) for x in range(k)], float)
     least = n + 0.5 * (v + 1)
@@ -235,7 +229,7 @@ def plain_model(rows, model, k, weight):
     def one(before, word):
         c = counts[word]
         of = known[word][0] if c else model.suffixes[int.from_bytes(word[-2:], "big") % brown_lm.SUFFIXES]
-        h = known[before][0] if before in frequent else k
+        h = known[before][0] if before in top else k
         chance = (grid[h, of] + (mass[of] + 1) / (mass.sum() + k)) / (grid[h].sum() + 1)
         return math.log10(weight * chance * (c + 0.5) / (mass[of] + 0.5 * (kinds[of] + 1)) + (1 - weight) * (c + 0.5) / least)
 
@@ -730,6 +724,23 @@ def test_urls(spark, max_words):
     same(bloom_cascade.judge_urls(pages, bloom_cascade.paged_keys(pages), max_words=max_words), want)
 
 
+def test_clashing_columns_and_ids_of_pages(spark):
+    rows = [(1, "http://a.com/fr/x", "h", "r", "p", "v", "k"), (None, "http://n.net/1?page=2", "h", "r", "p", "v", "k"),
+            (1, "http://a.com/fr/x", "h", "r", "p", "v", "k"), (2, "http://N.net/1", None, None, None, None, None),
+            (None, None, "h", "r", "p", "v", "k")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, rule string, path string, verdict string, key string")
+    same(bloom_cascade.judge_urls(pages, bloom_cascade.paged_keys(pages)), [
+        (1, "a.com", "/fr/x", "com/fr/", "allow"), (1, "a.com", "/fr/x", "com/fr/", "allow"), (None, "n.net", "/1", None, "block"),
+        (2, "n.net", "/1", None, "block"), (None, "", "", None, "allow")])
+
+
+def test_clashing_columns_of_labels(spark, docs):
+    plain = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    extra = plain.withColumns({c: F.lit("x") for c in ("text", "lang", "kept", "n_words", "source", "word_chars")})
+    judged = [sorted((tuple(r) for r in quality_risk.judge(docs, x).collect()), key=key) for x in (plain, extra)]
+    assert judged[0] == judged[1]
+
+
 def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     pages = spark.createDataFrame([], "page_id long, url string")
