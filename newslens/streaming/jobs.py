@@ -22,7 +22,12 @@ from newslens.sources.sinks import remove_folder
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream over the Parquet files of a folder whose names match ``name``."""
+    """Stream over the Parquet files of a folder whose names match ``name``, or that lie in a folder of such a name."""
+    path = f"{folder}/{name}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    matches = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    if any(m.isDirectory() for m in matches or []):
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     schema = spark.read.option("pathGlobFilter", name).parquet(folder).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 

@@ -78,3 +78,17 @@ def test_months_add_up_over_batches(spark, tmp_path):
     names = sorted(got.columns)
     assert rows(got, *names) == rows(R.monthly_statistics(corpus, scores), *names)
     assert R.month_parts_table(spark, out).snapshot().upto == 2
+
+
+def test_a_table_may_be_a_file_or_a_folder_of_files(spark, tmp_path):
+    spark.range(6).repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "written"))
+    (part,) = (tmp_path / "written").glob("*.parquet")
+    (tmp_path / "one.parquet").write_bytes(part.read_bytes())
+    spark.range(5, 6).write.parquet(str(tmp_path / "other.parquet"))
+    for name, n in (("many.parquet", 6), ("one.parquet", 4)):
+        seen = []
+        stream = jobs.stream_table(spark, str(tmp_path), name)
+        jobs._drain(stream.writeStream.foreachBatch(lambda batch, _: seen.extend(r["id"] for r in batch.collect())),
+                    str(tmp_path / f"state-{name}"))
+        assert sorted(seen) == list(range(n))
