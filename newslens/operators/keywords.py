@@ -6,27 +6,38 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from newslens.functions.numbers import percent
 from newslens.operators.ranking import top_per_group
-from newslens.operators.skew import join_around
-from newslens.operators.terms import english_tokens
+from newslens.operators.skew import bounded_broadcast, join_around
+from newslens.operators.terms import english_counts
 from newslens.session import written
 
 WIDESPREAD = 1_000  # words in more than one of so many documents are sent to every executor
 
 
+def _added_up(counts: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """Word counts by row as counts by key; keys may be missing."""
+    repeated = written(docs.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(
+        F.col(key).alias("_repeated")), "repeated-keys")
+    if repeated.isEmpty():
+        return counts
+    repeated = bounded_broadcast(repeated)
+    same = counts[key].eqNullSafe(repeated["_repeated"])
+    sums = counts.join(repeated, same, "left_semi").groupBy(key, "word").agg(F.sum("frequency").alias("frequency"))
+    return written(counts.join(repeated, same, "left_anti").unionByName(sums), "word-counts")
+
+
 def document_keywords(docs: DataFrame, text: str = "content", key: str = "id",
                       k: int | None = None) -> DataFrame:
     """All words of every document by tf-idf, or its ``k`` best.
 
-    ``weight = n * (ln((1 + N) / (1 + df)) + 1)``. Counting by (document, word)
-    collapses inside the map task; the counts are stored, since document
-    frequencies are a second aggregate over them that is joined back on the
-    word. The most widespread words are answered by broadcast: most rows then
+    ``weight = n * (ln((1 + N) / (1 + df)) + 1)``. Words are counted inside each
+    row; the counts are stored, since document frequencies are a second
+    aggregate over them that is joined back on the word. Only the counts of
+    rows that share a key take a shuffle, to be added up. The most widespread words are answered by broadcast: most rows then
     skip the shuffle of that join, and no word gathers its rows in one task.
     Their number is at most WIDESPREAD times the mean number of distinct words
     in a document, however large the corpus.
     """
-    counts = written(english_tokens(docs, text, keep=[key]).groupBy(key, "word").agg(
-        F.count("*").alias("frequency")), "word-counts")
+    counts = _added_up(written(english_counts(docs, text, [key]), "word-counts"), docs, key)
     frequency = written(counts.groupBy("word").agg(F.count("*").alias("df")), "word-frequency")
     n_docs = docs.agg(F.count("*")).scalar()
     widespread = frequency.where(F.col("df") * WIDESPREAD > n_docs)

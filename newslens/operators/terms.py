@@ -44,6 +44,25 @@ def english_tokens(docs: DataFrame, text: str = "body", keep: list[str] | None =
     return without_stop_words(words, stop_words)
 
 
+def english_counts(docs: DataFrame, text: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """Counts of ``english_tokens`` by row: one row per row of ``docs`` and word, with its ``frequency``.
+
+    The words of a row are sorted in its array and counted by runs, so a task
+    holds one row's words at a time and nothing is shuffled.
+    """
+    def counted(words: Column) -> Column:
+        starts = F.filter(F.transform(words, lambda w, i: F.when((i == 0) | (F.get(words, i - 1) != w), i)),
+                          lambda i: i.isNotNull())
+        return let(starts, lambda s: F.transform(s, lambda i, n: F.struct(
+            F.get(words, i).alias("word"),
+            (F.coalesce(F.get(s, n + 1), F.size(words)) - i).cast("long").alias("frequency"))))
+
+    words = F.sort_array(F.transform(latin_words(F.col(text)), F.lower))
+    # the outer form, since the plain one would evaluate the words again as a filter
+    rows = docs.select(*(keep or []), F.explode_outer(let(words, counted)).alias("_w")).select(*(keep or []), "_w.*")
+    return without_stop_words(rows.where(F.length("word") > 1), K.STOP_WORDS_EN_EXTENDED)
+
+
 def _pairs(run: Column) -> Column:
     """Pairs of neighbouring signs; a single sign stays as it is."""
     return F.when(F.length(run) < 2, F.array(run)).otherwise(F.transform(

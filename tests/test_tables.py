@@ -324,3 +324,17 @@ def test_sketches_stay_within_their_error(spark):
         F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.concat(F.lit("m"), F.col("id") % 9000).alias("media_name"))
     r = R.merged_reach(R.media_reach(corpus), F.substring("month", 1, 4).alias("year")).first()
     assert abs(r.media_estimate - 9000) <= R.SKETCH_ERROR * 9000
+
+def test_words_are_counted_inside_rows(spark):
+    from newslens.operators import terms
+
+    texts = ["b a, b; A the", "", None, "né a1 Kelvin kelvin X", "one", "two one two"]
+    docs = spark.createDataFrame([(None if i == 4 else i % 3, t) for i, t in enumerate(texts * 2)], "id long, content string")
+    plain = docs.select("id", F.monotonically_increasing_id().alias("row"), "content")
+    per_row = terms.english_counts(plain, "content", ["row"])
+    assert "Exchange" not in per_row._jdf.queryExecution().executedPlan().toString()
+    tokens = terms.english_tokens(plain, "content", ["row"])
+    assert rows(per_row, "row", "word", "frequency") == rows(tokens.groupBy("row", "word").count(), "row", "word", "count")
+    # rows that share a key, or have none, are one document
+    words = terms.english_tokens(docs, "content", ["id"]).groupBy("id", "word").count()
+    assert rows(W.document_keywords(docs), "id", "keyword", "frequency") == rows(words, "id", "word", "count")
