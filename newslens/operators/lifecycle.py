@@ -48,6 +48,17 @@ def cascade(children: DataFrame, gone: DataFrame, child_key: str = "corpus_id",
     return children.join(keys, child_key, "left_anti"), children.join(keys, child_key, "left_semi")
 
 
+def marked(children: DataFrame, gone: DataFrame, child_key: str = "corpus_id", parent_key: str = "id") -> DataFrame:
+    """Child rows with ``is_gone``, whether their parent is deleted (J7): both parts of ``cascade`` in one join.
+
+    Only the keys of deleted parents are hashed in memory; child rows, which
+    are many more, stream by without a sort.
+    """
+    keys = gone.select(F.col(parent_key).alias(child_key)).distinct().withColumn("is_gone", F.lit(True))
+    return children.join(keys.hint("shuffle_hash"), child_key, "left").withColumn(
+        "is_gone", F.coalesce("is_gone", F.lit(False)))
+
+
 def last_write_wins(files: DataFrame, name: str = "file_name", position: str = "position") -> DataFrame:
     """One row per file name, the one written last."""
     return first_per_group(files, [name], [F.desc(position)])

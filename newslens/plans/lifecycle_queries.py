@@ -52,9 +52,8 @@ def retention_purge(spark, sf_dir):
 def retention_media(spark, sf_dir):
     """Media rows kept and deleted with their articles."""
     _, purge = Y.retention_split(B.corpus(spark, sf_dir), FIRST_YEAR, extended=True)
-    keep, delete = Y.cascade(B.children(spark, sf_dir), purge)
-    both = keep.withColumn("fate", F.lit("keep")).unionByName(delete.withColumn("fate", F.lit("delete")))
-    return both.groupBy("fate", "kind").agg(F.count("*").alias("n"))
+    marked = Y.marked(B.children(spark, sf_dir), purge)
+    return marked.groupBy(F.when(F.col("is_gone"), "delete").otherwise("keep").alias("fate"), "kind").agg(F.count("*").alias("n"))
 
 
 def last_write_wins(spark, sf_dir):

@@ -338,3 +338,13 @@ def test_words_are_counted_inside_rows(spark):
     # rows that share a key, or have none, are one document
     words = terms.english_tokens(docs, "content", ["id"]).groupBy("id", "word").count()
     assert rows(W.document_keywords(docs), "id", "keyword", "frequency") == rows(words, "id", "word", "count")
+
+
+def test_children_of_deleted_articles_in_one_join(spark):
+    gone = spark.createDataFrame([(1,), (1,), (5,), (None,)], "id long")
+    children = spark.createDataFrame([(1, "x"), (2, "y"), (1, "z"), (None, "n")], "corpus_id long, f string")
+    marked = Y.marked(children, gone)
+    assert rows(marked, "f", "is_gone") == [("n", False), ("x", True), ("y", False), ("z", True)]
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    keep, delete = Y.cascade(children, gone)
+    assert rows(marked.where("is_gone"), "f") == rows(delete, "f") and rows(marked.where("not is_gone"), "f") == rows(keep, "f")
