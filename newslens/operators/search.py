@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.functions.text import let
@@ -27,32 +28,56 @@ def postings(corpus: DataFrame, key: str = "id") -> DataFrame:
     return corpus.select(key, F.explode(bigrams(text)).alias("gram"))
 
 
-def _by_bucket(rows: DataFrame, buckets: int, *order: str) -> DataFrame:
-    """Rows laid out by buckets of grams, each sorted by gram and ``order``.
+def _gram_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (key, grams) to one row per gram and batch, with the keys of all its documents there."""
+    for batch in batches:
+        keys, lists = batch.columns
+        owner = np.repeat(np.arange(len(keys)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        ends = np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))
+        held = keys.take(pa.array(owner[np.argsort(codes, kind="stable")]))
+        yield pa.RecordBatch.from_arrays(
+            [coded.dictionary, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), held)], names=["gram", "keys"])
+
+
+def _by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows laid out by buckets of grams, each sorted by gram.
 
     Adaptive execution sizes the tasks: small buckets are written together, and
     one that a frequent gram fills is split, so files fit the data. Sorting lets
     a search skip the row groups that hold other grams.
     """
     bucket = F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int")
-    return rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram", *order)
+    return rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram")
 
 
 def write_postings(corpus: DataFrame, path: str, buckets: int = 64, key: str = "id") -> None:
-    """Store postings so that a search reads only the folders of its grams."""
-    _by_bucket(postings(corpus, key), buckets).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """Store postings so that a search reads only the folders of its grams.
+
+    A row holds the documents of a gram among those that a task saw together,
+    so neither the shuffle nor the sort repeats the gram for each document.
+    """
+    rows = corpus.select(key, bigrams(F.concat_ws("\n", "title", "content")).alias("grams"))
+    kind = rows.schema[key].dataType.simpleString()
+    packed = rows.mapInArrow(_gram_rows, f"gram string, keys array<{kind}>")
+    _by_bucket(packed, buckets).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def matching(rows: DataFrame, term: str, key: str = "id", buckets: int | None = None) -> DataFrame:
     """Documents holding any gram of ``term``, by the share of grams they hold.
 
     The handful of query grams is a literal filter that reaches the scan.
+    ``rows`` are postings, one by one or as they are stored.
     """
     grams = _grams(term)
     if buckets:
         wanted = F.array(*[F.pmod(F.xxhash64(F.lit(g)), F.lit(buckets)).cast("int") for g in grams])
         rows = rows.where(F.array_contains(wanted, F.col("bucket")))
-    found = rows.where(F.col("gram").isin(*grams)).groupBy(key).agg(F.count("*").alias("n_grams"))
+    rows = rows.where(F.col("gram").isin(*grams))
+    if "keys" in rows.columns:
+        rows = rows.select("gram", F.explode("keys").alias(key))
+    found = rows.groupBy(key).agg(F.count("*").alias("n_grams"))
     return found.withColumn("is_full", F.col("n_grams") == len(grams))
 
 
@@ -79,6 +104,7 @@ def _split(term: str) -> list[str]:
 
 
 BLOCK = 4096  # signs of text that one posting covers; places are counted from its start
+_PLACES = 1_000_000  # places that are laid side by side at once
 _FIELD_END = "\x01"
 _LOW = (1 << 21) - 1  # a code point has 21 bits
 
@@ -105,33 +131,61 @@ def _gram(code: int) -> str:
 
 
 def _place_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (key, text) to one row per gram and block of a document, with the sorted places in the block."""
-    for whole in batches:
-        for start in range(0, whole.num_rows, 64):
-            batch = whole.slice(start, 64)
-            docs, grams, places = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                if text:
-                    gram, place = places_of(text)
-                    docs.append(np.full(len(gram), i))
-                    grams.append(gram)
-                    places.append(place)
-            if not docs:
-                continue
-            doc, gram, place = map(np.concatenate, (docs, grams, places))
-            order = np.lexsort((place, gram, doc))
-            doc, gram, place = doc[order], gram[order], place[order]
-            block = place // BLOCK
-            new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1]) | (block[1:] != block[:-1])
-            first = np.flatnonzero(new)
-            names = {code: _gram(code) for code in np.unique(gram).tolist()}
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.append(first, len(doc)), pa.int32()), pa.array((place % BLOCK).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(doc[first])), pa.array([names[c] for c in gram[first].tolist()], pa.string()),
-                 pa.array(block[first].astype(np.int32)), lists],
-                names=[batch.schema.names[0], "gram", "block", "places"])
+    """Batches of (key, text) to rows of places, one per gram and run of documents.
+
+    A place list follows from each start on for one block of a document: its
+    key, its block and the sorted places in that block.
+    """
+
+    def rows(batch: pa.RecordBatch, docs: list, grams: list, places: list) -> pa.RecordBatch:
+        doc, gram, place = map(np.concatenate, (docs, grams, places))
+        order = np.lexsort((place, doc, gram))
+        doc, gram, place = doc[order], gram[order], place[order]
+        block = place // BLOCK
+        new_gram = np.append(True, gram[1:] != gram[:-1])
+        new = new_gram | np.append(True, (doc[1:] != doc[:-1]) | (block[1:] != block[:-1]))
+        first, at = np.flatnonzero(new), np.flatnonzero(new_gram)
+        lists = pa.array(np.append(np.searchsorted(first, at), len(first)), pa.int32())  # of each gram
+        starts = first - np.repeat(at, np.diff(lists.to_numpy()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([_gram(c) for c in gram[at].tolist()], pa.string()),
+             pa.ListArray.from_arrays(lists, batch.column(0).take(pa.array(doc[first]))),
+             pa.ListArray.from_arrays(lists, pa.array(block[first].astype(np.int32))),
+             pa.ListArray.from_arrays(lists, pa.array(starts.astype(np.int32))),
+             pa.ListArray.from_arrays(pa.array(np.append(at, len(gram)), pa.int32()), pa.array((place % BLOCK).astype(np.int16)))],
+            names=["gram", "keys", "blocks", "starts", "places"])
+
+    for batch in batches:
+        docs, grams, places, held = [], [], [], 0
+        for i, text in enumerate(batch.column(1)):
+            if text := text.as_py():
+                gram, place = places_of(text)
+                docs.append(np.full(len(gram), i))
+                grams.append(gram)
+                places.append(place)
+                held += len(gram)
+            if held > _PLACES:
+                yield rows(batch, docs, grams, places)
+                docs, grams, places, held = [], [], [], 0
+        if held:
+            yield rows(batch, docs, grams, places)
+
+
+def _packed_positions(corpus: DataFrame, key: str) -> DataFrame:
+    text = F.concat_ws(f" {_FIELD_END} ", _plain_text(F.col("title")), _plain_text(F.col("content")))
+    rows = corpus.select(key, text.alias("_text"))
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.mapInArrow(
+        _place_rows, f"gram string, keys array<{kind}>, blocks array<int>, starts array<int>, places array<short>")
+
+
+def _unpacked(rows: DataFrame, key: str) -> DataFrame:
+    places, starts = F.col("places"), F.col("starts")
+    lists = F.transform("keys", lambda k, i: F.struct(
+        k.alias(key), F.get(F.col("blocks"), i).alias("block"), F.slice(
+            places, F.get(starts, i) + 1, F.coalesce(F.get(starts, i + 1), F.size(places)) - F.get(starts, i)).alias("places")))
+    # the outer form, since the plain one would evaluate the lists again as a filter; no row is without a list
+    return rows.select("gram", F.explode_outer(lists).alias("_p")).select("_p.*", "gram").select(key, "gram", "block", "places")
 
 
 def positions(corpus: DataFrame, key: str = "id") -> DataFrame:
@@ -141,15 +195,15 @@ def positions(corpus: DataFrame, key: str = "id") -> DataFrame:
     They are kept as distances from the start of their block, so that they stay
     small, and no array grows with the length of a text.
     """
-    text = F.concat_ws(f" {_FIELD_END} ", _plain_text(F.col("title")), _plain_text(F.col("content")))
-    rows = corpus.select(key, text.alias("_text"))
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(_place_rows, f"{key} {kind}, gram string, block int, places array<short>")
+    return _unpacked(_packed_positions(corpus, key), key)
 
 
 def write_positions(corpus: DataFrame, path: str, buckets: int = 64, key: str = "id") -> None:
-    """Store positional postings so that a search reads only the folders, and in them the row groups, of its grams."""
-    _by_bucket(positions(corpus, key), buckets, key, "block").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    """Store positional postings so that a search reads only the folders, and in them the row groups, of its grams.
+
+    A row holds a gram's places in many documents, about ``_PLACES`` places of all grams together.
+    """
+    _by_bucket(_packed_positions(corpus, key), buckets).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def phrase_grams(phrase: str) -> list[tuple[str, int]]:
@@ -176,7 +230,9 @@ def phrase(rows: DataFrame, text: str, key: str = "id", buckets: int | None = No
         rows = rows.where(F.array_contains(wanted, F.col("bucket")))
     steps = F.array(*[F.struct(F.lit(g).alias("gram"), F.lit(i).alias("no"), F.lit(d).cast("int").alias("distance"))
                       for i, (g, d) in enumerate(grams)])
-    moved = rows.where(F.col("gram").isin(sorted({g for g, _ in grams}))).select(
+    rows = rows.where(F.col("gram").isin(sorted({g for g, _ in grams})))
+    rows = _unpacked(rows, key) if "starts" in rows.columns else rows
+    moved = rows.select(
         key, "places", (F.col("block") * BLOCK).alias("_base"),
         F.explode(F.filter(steps, lambda s: s["gram"] == F.col("gram"))).alias("s"))
     starts = moved.select(key, F.col("s.no").alias("no"), F.transform(

@@ -348,3 +348,17 @@ def test_children_of_deleted_articles_in_one_join(spark):
     assert marked._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     keep, delete = Y.cascade(children, gone)
     assert rows(marked.where("is_gone"), "f") == rows(delete, "f") and rows(marked.where("not is_gone"), "f") == rows(keep, "f")
+
+
+def test_stored_postings_share_rows(spark, tmp_path):
+    corpus = spark.createDataFrame([(None if i == 7 else i % 50, "same title", "a text " * (i % 3)) for i in range(60)],
+                                   "id long, title string, content string").coalesce(1)
+    X.write_postings(corpus, str(tmp_path / "postings"), buckets=4)
+    stored = spark.read.parquet(str(tmp_path / "postings"))
+    assert stored.count() == stored.select("gram").distinct().count()
+    assert rows(X.matching(stored, "same text", buckets=4)) == rows(X.matching(X.postings(corpus), "same text"))
+    X.write_positions(corpus, str(tmp_path / "positions"), buckets=4)
+    stored = spark.read.parquet(str(tmp_path / "positions"))
+    assert stored.count() == stored.select("gram").distinct().count()
+    for phrase in ("title", "text a", "e t"):
+        assert rows(X.phrase(stored, phrase, buckets=4)) == rows(X.phrase(X.positions(corpus), phrase))
