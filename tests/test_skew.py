@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from newslens.operators.ranking import first_per_group, number_rows, top_per_group
 from newslens.operators.skew import bounded_broadcast, lookup
+from newslens.session import written
 
 from .conftest import rows
 
@@ -69,3 +70,19 @@ def test_broadcast_only_below_the_bound(spark):
     small, large = spark.range(10), spark.range(50)
     assert "broadcast" in bounded_broadcast(small, 20)._jdf.queryExecution().toString().lower()
     assert "broadcast" not in bounded_broadcast(large, 20)._jdf.queryExecution().toString().lower()
+
+
+def test_lookup_computes_the_table_once_without_hot_keys(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    left = written(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, n int"), "left")
+    right = spark.createDataFrame([("a", 10), ("c", 30)], "k string, v int").coalesce(1).mapInArrow(counted, "k string, v int")
+    got = lookup(left, right, "k")
+    assert rows(got, "n", "v") == [(1, 10), (2, 10), (3, None), (4, None)]
+    assert got.columns == ["k", "n", "v"]
+    assert seen.value == 2

@@ -325,6 +325,7 @@ def test_sketches_stay_within_their_error(spark):
     r = R.merged_reach(R.media_reach(corpus), F.substring("month", 1, 4).alias("year")).first()
     assert abs(r.media_estimate - 9000) <= R.SKETCH_ERROR * 9000
 
+
 def test_words_are_counted_inside_rows(spark):
     from newslens.operators import terms
 
@@ -362,3 +363,16 @@ def test_stored_postings_share_rows(spark, tmp_path):
     assert stored.count() == stored.select("gram").distinct().count()
     for phrase in ("title", "text a", "e t"):
         assert rows(X.phrase(stored, phrase, buckets=4)) == rows(X.phrase(X.positions(corpus), phrase))
+
+
+def test_titles_are_cut_ahead_of_the_join(spark, tmp_path):
+    from newslens.plans import bindings as B
+
+    spark.createDataFrame([(1, "T\nbody", "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.sql("select 1L o_orderkey, timestamp'2024-01-02' o_orderdate, '1-URGENT' o_orderpriority, 'F' o_orderstatus, 1D o_totalprice"
+              ).write.parquet(str(tmp_path / "orders.parquet"))
+    titles = B.corpus(spark, str(tmp_path)).select("id", "title")
+    assert rows(titles) == [(1, "T")]
+    plan = titles._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join ") < plan.index("substring_index")
