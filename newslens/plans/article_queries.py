@@ -9,6 +9,7 @@ from newslens.functions.text import body_by_lines, content_by_rules, safe_title,
 from newslens.functions.urls import url_host
 from newslens.operators import media as M
 from newslens.plans import bindings as B, oracles as O
+from newslens.session import written
 from newslens.sources.articles import parse_articles, parse_video_links, with_defaults
 
 
@@ -81,7 +82,7 @@ def image_rows(spark, sf_dir):
 
 def video_rows(spark, sf_dir):
     """Listed videos with the players of the order's video lines as their links, the first with the first and so on."""
-    parsed = _parsed(spark, sf_dir)
+    parsed = written(_parsed(spark, sf_dir).select("id", "media"), "parsed-media")
     players = B.children(spark, sf_dir).where("kind = 'video'").select(
         F.col("corpus_id").alias("id"), (F.col("pos") / 2).cast("int").alias("no"), "video_url")
     links = M.video_rows(parsed).join(players, (F.col("corpus_id") == F.col("id")) & (F.col("pos") == F.col("no"))).select(

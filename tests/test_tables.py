@@ -376,3 +376,17 @@ def test_titles_are_cut_ahead_of_the_join(spark, tmp_path):
     assert rows(titles) == [(1, "T")]
     plan = titles._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join ") < plan.index("substring_index")
+
+
+def test_videos_are_parsed_once(spark, tmp_path):
+    from newslens.plans.article_queries import video_rows
+
+    spark.sql("select 1L doc_id, 'T\\nbody' text, 'en' lang, 's' source").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sql("select 1L o_orderkey, timestamp'2024-01-02' o_orderdate, '1-URGENT' o_orderpriority, 'F' o_orderstatus, 20000D o_totalprice"
+              ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("select 1L l_orderkey, 2 l_linenumber, 7L l_suppkey, 'A' l_returnflag, 1D l_quantity").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    got = video_rows(spark, str(tmp_path))
+    assert rows(got, "corpus_id", "pos", "video_url") == [
+        (1, 1, "https://player7.example.com/v?src=1_2"), (1, 2, "videos/T_2_link.txt")]
+    assert "documents.parquet" not in got._jdf.queryExecution().executedPlan().toString()
