@@ -220,7 +220,7 @@ def phrase(rows: DataFrame, text: str, key: str = "id", buckets: int | None = No
     begin one, except for words of one letter, which stand alone. Each gram's
     places are moved back by its distance from the start; where all grams meet,
     the phrase begins. Only the rows of the phrase's grams are read, and only
-    their arrays of starts are shuffled, by document.
+    their places, as short as they are stored, are shuffled, by document.
     """
     grams = phrase_grams(text)
     if not grams:
@@ -235,14 +235,14 @@ def phrase(rows: DataFrame, text: str, key: str = "id", buckets: int | None = No
     moved = rows.select(
         key, "places", (F.col("block") * BLOCK).alias("_base"),
         F.explode(F.filter(steps, lambda s: s["gram"] == F.col("gram"))).alias("s"))
-    starts = moved.select(key, F.col("s.no").alias("no"), F.transform(
-        "places", lambda p: p.cast("int") + F.col("_base") - F.col("s.distance")).alias("starts"))
+    starts = moved.select(key, F.col("s.no").alias("no"), (F.col("_base") - F.col("s.distance")).alias("shift"), "places")
 
     def of(number: Column) -> Column:
-        return F.flatten(F.transform(F.filter("found", lambda f: f["no"] == number), lambda f: f["starts"]))
+        return F.flatten(F.transform(F.filter("found", lambda f: f["no"] == number), lambda f: F.transform(
+            f["places"], lambda p: p.cast("int") + f["shift"])))
 
     met = of(F.lit(0))
     if len(grams) > 1:
         met = F.aggregate(F.sequence(F.lit(1), F.lit(len(grams) - 1)), met, lambda a, n: F.array_intersect(a, of(n)))
-    return starts.groupBy(key).agg(F.collect_list(F.struct("no", "starts")).alias("found")).select(
+    return starts.groupBy(key).agg(F.collect_list(F.struct("no", "shift", "places")).alias("found")).select(
         key, F.size(met).cast("long").alias("n_places")).where("n_places > 0")
