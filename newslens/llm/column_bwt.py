@@ -1,8 +1,10 @@
 """Repeated passages by column-wise construction of collection BWT and common prefixes.
 
 A byte is removed if a LENGTH-byte string that covers it also starts anywhere else.
+Passages that repeat but are too short for that are reported: the runs of bytes which
+SHORT-byte strings that start anywhere else cover, if they hold PASSAGE_WORDS whole words.
 
-1. Anchors. Of every LENGTH-byte window the GRAM-byte string with the least hash
+1. Anchors. Of every SHORT-byte window the GRAM-byte string with the least hash
    (the leftmost of equals) is an anchor. Equal windows choose the same anchor at
    the same distance, so whatever repeats does so around a repeated anchor.
 2. The collection. Around each repeated anchor the text that a window may cover is
@@ -16,7 +18,9 @@ A byte is removed if a LENGTH-byte string that covers it also starts anywhere el
    one column form one part of the order, and each part is made once, in
    sequence. Blocks of documents are bounded, so their columns lie in memory, as do
    the order and the common prefixes; a file would have to be the executor's own.
-4. Neighbours that share LENGTH symbols are repeats.
+4. Neighbours that share LENGTH symbols are repeats to remove, those that share SHORT
+   symbols repeats to report. A string of LENGTH bytes begins with one of SHORT bytes, so
+   both stand around the same anchors and come from one construction.
 
 Documents of one anchor meet in one task. An anchor with more than HOT different
 documents is settled by the digests of all its windows instead, counted in an
@@ -33,12 +37,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newslens.llm.common import as_bytes, by_group, stored
 from newslens.operators.skew import join_around
 
 LENGTH = 400
+SHORT = 256          # 51 words with their spaces at 5 bytes each
+PASSAGE_WORDS = 51   # over 50 words
 GRAM = 64
 HOT = 60_000
 _PIECE = 1 << 19     # windows that are hashed at once
@@ -124,17 +130,17 @@ def anchors_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> It
 ANCHORS = "h long, id long, th long, pos long, before int, after int, sh long"
 
 
-def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def anchor_rows(docs: DataFrame, length: int, short: int, gram: int) -> DataFrame:
     """One row per anchor: its hash, the text, place, bytes before and after that windows
     may cover, and a digest of these."""
-    reach = length - gram
+    reach = short - gram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = as_bytes(batch.column("text"))
             ids, hashes = batch.column("id").to_pylist(), batch.column("th").to_pylist()
             rows: list[tuple] = []
-            for k, at, h in anchors_of(texts, length, gram):
+            for k, at, h in anchors_of(texts, short, gram):
                 text = texts[k]
                 before, after = min(reach, at), min(length, len(text) - at)
                 digest = xxhash.xxh3_64_intdigest(text[at - before:at + after], before << 20 | after)
@@ -192,26 +198,26 @@ def construct(columns: Columns) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
         yield c, order, shared[:n], bwt
 
 
-def repeats(documents: np.ndarray, before: np.ndarray, after: np.ndarray, length: int, gram: int) -> tuple:
-    """(first, last) start of repeated windows of each document, as columns; first > last: none.
+def repeats(documents: np.ndarray, before: np.ndarray, after: np.ndarray, sizes: list[int], reach: int) -> list[tuple]:
+    """For each of ``sizes`` (first, last) start of repeated windows of that size in each document,
+    as columns; first > last: none.
 
     Windows lie inside the text: columns reach - before up to reach + after.
     """
-    reach = length - gram
-    first, last = np.full(len(documents), 1 << 14), np.full(len(documents), -1)
+    out = [(np.full(len(documents), 1 << 14), np.full(len(documents), -1)) for _ in sizes]
     for c, order, shared, _ in construct(Columns(documents)):
         if c > reach:
             continue
-        twin = np.flatnonzero(shared[1:] >= c + length)
-        found = np.concatenate((order[twin], order[twin + 1]))
-        found = found[(c >= reach - before[found]) & (c + length <= reach + after[found])]
-        first[found] = c
-        last[found] = np.maximum(last[found], c)
-    return first, last
+        for size, (first, last) in zip(sizes, out):
+            twin = np.flatnonzero(shared[1:] >= c + size)
+            found = np.concatenate((order[twin], order[twin + 1]))
+            found = found[(c >= reach - before[found]) & (c + size <= reach + after[found])]
+            first[found] = c
+            last[found] = np.maximum(last[found], c)
+    return out
 
 
-def _aligned(part: pa.Table, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    reach = length - gram
+def _aligned(part: pa.Table, length: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before, after = part.column("before").to_numpy(), part.column("after").to_numpy()
     out = np.full((part.num_rows, reach + length), _PAD, np.uint8)
     for i, piece in enumerate(part.column("piece").to_pylist()):
@@ -219,28 +225,33 @@ def _aligned(part: pa.Table, length: int, gram: int) -> tuple[np.ndarray, np.nda
     return out, before, after
 
 
-SPANS = "id long, th long, at long, end long"
+SPANS = "id long, th long, at long, end long, cut boolean"
 
 
-def _span_batch(part: pa.Table, first: np.ndarray, last: np.ndarray, length: int, gram: int) -> pa.RecordBatch:
+def _span_batch(part: pa.Table, first: np.ndarray, last: np.ndarray, size: int, reach: int, cut: bool) -> pa.RecordBatch:
     keep = np.flatnonzero((first <= last) & part.column("single").to_numpy(zero_copy_only=False))
-    at = part.column("pos").to_numpy()[keep] - (length - gram)
+    at = part.column("pos").to_numpy()[keep] - reach
     return pa.RecordBatch.from_arrays([
         pa.array(part.column("id").to_numpy()[keep]), pa.array(part.column("th").to_numpy()[keep]),
-        pa.array(at + first[keep]), pa.array(at + last[keep] + length)], names=["id", "th", "at", "end"])
+        pa.array(at + first[keep]), pa.array(at + last[keep] + size), pa.array(np.full(len(keep), cut))],
+        names=["id", "th", "at", "end", "cut"])
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(id, th, at, end): spans of repeated windows, in bytes; spans may overlap.
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, short: int = SHORT) -> DataFrame:
+    """(id, th, at, end, cut): spans of repeated windows, in bytes; spans may overlap.
 
+    cut: the windows have ``length`` bytes; all spans together are covered by windows of ``short`` bytes.
     ``docs`` has (id, th, text), th a hash of the text: rows with one (id, th) are alike.
     """
-    rows = stored(anchor_rows(docs, length, gram), "anchors")
+    short = min(short, length)
+    reach, sizes = short - gram, sorted({short, length})
+    rows = stored(anchor_rows(docs, length, short, gram), "anchors")
     again = stored(rows.groupBy("h").agg(F.count("*").alias("n"), (F.min("sh") != F.max("sh")).alias("mixed")).where("n > 1"),
                    "anchor-counts")
     hot_keys = again.orderBy(F.desc("n"), "h").limit(_HOT_KEYS).select("h", "mixed")
     repeated = stored(join_around(rows, again.select("h", "mixed"), hot_keys, "h").where("mixed IS NOT NULL"), "repeated-anchors")
-    cover = [(F.col("pos") - F.col("before")).alias("at"), (F.col("pos") + F.col("after")).alias("end")]
+    cover = [(F.col("pos") - F.col("before")).alias("at"), (F.col("pos") + F.col("after")).alias("end"),
+             (F.col("before") + F.col("after") >= length).alias("cut")]
     whole = repeated.where(~F.col("mixed")).select("id", "th", *cover)
 
     # documents of the collection that differ around an anchor: one of each kind, and how many it stands for
@@ -276,7 +287,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_group(batches, ["h"], _BLOCK):
             part = part.combine_chunks()
-            yield _span_batch(part, *repeats(*_aligned(part, length, gram), length, gram), length, gram)
+            for size, (first, last) in zip(sizes, repeats(*_aligned(part, length, reach), sizes, reach)):
+                yield _span_batch(part, first, last, size, reach, size == length)
 
     def near(some: DataFrame) -> DataFrame:
         return some.repartition("h").sortWithinPartitions("h").mapInArrow(build, SPANS)
@@ -289,20 +301,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         for batch in batches:
             for single, id_, th, pos, before, after, piece in zip(*(batch.column(c).to_pylist() for c in (
                     "single", "id", "th", "pos", "before", "after", "piece"))):
-                n = before + after - length + 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([xxhash.xxh3_128_digest(piece[i:i + length]) for i in range(n)], pa.binary()),
-                    pa.array([single] * n), pa.array([id_] * n, pa.int64()), pa.array([th] * n, pa.int64()),
-                    pa.array(range(pos - before, pos - before + n), pa.int64())],
-                    names=["digest", "single", "id", "th", "at"])
+                for size in sizes:  # windows that begin ahead of the anchor; others have anchors of their own
+                    n = max(min(before, before + after - size) + 1, 0)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([xxhash.xxh3_128_digest(piece[i:i + size]) for i in range(n)], pa.binary()),
+                        pa.array([single] * n, pa.bool_()), pa.array([id_] * n, pa.int64()), pa.array([th] * n, pa.int64()),
+                        pa.array(range(pos - before, pos - before + n), pa.int64()), pa.array([size] * n, pa.int32())],
+                        names=["digest", "single", "id", "th", "at", "size"])
 
     pieces = stored(pieces, "pieces")
     every = pieces.join(crowded, "h", "left_semi").mapInArrow(
-        windows, "digest binary, single boolean, id long, th long, at long")
+        windows, "digest binary, single boolean, id long, th long, at long, size int")
     twice = every.groupBy("digest").agg(F.min(F.struct("id", "th", "at")).alias("a"),
                                         F.max(F.struct("id", "th", "at")).alias("b")).where("a != b").select("digest")
     dense = every.where("single").join(twice, "digest", "left_semi").select(
-        "id", "th", "at", (F.col("at") + length).alias("end"))
+        "id", "th", "at", (F.col("at") + F.col("size")).alias("end"), (F.col("size") == length).alias("cut"))
     return settled.unionByName(near(pieces.join(crowded, "h", "left_anti"))).unionByName(dense)
 
 
@@ -317,35 +330,60 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_bytes, spans, kept) for every row of ``docs``: removed runs and the bytes that stay."""
+def whole_words(text: bytes, at: int, end: int) -> int:
+    """Words that lie in [at, end) as a whole."""
+    inside = text[at:end]
+    n = len(inside.split())  # white space of bytes is 20 and 09 to 0D
+    for i in (at, end):
+        if at < end and 0 < i < len(text) and text[i - 1:i + 1].split() == [text[i - 1:i + 1]]:
+            n -= 1
+    return max(n, 0)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, short: int = SHORT,
+                   passage_words: int = PASSAGE_WORDS) -> DataFrame:
+    """(doc_id, n_bytes, spans, passages, kept) for every row of ``docs``: removed runs, passages that
+    repeat, whether removed or not, and the bytes that stay."""
     text = F.coalesce("text", F.lit(""))
+    # both joins below shuffle these rows by the same keys, so Spark shuffles them once: keep the columns alike
     keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("id"),
                         F.xxhash64(text).alias("th"), text.alias("text"))
-    spans = repeated_spans(keyed.select("id", "th", "text"), length, gram, hot)
-    by_text = spans.groupBy("id", "th").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
-    joined = keyed.join(by_text, ["id", "th"], "left").select("doc_id", "text", "spans")
+    spans = repeated_spans(keyed, length, gram, hot, short)
+    by_text = spans.groupBy("id", "th").agg(F.collect_list(F.struct("at", "end", "cut")).alias("found"))
+    joined = keyed.join(by_text, ["id", "th"], "left").select("doc_id", "text", "found")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("at", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            sizes, removed, kept = [], [], []
-            for text, found in zip(as_bytes(batch.column("text")), batch.column("spans").to_pylist()):
-                runs = merged([(s["at"], s["end"]) for s in found or ()])
+            sizes, removed, passages, kept = [], [], [], []
+            for text, found in zip(as_bytes(batch.column("text")), batch.column("found").to_pylist()):
+                runs = merged([(s["at"], s["end"]) for s in found or () if s["cut"]])
                 sizes.append(len(text))
                 removed.append([{"at": a, "end": b} for a, b in runs])
+                passages.append([{"at": a, "end": b} for a, b in merged([(s["at"], s["end"]) for s in found or ()])
+                                 if whole_words(text, a, b) >= passage_words])
                 edges = [0, *(x for r in runs for x in r), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2])))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, span),
-                pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+                batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, span), pa.array(passages, span),
+                pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "passages", "kept"])
 
+    run_of = "array<struct<at: long, end: long>>"
     return joined.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
-        run, "doc_id long, n_bytes long, spans array<struct<at: long, end: long>>, kept binary")
+        run, f"doc_id long, n_bytes long, spans {run_of}, passages {run_of}, kept binary")
+
+
+def _digest_columns() -> list[Column]:
+    total = F.aggregate(F.transform("spans", lambda s: s["end"] - s["at"]), F.lit(0).cast("long"), lambda a, x: a + x)
+    return [F.col("doc_id"), F.col("n_bytes"), total.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+            F.sha2("kept", 256).alias("kept_sha256")]
 
 
 def digests(removed: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
-    total = F.aggregate(F.transform("spans", lambda s: s["end"] - s["at"]), F.lit(0).cast("long"), lambda a, x: a + x)
-    return removed.select("doc_id", "n_bytes", total.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                          F.sha2("kept", 256).alias("kept_sha256"))
+    return removed.select(*_digest_columns())
+
+
+def report(removed: DataFrame) -> DataFrame:
+    """The digests and n_passages, the number of repeated passages of over 50 words."""
+    return removed.select(*_digest_columns(), F.size("passages").cast("long").alias("n_passages"))

@@ -425,6 +425,45 @@ def test_repeats_in_very_long_texts(spark):
     assert want[0][2] == 1800 and want[2][2] == 900
 
 
+def plain_passages(texts, short, words):
+    count = Counter(t[s:s + short] for t in texts for s in range(len(t) - short + 1))
+    out = []
+    for t in texts:
+        mark = bytearray(len(t))
+        for s in range(len(t) - short + 1):
+            if count[t[s:s + short]] > 1:
+                mark[s:s + short] = b"\1" * short
+        whole = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+        out.append(sum(sum(m.start() <= a and b <= m.end() for a, b in whole) >= words
+                       for m in re.finditer(b"\1+", bytes(mark))))
+    return out
+
+
+@pytest.mark.parametrize("hot", [60_000, 1])
+def test_short_passages_are_reported_and_stay(spark, hot):
+    """Over 50 words that repeat in under 400 bytes: the contract removes none of them, n_passages counts them."""
+    passage = " ".join(prose(900, 51)[i * 6:i * 6 + 5].replace(" ", "q") for i in range(51))    # 305 bytes
+    fifty = " ".join(prose(901, 51)[i * 6:i * 6 + 5].replace(" ", "q") for i in range(50))      # a word too few
+    rows = [(i, f"{prose(910 + i, 40)}\n{p}\n{prose(930 + i, 40)}", "en", "s")
+            for i, p in enumerate([passage] * 3 + [fifty] * 3 + [prose(950, 60)])]
+    rows += [(10 + i, passage, "en", "s") for i in range(2)]                # whole texts, under 400 bytes
+    rows += [(20 + i, f"{passage} {prose(960, 60)}", "en", "s") for i in range(2)]
+    rows += [(30, f"{passage}x {prose(970, 9)}", "en", "s"), (31, None, "en", "s"), (32, passage[:255], "en", "s")]
+    rows += [(40 + i, prose(980 + i, 9) + passage, "en", "s") for i in range(2)]   # the first word stands in another
+    texts = [(r[1] or "").encode() for r in rows]
+    want = [(r[0], *w, n) for r, w, n in zip(rows, plain_repeats(texts, 400), plain_passages(texts, 256, 51))]
+    same(column_bwt.report(column_bwt.remove_repeats(make(spark, rows), hot=hot)), want)
+    found = {w[0]: (w[2], w[-1]) for w in want}
+    assert [found[i] for i in (0, 3, 6, 10, 30)] == [(0, 1), (0, 0), (0, 0), (0, 1), (0, 0)] and found[20][0] > 400
+
+
+@pytest.mark.parametrize("hot", [60_000, 1])
+def test_passages_of_odd_rows(docs, hot):
+    texts = [(r[1] or "").encode() for r in corpus()]
+    got = column_bwt.report(column_bwt.remove_repeats(docs, hot=hot)).select("doc_id", "n_bytes", "n_passages")
+    same(got, [(r[0], len(t), n) for r, t, n in zip(corpus(), texts, plain_passages(texts, 256, 51))])
+
+
 def test_columns_give_the_transform_and_prefixes():
     import numpy as np
     r = np.random.default_rng(4)
