@@ -264,6 +264,91 @@ def test_classes_lower_held_out_perplexity(spark):
     assert held["perplexity"] < 0.6 * held["base_perplexity"]
 
 
+def two_kinds(n=150):
+    """Sentences of two kinds that share no words."""
+    r = random.Random(5)
+    kinds = [["".join(r.choices(letters, k=4)) for _ in range(150)] for letters in ("abcd", "wxyz")]
+    return [(i, " ".join(r.choices(kinds[i % 2], k=120)), "en", "s") for i in range(n)]
+
+
+def test_words_beyond_the_core_have_histories(spark):
+    """Classes tell the kinds apart also where hardly any word is a core word."""
+    scored = brown_lm.score(make(spark, two_kinds()), n_classes=8, core=8)
+    held = [p for p in brown_lm.perplexity(scored).collect() if p["held_out"]][0]
+    assert held["perplexity"] < 0.6 * held["base_perplexity"]
+
+
+@pytest.mark.parametrize("core", [1, 5, 1024])
+def test_sweeps_count_the_pairs_of_all_words(spark, core):
+    import numpy as np
+    rows = corpus() + [(300 + i, "often seen here and there " * 700 + "z" * 90 + " end", "en", "s") for i in range(2)]
+    model = brown_lm.fit(make(spark, rows).select("text").coalesce(2), 4, 6, 0.9, core)
+    classes = {bytes(r["word"]): r["class"] for r in model.known.collect()}
+    want = np.zeros((6, 6))
+    for _, t, *_ in rows:
+        w = [classes[x] for x in (t or "").encode().lower().split() + [b""]]
+        np.add.at(want, ([classes[b""], *w[:-1]], w), 1)
+    assert (model.pairs == want).all()
+    assert model.course[-1] == pytest.approx(brown_lm.likelihood(want)) and model.course[-1] > model.course[0]
+    assert all(b >= a - 1e-6 for a, b in zip(model.course, model.course[1:]))
+
+
+def test_words_move_by_all_places():
+    """Words with few places, with many in one block, and core words, which stay; two blocks."""
+    import numpy as np
+    r = np.random.default_rng(4)
+    pairs, own, selfs = r.integers(1, 90, (5, 5)).astype(float), r.integers(0, 5, 30), r.integers(0, 3, 30)
+    is_core, around, known, sent = np.arange(30) == 7, np.zeros((30, 2, 256)), [], {}
+    for block in (0, 1):
+        at, n = r.permutation(30)[:20], r.integers(0, 9, 20)
+        n[:2] = 3000
+        places = [r.integers(0, 5, (x, 2)).astype(np.uint8) for x in n.tolist()]
+        for w, x in zip(at.tolist(), places):
+            around[w] += np.stack([np.bincount(x[:, side], minlength=256) for side in (0, 1)])
+        send = [(w, x) for w, x in zip(at.tolist(), places) if w != 7]
+        many = [np.bincount(x[:, side], minlength=256).astype("<u4") for _, x in send if len(x) > 1024 for side in (0, 1)]
+        few = np.concatenate([x for _, x in send if len(x) <= 1024])
+        known.append({"block": block, "a": brown_lm._shut(at.astype(np.int32)), "b": brown_lm._shut(n.astype(np.int32))})
+        sent[block] = {"a": brown_lm._shut(few.view(np.uint16)), "b": brown_lm._shut(np.concatenate(many))}
+    got = brown_lm._moved(own, selfs, is_core, known, sent, pairs)
+    want = np.where(is_core, own, brown_lm.classes_of(around, pairs, own, selfs))
+    assert list(got) == list(want) and (got != own).any()
+
+
+def test_sweeps_that_lower_the_likelihood_are_taken_back(spark, monkeypatch):
+    import numpy as np
+    plain, send, parts = brown_lm.replies, brown_lm.contexts, []
+
+    def spoiled(shares, units, old=None, messages=None, pairs=None):
+        # in the first sweep classes go by the wrong pairs
+        return plain(shares, units, old, messages, np.roll(pairs, 1, axis=1) if len(parts) == 2 else pairs)
+
+    def watched(blocks, replies, units, core, *part):
+        parts.append(part)
+        return send(blocks, replies, units, core, *part)
+
+    monkeypatch.setattr(brown_lm, "replies", spoiled)
+    monkeypatch.setattr(brown_lm, "contexts", watched)
+    model = brown_lm.fit(make(spark, two_kinds(60)).select("text"), 4, 8, 0.9, 8)
+    assert parts[1:4] == [(1, 0), (2, 0), (2, 1)]
+    assert all(b >= a - 1e-6 for a, b in zip(model.course, model.course[1:]))
+    assert model.course[-1] == pytest.approx(brown_lm.likelihood(model.pairs))
+
+
+def test_odd_arrays_are_opened_as_shut():
+    import numpy as np
+    for x in (np.empty(0, np.int64), np.array([True, False]), np.arange(-5, 999, dtype=np.int16), np.array([2 ** 62, -1])):
+        assert (brown_lm._open(brown_lm._shut(x), x.dtype) == x).all() and len(brown_lm._open(brown_lm._shut(x), x.dtype)) == len(x)
+
+
+def test_places_keep_their_order():
+    import numpy as np
+    for top in (1, 5, 70_000, 2 ** 31):
+        x = np.random.default_rng(top).integers(0, top, 5000)
+        assert (brown_lm._order(x) == np.argsort(x, kind="stable")).all()
+    assert len(brown_lm._order(np.empty(0, np.int64))) == 0
+
+
 # 3
 def test_mix_reaches_targets(docs):
     rows = corpus()
