@@ -260,6 +260,26 @@ def test_phrase_reads_only_its_grams(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan or "bucket" in plan.split("PartitionFilters")[1][:200]
 
 
+def test_phrases_share_one_pass(spark, tmp_path):
+    texts = ("of the", "the and", "a", "of the", "xx", "né")
+    corpus = spark.createDataFrame(
+        [(1, "of the and of", "a the, and: né"), (1, "of the and of", "a the, and: né"), (2, None, "of the of-the a a"),
+         (3, "the", "and"), (4, None, None), (None, "A", "often; the And."), (5, "", "the an of th")],
+        "id long, title string, content string")
+    path = str(tmp_path / "positions")
+    X.write_positions(corpus, path, buckets=8)
+    stored = spark.read.parquet(path)
+    found = X.phrase(stored, texts, buckets=8)
+    assert found.columns == ["phrase", "id", "n_places"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    alone = [(t, *r) for t in sorted(set(texts)) for r in rows(X.phrase(stored, t, buckets=8))]
+    assert rows(found) == sorted(alone, key=repr) and {t for t, *_ in alone} == {"of the", "the and", "a", "né"}
+    assert rows(X.phrase(X.positions(corpus), texts)) == rows(found)
+    with pytest.raises(ValueError):
+        X.phrase(stored, ["of the", " - "])
+
+
 def test_dated_topics(spark, scores):
     words = spark.createDataFrame(
         [(1, "x", 1), (1, "y", 2), (2, "x", 1), (3, "z", 1), (4, "y", 1), (5, "y", 1), (6, "q", 1)],
