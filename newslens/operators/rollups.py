@@ -234,18 +234,49 @@ def _heat(counts: DataFrame, groups: list[str], n: str, out: str) -> DataFrame:
         out, percent(F.col(n), F.col("_peak"), 2)).drop("_peak")
 
 
+def _added_by_source(counted: DataFrame) -> DataFrame:
+    """Rows (word, source, stat_date, frequency) added up per source and over all sources.
+
+    One shuffle and one sort serve both sums, and a task holds no table of its
+    keywords. The submission's number of partitions is kept: merged by their
+    size, as adaptive execution does, short rows take many times it in memory.
+    """
+    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = counted.select(F.col("word").alias("keyword"), "source", "stat_date", "frequency").repartition(
+        partitions, "keyword", "stat_date")
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    keyword = Window.partitionBy("keyword", "stat_date").orderBy("source")
+    source = Window.partitionBy("keyword", "stat_date", "source").orderBy("frequency")
+    per_source = rows.withColumns({
+        "n": F.sum("frequency").over(source.rowsBetween(*whole)), "_row": F.row_number().over(source),
+    }).where("_row = 1")
+    both = per_source.withColumns({
+        "_all": F.sum("n").over(keyword.rowsBetween(*whole)), "_row": F.row_number().over(keyword)})
+    own = F.struct("source", "n")
+    first = F.array(own, F.struct(F.lit("all").alias("source"), F.col("_all").alias("n")))
+    return both.select("keyword", "stat_date", F.explode_outer(F.when(F.col("_row") == 1, first).otherwise(
+        F.array(own))).alias("_s")).select("keyword", "_s.source", "stat_date", "_s.n")
+
+
 def hot_keywords(tokens: DataFrame, k: int | None = None) -> DataFrame:
     """Keyword counts per date and source, and over all sources.
 
     ``tokens`` has (word, source, stat_date). Counts are made per source first;
     the ``all`` rows only add these up. With ``k``, the hottest ``k`` keywords
     of each date and source; the peak is then the first of them.
+
+    Tokens counted by article, with a ``frequency``, suit dates that few
+    articles share: adding up before the shuffle would then hold nearly every
+    row in memory and save little.
     """
-    per_source = tokens.groupBy(F.col("word").alias("keyword"), "source", "stat_date").agg(
-        F.count("*").alias("n"))
-    overall = per_source.groupBy("keyword", "stat_date").agg(F.sum("n").alias("n")).withColumn(
-        "source", F.lit("all"))
-    counts = per_source.unionByName(overall)
+    if "frequency" in tokens.columns:
+        counts = _added_by_source(tokens)
+    else:
+        per_source = tokens.groupBy(F.col("word").alias("keyword"), "source", "stat_date").agg(
+            F.count("*").alias("n"))
+        overall = per_source.groupBy("keyword", "stat_date").agg(F.sum("n").alias("n")).withColumn(
+            "source", F.lit("all"))
+        counts = per_source.unionByName(overall)
     groups = ["stat_date", "source"]  # null dates and sources have no heat
     if k is None:
         return _heat(counts, groups, "n", "heat_score")

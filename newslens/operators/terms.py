@@ -37,14 +37,20 @@ def without_stop_words(tokens: DataFrame, stop_words: Iterable[str] | DataFrame,
 
 
 def english_tokens(docs: DataFrame, text: str = "body", keep: list[str] | None = None,
-                   stop_words: Iterable[str] | DataFrame = K.STOP_WORDS_EN_EXTENDED) -> DataFrame:
-    """Lower-cased English words longer than one letter."""
+                   stop_words: Iterable[str] | DataFrame = K.STOP_WORDS_EN_EXTENDED, counted: bool = False) -> DataFrame:
+    """Lower-cased English words longer than one letter.
+
+    With ``counted``, a word comes once for each row that holds it, with its ``frequency`` there.
+    """
+    if counted:
+        return english_counts(docs, text, keep, stop_words)
     words = docs.select(*(keep or []), F.explode(latin_words(F.col(text))).alias("_w"))
     words = words.select(*(keep or []), F.lower("_w").alias("word")).where(F.length("word") > 1)
     return without_stop_words(words, stop_words)
 
 
-def english_counts(docs: DataFrame, text: str = "body", keep: list[str] | None = None) -> DataFrame:
+def english_counts(docs: DataFrame, text: str = "body", keep: list[str] | None = None,
+                   stop_words: Iterable[str] | DataFrame = K.STOP_WORDS_EN_EXTENDED) -> DataFrame:
     """Counts of ``english_tokens`` by row: one row per row of ``docs`` and word, with its ``frequency``.
 
     The words of a row are sorted in its array and counted by runs, so a task
@@ -60,7 +66,7 @@ def english_counts(docs: DataFrame, text: str = "body", keep: list[str] | None =
     words = F.sort_array(F.transform(latin_words(F.col(text)), F.lower))
     # the outer form, since the plain one would evaluate the words again as a filter
     rows = docs.select(*(keep or []), F.explode_outer(let(words, counted)).alias("_w")).select(*(keep or []), "_w.*")
-    return without_stop_words(rows.where(F.length("word") > 1), K.STOP_WORDS_EN_EXTENDED)
+    return without_stop_words(rows.where(F.length("word") > 1), stop_words)
 
 
 def _pairs(run: Column) -> Column:

@@ -112,7 +112,8 @@ def daily_statistics(spark, sf_dir):
 
 def hot_keywords(spark, sf_dir):
     dated = B.corpus(spark, sf_dir).where("publish_date is not null").withColumnRenamed("publish_date", "stat_date")
-    return _text_dates(R.hot_keywords(english_tokens(dated, "content", ["source", "stat_date"])), "stat_date")
+    tokens = english_tokens(dated, "content", ["source", "stat_date"], counted=True)
+    return _text_dates(R.hot_keywords(tokens), "stat_date")
 
 
 def keyword_heat(spark, sf_dir):

@@ -112,6 +112,27 @@ def test_hot_keywords(spark):
     assert top == [("all", "a", 100.0), ("china", "a", 100.0), ("usa", "b", 100.0)]
 
 
+def test_hot_keywords_of_tokens_counted_by_article(spark):
+    from newslens.operators import terms
+
+    day = F.col("d").cast("date").alias("stat_date")
+    docs = spark.createDataFrame(
+        [("Bank bank river", "china", "2024-01-01"), ("Bank bank river", "china", "2024-01-01"), ("river", None, "2024-01-01"),
+         ("bank", "all", "2024-01-01"), ("bank", "usa", "2024-01-02"), ("bank", "usa", None), (None, "usa", "2024-01-02"),
+         ("", "usa", "2024-01-02"), ("the a", "usa", "2024-01-03")], "text string, source string, d string"
+    ).select("text", "source", day)
+    keep = ["source", "stat_date"]
+    counted, one_by_one = terms.english_tokens(docs, "text", keep, counted=True), terms.english_tokens(docs, "text", keep)
+    columns = ["stat_date", "source", "keyword", "n", "heat_score"]
+    got = rows(R.hot_keywords(counted), *columns)
+    assert got == rows(R.hot_keywords(one_by_one), *columns)
+    assert {(r[2], r[3]) for r in got if r[1] == "all" and str(r[0]) == "2024-01-01"} == {("bank", 1), ("bank", 5), ("river", 3)}
+    assert rows(R.hot_keywords(counted, 1), *columns) == rows(R.hot_keywords(one_by_one, 1), *columns)
+    # no table of all keywords in a task: one shuffle, one sort, no hash aggregate
+    plan = R._added_by_source(counted)._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange"), plan.count("Sort "), plan.count("HashAggregate")) == (1, 1, 0)
+
+
 def test_quality(corpus, scores, spark):
     assert Q.counters(corpus, scores).first().asDict() == {
         "n_articles": 4, "n_with_content": 2, "n_with_date": 3, "n_with_image": 1, "n_blank_title": 1, "n_scores": 4}
