@@ -52,6 +52,22 @@ def test_random_references_agree_with_the_standard_library(spark):
         assert row.url == expected(row.base, row.ref), (row.base, row.ref)
 
 
+def test_odd_paths_agree_with_the_standard_library(spark):
+    bases = ["http://n.org/a/b/c.html", "http://n.org", "http://n.org/", "http://n.org/a//b/../c/", "http://n.org/.a/b."]
+    refs = ["player?id=1", "../v/x.webm", "a/.b", "a/b.", "a..b/c", "/x//y", "/x/..", "//", "///a", "a//b/./c", "?", "#", "x?", "x#",
+            "x?#", "?a#", "x?y?z#a#b", "a:", ":a", "/a:b", "x?u=http://z/..", "x#/../y", "\t x/\n../y", "a\u2028", "/", "x/"]
+    for row in resolved(spark, [(b, r) for b in bases for r in refs] * 2).collect():
+        assert row.url == urljoin(row.base, row.ref), (row.base, row.ref)
+
+
+def test_parts_of_a_reference_are_computed_once(spark):
+    df = spark.createDataFrame([("x", "y")], "base string, ref string")
+    for base, extracts in ((F.lit(BASE), 5), (F.col("base"), 10)):
+        plan = df.select(resolve_url(base, F.col("ref")).alias("url"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract(") <= extracts
+        assert plan.count("aggregate(") == 1  # one fold over segments, however often the path is used
+
+
 def test_nulls_and_no_python(spark):
     out = resolved(spark, [(BASE, None), (None, "g"), (None, None)])
     assert rows_of(out) == {(BASE, None, None), (None, "g", "g"), (None, None, None)}
